@@ -21,7 +21,8 @@ def block_rows(rows: DataFrame, key: str, item: str, block: int, name: str) -> D
 
     A bucket (the rows of one key) of up to `block` rows is one block. A larger one is cut into n parts by a hash of
     the item, and each pair of parts (a part with itself too) is a block: every two members meet in at least one, and
-    no task ever gets more than two parts at once. Adds `__block`, the block's number, and `__part`, the row's part.
+    no task ever gets more than two parts at once. Adds `__block`, the block's number, `__part`, the row's part, and
+    `__own`, whether the block is that part with itself; only there are pairs of one part to be counted.
     `rows` is computed twice. Only the counts of crowded buckets are joined back, by broadcast if they are few.
     """
     crowded = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > block)
@@ -35,6 +36,7 @@ def block_rows(rows: DataFrame, key: str, item: str, block: int, name: str) -> D
     return (
         numbered.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
         .withColumn("__block", F.least("__part", "__other").cast("long") * F.col("__parts") + F.greatest("__part", "__other"))
+        .withColumn("__own", F.col("__part") == F.col("__other"))
         .drop("__n", "__other", "__parts")
     )
 
@@ -64,8 +66,10 @@ def whole_blocks(batches: Iterator[pa.RecordBatch], key: str, most: int = 1 << 1
         yield pa.Table.from_batches(kept).combine_chunks()
 
 
-def near_offsets(key: np.ndarray, block: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-    """(i, d): the rows i for which row i + d is in the same block, for d = 1, 2, ...; together every pair once."""
+def near_offsets(table: pa.Table, key: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j): the rows of pairs in the same block; over all blocks of a bucket every pair comes once."""
+    key, block, part = table[key].to_numpy(), table["__block"].to_numpy(), table["__part"].to_numpy()
+    own = table["__own"].combine_chunks().to_numpy(zero_copy_only=False)
     n = len(key)
     new = np.ones(n, bool)
     new[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
@@ -75,7 +79,9 @@ def near_offsets(key: np.ndarray, block: np.ndarray) -> Iterator[tuple[np.ndarra
     rows = np.flatnonzero(left >= 1)
     d = 1
     while len(rows):
-        yield rows, d
+        counted = rows[own[rows] | (part[rows] != part[rows + d])]
+        if len(counted):
+            yield counted, counted + d
         d += 1
         rows = rows[left[rows] >= d]
 

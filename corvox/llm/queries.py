@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, mixing, rendezvous, simhash, token_store, toxicity
+from . import bpe, chat_format, embed_dedup, mixing, permutation_index, rendezvous, simhash, token_counts, token_store, toxicity
 from .common import new_folder, written
 
 
@@ -35,6 +35,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, _tokenizer()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all embeddings with cosine 0.9 or more, and the components they make."""
+    out = embed_dedup.linked(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.9)
+    return out.select(F.col("item").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written to the file format and read back."""
     path = new_folder(spark, "tokens")
@@ -56,6 +62,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest others of every embedding whose id is divisible by 20."""
+    out = permutation_index.search(_table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, "vec_id", "embedding", 20)
+    return out.select("query_id", "rank", F.col("item").alias("vec_id"), "score")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of all documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.counted(docs, _tokenizer("piece_bpe_32k.model")).select("doc_id", "n_words", "n_tokens")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and the groups that their links make."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,5 +89,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_bpe, op4_token_store, op5_sharding, op6_toxicity, op9_simhash, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_bpe, op3_embed_dedup, op4_token_store, op5_sharding, op6_toxicity, op7_permutation_index, op8_token_counts, op9_simhash, op10_mixing)}
 ORACLES: dict[str, str] = {}

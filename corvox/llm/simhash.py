@@ -88,7 +88,6 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(table: pa.Table) -> Iterator[pa.RecordBatch]:
     """A forest over the fingerprints of each block that differ in at most MOST_BITS bits."""
-    key, block = table["key"].to_numpy(), table["__block"].to_numpy()
     prints = table["fingerprint"].to_numpy().view(np.uint64)
     a, b = [], []
     held = 0
@@ -97,8 +96,8 @@ def _links(table: pa.Table) -> Iterator[pa.RecordBatch]:
         x, y = forest(np.concatenate(a), np.concatenate(b))
         return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["x", "y"])
 
-    for rows, d in near_offsets(key, block):
-        x, y = prints[rows], prints[rows + d]
+    for i, j in near_offsets(table, "key"):
+        x, y = prints[i], prints[j]
         near = (np.bitwise_count(x ^ y) <= MOST_BITS) & (x != y)
         a.append(x[near])
         b.append(y[near])
