@@ -50,9 +50,13 @@ def uncapitalised(text: Column) -> Column:
 
 def ngrams(items: Column, n: int) -> Column:
     """All runs of n neighbouring items, joined by a blank; none if there are fewer."""
-    last = F.size(items) - n + 1
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(items, i, F.lit(n)), " "))
+
+    def of(own: Column) -> Column:
+        last = F.size(own) - n + 1
+        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(own, i, F.lit(n)), " "))
+
+    return F.flatten(F.transform(F.array(items), of))  # bound once: a lambda's argument isn't computed again for each run
 
 
 def duration_text(seconds: Column) -> Column:

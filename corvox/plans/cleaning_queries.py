@@ -1 +1,132 @@
-"""Queries."""
+"""Queries of §2.7 on the cleaning pipeline."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import hashing, text
+from ..operators import cleaning as C
+from .tables import query, table
+from .turn_queries import u_sql
+
+MAP = [(r"https?://\S+", "[noise]"), (r"\b\d{1,3}(?:\.\d{1,3}){3}\b", "[inaudible]"), (r"[*%$&]{3,}", "[laughter]")]
+TAGS = r"\[(?:noise|laughter|inaudible|silence|music|breath)\]"
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", "text", "lang")
+
+
+def _one(spark: SparkSession, d: str, name: str, **options) -> DataFrame:  # noqa: ANN003
+    out = C.cleaned(_docs(spark, d), [C.Step(name, options, name)])
+    return out.select("doc_id", "text", F.col("dropped_by").isNotNull().alias("dropped"))
+
+
+def chain(column: str, rules: list[tuple[str, str]]) -> str:
+    """Ordered replacements in SQL."""
+    for p, by in rules:
+        p, by = p.replace("'", "''").replace(r" ", " ").replace(r" ", " ").replace(r" ", " "), by.replace("'", "''").replace("$1", r"\1").replace("$2", r"\2")
+        column = f"regexp_replace({column}, '{p}', '{by}', 'g')"
+    return column
+
+
+@query(f"select doc_id, {chain('text', [(p, f' {t} ') for p, t in MAP])} as text, false as dropped from documents")
+def map_tags(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "map_tags", rules=MAP)
+
+
+@query("select doc_id, text, regexp_matches(text, '(?:lorem)|(?:[0-9]{5})') as dropped from documents")
+def drop_if_match(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "drop_if_match", patterns=["lorem", "[0-9]{5}"])
+
+
+@query(r"select doc_id, case when regexp_matches(text, '\p{Lu}') then text else regexp_replace(text, '[.,;:!?…]', '', 'g') end as text, false as dropped from documents")
+def uncased_no_punctuation(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "uncased_no_punctuation")
+
+
+@query(rf"select doc_id, text, regexp_matches(regexp_replace(text, '{TAGS}', '', 'g'), '[\[\]]') as dropped from documents")
+def drop_unknown_brackets(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "drop_unknown_brackets")
+
+
+@query(rf"""with s as (select doc_id, regexp_replace(text, '((?:\s*{TAGS})*)\s*$', '') as body, regexp_extract(text, '((?:\s*{TAGS})*)\s*$', 1) as tail from documents)
+select doc_id, case when regexp_matches(body, '[.?!…]["»)\]]*\s*$') or not regexp_matches(body, '[\p{{L}}\p{{N}}]') then body else regexp_replace(body, '[\s,;:]+$', '') || '.' end || tail as text, false as dropped from s""")
+def add_final_period(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "add_final_period")
+
+
+@query(f"""with m as (select doc_id, {chain('text', [(p, f' {t} ') for p, t in MAP])} as t from documents) select doc_id, case when contains(t, '[inaudible]') then t else regexp_replace(t, '{TAGS}', ' ', 'g') end as text, contains(t, '[inaudible]') as dropped from m""")
+def events_stripped(spark: SparkSession, d: str) -> DataFrame:
+    out = C.cleaned(_docs(spark, d), C.resolved([{"map_tags": {"rules": MAP}}, "events"], {}))
+    return out.select("doc_id", "text", F.col("dropped_by").isNotNull().alias("dropped"))
+
+
+@query(f"select doc_id, {chain('text', C.PUNCTUATION)} as text, false as dropped from documents")
+def normalize_punctuation(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "normalize_punctuation")
+
+
+@query(f"select doc_id, {chain('text', C.SPACING)} as text, false as dropped from documents")
+def normalize_spacing(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "normalize_spacing")
+
+
+@query(f"select doc_id, {chain('text', C.FRENCH)} as text, false as dropped from documents")
+def french_typography(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "french_typography")
+
+
+@query(rf"select doc_id, text, not regexp_matches(regexp_replace(text, '{TAGS}', '', 'g'), '[\p{{L}}\p{{N}}]') as dropped from documents")
+def empty_line_rule(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "empty")
+
+
+@query()
+def drop_ocr(spark: SparkSession, d: str) -> DataFrame:
+    return _one(spark, d, "drop_ocr", vocabulary=["de", "la", "le", "les", "et", "un", "une", "pour", "par", "avec", "dans", "sur", "qui", "pas", "des", "du"])
+
+
+@query(f"""with r as (select doc_id, lang, n_chars / 15.0 as dur, len(regexp_extract_all(text, '{TAGS}')) as tags, len(list_filter(string_split_regex(regexp_replace(text, '{TAGS}', ' ', 'g'), '\\s+'), lambda w: w <> '')) as words, length(regexp_replace(regexp_replace(text, '{TAGS}', '', 'g'), '[^\\p{{L}}]', '', 'g')) as letters from documents),
+m as (select lang, median(words / dur) as med from r group by lang)
+select doc_id, dur < 0.1 or words > med * 4 * dur or letters > 30 * dur or (dur - 10 * tags > 5 and words < greatest(0.3, med / 4) * (dur - 10 * tags)) as dropped from r join m using (lang)""")
+def speech_rate(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "documents").select("doc_id", "lang", "text", (F.col("n_chars") / 15.0).alias("dur"))
+    words = text.word_count(F.col("text"))
+    med = t.groupBy("lang").agg(F.median(words / F.col("dur")).alias("med"))
+    return t.join(med, "lang").select("doc_id", C.speech_rate_dropped(F.col("text"), F.col("dur"), F.col("med")).alias("dropped"))
+
+
+@query(f"""select doc_id, case when u < 0.1 then case when u < 0.05 then 'no_events_no_disfluencies' else 'no_events' end when u < 0.2 then 'no_disfluencies' when not regexp_matches(text, '\\p{{Lu}}') and not regexp_matches(text, '[.,;:!?…]') then 'nocasepunc' else 'default' end as category from (select doc_id, text, {u_sql("cat", "doc_id")} as u from documents)""")
+def choose_prompt(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", C.prompt_category(F.col("text"), (), hashing.hash_u("cat", "doc_id"), 0.1).alias("category"))
+
+
+@query(rf"""select doc_id, len(list_filter(string_split_regex(regexp_replace(text, '{TAGS}', ' ', 'g'), '\s+'), lambda w: w <> ''))::int as n_words, regexp_matches(text, '\p{{Lu}}') as cased from documents""")
+def word_helpers(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", text.word_count(F.col("text")).alias("n_words"), text.has_case(F.col("text")).alias("cased"))
+
+
+#: A pipeline over all kinds of filters.
+BLOCKS = {"marks": [{"map_tags": {"rules": MAP}}, "events"], "finish": ["normalize_spacing", "normalize_punctuation", "add_final_period", "normalize_spacing", "empty"]}
+PIPELINE = [
+    "normalize_unicode", "strip_html", {"block": "marks"}, {"all_caps": {"least": 5}}, "lower_caps_runs", "fix_mixed_case", {"fix_spurious_caps": {"function_words": ["the", "of", "and", "de", "la", "und"]}},
+    {"numbers_to_words": {"language": "en"}}, "speaker_labels", "restore_elisions", {"join_split_compounds": {"vocabulary": ["peut-être"]}}, {"normalize_interjections": {"spellings": {"ah": ["aah", "ahh"]}}},
+    "disfluencies", {"fix_punctuation": {"common": ["the", "and", "of"]}}, {"block": "finish"},
+]
+
+
+@query()
+def cleaning_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    steps = C.resolved(PIPELINE, BLOCKS)
+    parts = [C.cleaned(_docs(spark, d), C.for_output(steps, o)).select("doc_id", F.lit(o).alias("output"), "text", "dropped_by", F.array_join("changed", ",").alias("changed")) for o in C.OUTPUTS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query()
+def cleaning_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return C.statistics(C.cleaned(_docs(spark, d), C.resolved(PIPELINE, BLOCKS)), "lang")
