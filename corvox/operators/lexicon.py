@@ -110,7 +110,7 @@ def present(tokens: DataFrame, pool: DataFrame) -> DataFrame:
 def entity_runs(tokens: DataFrame, connectors: list[str], most: int = 4) -> DataFrame:
     """(item, phrase): runs of capitalised tokens inside sentences, bridged by connectors, of 2 to `most` tokens.
 
-    A run ends before a token that is neither; connectors at its ends are left out.
+    A run ends before a token that is neither; connectors at its ends are left out, and so are runs that repeat a token.
     """
     w = Window.partitionBy("item").orderBy("pos")
     name = F.col("surface").rlike(r"^\p{Lu}") & ~F.col("starts")
@@ -120,8 +120,9 @@ def entity_runs(tokens: DataFrame, connectors: list[str], most: int = 4) -> Data
     g = Window.partitionBy("item", "__g")
     first, last = F.min(F.when(F.col("__n"), F.col("pos"))).over(g), F.max(F.when(F.col("__n"), F.col("pos"))).over(g)
     t = t.withColumn("__a", first).withColumn("__b", last).where((F.col("pos") >= F.col("__a")) & (F.col("pos") <= F.col("__b")))
-    out = t.groupBy("item", "__g").agg(F.sum(F.col("__n").cast("int")).alias("names"), F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "surface"))), lambda s: s["surface"]), " ").alias("phrase"))
-    return out.where((F.col("names") >= 2) & (F.col("n") <= most)).select("item", "phrase")
+    out = t.groupBy("item", "__g").agg(F.sum(F.col("__n").cast("int")).alias("names"), F.count(F.lit(1)).alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "surface"))), lambda s: s["surface"]).alias("run"))
+    out = out.where((F.col("names") >= 2) & (F.col("n") <= most) & (F.size(F.array_distinct("run")) == F.col("n")))
+    return out.select("item", F.array_join("run", " ").alias("phrase"))
 
 
 def prefix_keys(words: DataFrame, most: int = 2, times: int = 3, shared: int = 3) -> DataFrame:

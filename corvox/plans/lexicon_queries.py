@@ -100,7 +100,7 @@ def stutter_checks(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""with {TOKENS}, t as (select *, regexp_matches(surface, '^\\p{{Lu}}') and not starts as nm, (regexp_matches(surface, '^\\p{{Lu}}') and not starts) or (surface in ('of', 'de', 'le') and not starts) as inr from toks),
 g as (select *, sum((not inr)::int) over (partition by item order by pos) as g from t), r as (select *, min(pos) filter (where nm) over (partition by item, g) as a, max(pos) filter (where nm) over (partition by item, g) as b from g where inr)
-select item, phrase from (select item, g, sum(nm::int) as names, count(*) as n, string_agg(surface, ' ' order by pos) as phrase from r where pos between a and b group by item, g) where names >= 2 and n <= 4""")
+select item, phrase from (select item, g, sum(nm::int) as names, count(*) as n, string_agg(surface, ' ' order by pos) as phrase, count(distinct surface) as k from r where pos between a and b group by item, g) where names >= 2 and n <= 4 and k = n""")
 def entity_phrases(spark: SparkSession, d: str) -> DataFrame:
     return X.entity_runs(_tokens(spark, d), ["of", "de", "le"])
 

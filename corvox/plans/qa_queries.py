@@ -1 +1,116 @@
-"""Queries."""
+"""Queries of §2.8 and §2.10 on time-aligned words."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import hashing
+from ..operators import qa as Q
+from ..operators import rebuild as R
+from .tables import query, table
+
+ALIGNED = """raw as (select item_id, list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '') as r from benchmark), aligned as (select item_id, list_transform(range(1, len(r) + 1), lambda i: struct_pack(word := r[i], "start" := (i * 0.5)::double, "end" := (i * 0.5)::double + length(r[i]) * 0.05::double)) as words from raw)"""
+
+
+def _aligned(spark: SparkSession, d: str) -> DataFrame:
+    """(item_id, words): held-out texts with a word every half second, each as long as its letters."""
+    r = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    words = F.transform(r, lambda w, i: F.struct(w.alias("word"), ((i + 1) * 0.5).alias("start"), ((i + 1) * 0.5 + F.length(w) * 0.05).alias("end")))
+    return table(spark, d, "benchmark").select("item_id", words.cast(Q.WORDS).alias("words"))
+
+
+@query(f"""with {ALIGNED} select item_id, len(words)::int as n, round(words[1]."start", 4) as first_start, round(words[-1]."end", 4) as last_end, round(100 - list_max(list_transform(words, lambda w: w."end")), 4) as trailing_gap,
+ round(list_max(list_transform(range(2, len(words) + 1), lambda i: words[i]."start" - words[i - 1]."end")), 4) as longest_pause from aligned""")
+def word_times(spark: SparkSession, d: str) -> DataFrame:
+    w = F.col("words")
+    return _aligned(spark, d).select("item_id", F.size(w).alias("n"), F.round(F.get(w, F.lit(0))["start"], 4).alias("first_start"), F.round(F.try_element_at(w, F.lit(-1))["end"], 4).alias("last_end"), F.round(Q.trailing_gap(w, F.lit(100.0)), 4).alias("trailing_gap"), F.round(Q.longest_pause(w), 4).alias("longest_pause"))
+
+
+@query(f"""with {ALIGNED}, e as (select item_id, unnest(words) as w, unnest(range(len(words))) as pos from aligned), s as (select item_id, pos, w, coalesce(sum(regexp_matches(w.word, '[.?!]$')::int) over (partition by item_id order by pos rows between unbounded preceding and 1 preceding), 0) as s from e)
+select item_id, s::int as sentence, string_agg(w.word, ' ' order by pos) as text, round(min(w."start"), 4) as "start", round(max(w."end"), 4) as "end", count(*)::int as n from s group by item_id, s""")
+def sentence_spans(spark: SparkSession, d: str) -> DataFrame:
+    s = _aligned(spark, d).select("item_id", F.posexplode(Q.sentences(F.col("words"))).alias("sentence", "s"))
+    return s.select("item_id", "sentence", "s.text", F.round("s.start", 4).alias("start"), F.round("s.end", 4).alias("end"), "s.n")
+
+
+@query(f"""with {ALIGNED}, t as (select item_id, words, lower(regexp_replace(words[3].word, '[^\\p{{L}}\\p{{N}}''-]', '', 'g')) as term from aligned)
+select item_id, term, array_to_string(list_transform(list_filter(words, lambda w: lower(regexp_replace(w.word, '[^\\p{{L}}\\p{{N}}''-]', '', 'g')) = term), lambda w: printf('%.2f', w."start")), ',') as times from t""")
+def word_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    term = F.lower(F.regexp_replace(F.get("words", F.lit(2))["word"], r"[^\p{L}\p{N}'-]", ""))
+    t = _aligned(spark, d).withColumn("term", term)
+    return t.select("item_id", "term", F.array_join(F.transform(Q.occurrences(F.col("words"), F.col("term")), lambda s: F.format_string("%.2f", s)), ",").alias("times"))
+
+
+@query(f"""with {ALIGNED} select item_id, array_to_string(list_transform(list_filter(words, lambda w: w."start" >= 2 and w."end" <= 6), lambda w: w.word), ' ') as said from aligned""")
+def exact_window_text(spark: SparkSession, d: str) -> DataFrame:
+    return _aligned(spark, d).select("item_id", Q.window_words(F.col("words"), F.lit(2.0), F.lit(6.0)).alias("said"))
+
+
+@query(f"""with {ALIGNED} select item_id, array_to_string(list_transform(words[1:5], lambda w: '[' || printf('%.2f', w."start") || '-' || printf('%.2f', w."end") || '] ' || w.word), chr(10)) as brackets, array_to_string(list_transform(words[1:5], lambda w: printf('%.2f', w."start") || 's: ' || w.word), chr(10)) as seconds from aligned""")
+def timestamped_transcription(spark: SparkSession, d: str) -> DataFrame:
+    units = F.transform(F.slice("words", 1, 5), lambda w: F.struct(w["word"].alias("text"), w["start"].alias("start"), w["end"].alias("end")))
+    return _aligned(spark, d).select("item_id", Q.rendered(units, "brackets").alias("brackets"), Q.rendered(units, "seconds").alias("seconds"))
+
+
+def _units(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    unit = F.struct("event_id", F.col("event_type").alias("speaker"), F.concat(F.lit("t"), "event_id").alias("text"), (F.col("event_id") % 1000).cast("double").alias("start"), (F.col("event_id") % 1000 + 1.25).alias("end"))
+    return e.groupBy("user_id").agg(F.array_sort(F.collect_list(unit)).alias("units"))
+
+
+@query("""select user_id, string_agg(event_type || ': t' || event_id, chr(10) order by event_id) as colon, string_agg('SPEAKER audio 1 ' || printf('%.2f', (event_id % 1000)::double) || ' 1.25 <NA> <NA> ' || event_type || ' <NA> <NA>', chr(10) order by event_id) as rttm from events group by user_id""")
+def diarization_formats(spark: SparkSession, d: str) -> DataFrame:
+    u = F.col("units")
+    return _units(spark, d).select("user_id", Q.rendered_speakers(u, "colon").alias("colon"), Q.rendered_speakers(u, "rttm").alias("rttm"))
+
+
+@query()
+def subtitle_formats(spark: SparkSession, d: str) -> DataFrame:
+    u = F.col("units")
+    return _units(spark, d).select("user_id", *(Q.rendered_speakers(u, f).alias(f) for f in ("srt", "vtt", "json", "brackets", "times", "tsv", "angle")))
+
+
+@query()
+def time_tasks(spark: SparkSession, d: str) -> DataFrame:
+    w = _aligned(spark, d).withColumn("term", F.get("words", F.lit(2))["word"]).withColumn("at", F.lit(3.1))
+    return Q.tasks(w)
+
+
+@query()
+def word_choices(spark: SparkSession, d: str) -> DataFrame:
+    w = F.col("words")
+    oov = Q.out_of_vocabulary(F.array(*map(F.lit, ("the", "moon", "river"))), w, hashing.hash_u("oov", "item_id"))
+    return _aligned(spark, d).select("item_id", F.size(Q.unambiguous(w)).alias("n_clear"), F.array_join(Q.content_words(w), " ").alias("content"), oov.alias("unheard"), Q.phrase_end(w, F.lit(1.0), F.lit(3)).alias("phrase_end"))
+
+
+@query("""select conv_id, turn, len(w) between 1 and 4 and len(list_filter(w, lambda x: x not in ('the', 'of', 'and', 'is', 'in'))) = 0 as backchannel, array_to_string(list_filter(string_split(text, ' '), lambda x: lower(regexp_replace(x, '[^\\p{L}''-]', '', 'g')) not in ('the', 'of', 'and', 'is', 'in')), ' ') as stripped
+from (select *, list_filter(string_split_regex(lower(text), '[^\\p{L}''-]+'), lambda x: x <> '') as w from conversations)""")
+def backchannels(spark: SparkSession, d: str) -> DataFrame:
+    fillers = ["the", "of", "and", "is", "in"]
+    t = F.col("text")
+    return table(spark, d, "conversations").select("conv_id", "turn", Q.is_backchannel(t, fillers).alias("backchannel"), Q.without_fillers(t, fillers).alias("stripped"))
+
+
+def _damaged(spark: SparkSession, d: str) -> DataFrame:
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    raw = F.filter(F.transform(words, lambda w, i: F.when(i % 17 != 5, F.lower(F.regexp_replace(w, r"[.,]", "")))), lambda w: w.isNotNull())
+    return table(spark, d, "benchmark").select("item_id", F.array_join(raw, " ").alias("raw"), "text")
+
+
+@query()
+def format_transfer(spark: SparkSession, d: str) -> DataFrame:
+    return R.transferred(_damaged(spark, d), "raw", "text").select("item_id", "text", "ratio")
+
+
+@query()
+def redistribution(spark: SparkSession, d: str) -> DataFrame:
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    cuts = table(spark, d, "benchmark").select("item_id", F.array(F.array_join(F.slice(words, 1, 10), " "), F.array_join(F.slice(words, 11, 10), " "), F.array_join(F.slice(words, F.lit(21), F.greatest(F.size(words) - 20, F.lit(0))), " ")).alias("pieces"))
+    return R.redistributed(_damaged(spark, d).drop("text").join(cuts, "item_id"), "raw", "pieces").select("item_id", "piece", "text")
+
+
+@query("""with c as (select lower(w) as w, count(*) as n from (select unnest(regexp_extract_all(text, '\\p{L}+')) as w from documents) group by 1), p as (select strip_accents(w) as plain, w, n from c)
+select plain, w as accented from (select a.plain, a.w, row_number() over (partition by a.plain order by a.n desc, a.w) as rn from p a left join p b on b.w = a.plain where a.w <> a.plain and a.n > 5 * coalesce(b.n, 0) and a.n >= 5) where rn = 1""")
+def accent_restoration(spark: SparkSession, d: str) -> DataFrame:
+    return R.accent_table(table(spark, d, "documents").select("text"))

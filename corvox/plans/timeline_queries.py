@@ -74,8 +74,8 @@ def cue_containment(spark: SparkSession, d: str) -> DataFrame:
     return L.window_text(L.contained(s, windows, DAY))
 
 
-@query(f"""with {segments_sql()}, p as (select recording, seg_id as point_id, "start" + (seg_id % 5) * 400.0 as at from segments),
-n as (select p.recording, point_id, seg_id as cue_id, case when abs(at - "start") <= 0 then 0 when abs(at - "start") <= 600 then 1 else 2 end as step, abs(at - "start") as off, "start" from p join segments s on s.recording = p.recording and abs(at - "start") <= 1200)
+@query(f"""with {segments_sql()}, p as (select recording, seg_id as point_id, "start" + (seg_id % 5) * 400.0 as pt from segments),
+n as (select p.recording, point_id, seg_id as cue_id, case when abs(pt - "start") <= 0 then 0 when abs(pt - "start") <= 600 then 1 else 2 end as step, abs(pt - "start") as off, "start" from p join segments s on s.recording = p.recording and abs(pt - "start") <= 1200)
 select recording, point_id, cue_id, step from (select *, row_number() over (partition by recording, point_id order by step, off, "start", cue_id) as rn from n) where rn = 1""")
 def nearest_key_lookup(spark: SparkSession, d: str) -> DataFrame:
     s = segments(spark, d)

@@ -207,7 +207,7 @@ def question_answer_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""with v as (select user_id, event_type, sum(case when value < 20 then 1.0 when value < 60 then 0.5 else 0.1 end) as votes from events group by all),
 r as (select *, row_number() over (partition by user_id order by votes desc, event_type) as rn, lead(votes) over (partition by user_id order by votes desc, event_type) as second from v)
-select user_id, event_type as answer, round(votes, 6) as votes from r where rn = 1 and votes > 1 and (second is null or abs(votes - second) > 1e-9)""")
+select user_id, event_type as answer, round(votes::double, 6) as votes from r where rn = 1 and votes > 1 and (second is null or abs(votes - second) > 1e-9)""")
 def weighted_votes(spark: SparkSession, d: str) -> DataFrame:
     weight = F.when(F.col("value") < 20, 1.0).when(F.col("value") < 60, 0.5).otherwise(0.1)
     votes = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.sum(weight).alias("votes"))
