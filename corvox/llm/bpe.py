@@ -6,9 +6,11 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -16,10 +18,11 @@ from .common import more_fields
 
 #: A worker forgets its words when it knows this many: bounded memory.
 MOST_WORDS = 400_000
-#: Texts are taken together until they have this many characters.
-BATCH_CHARS = 4_000_000
+#: Texts are taken together until they have this many bytes.
+BATCH_BYTES = 4_000_000
 
 _open: dict[str, "WordBpe"] = {}
+_known: dict[tuple, "Known"] = {}
 
 
 class WordBpe:
@@ -55,6 +58,7 @@ class WordBpe:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern).findall
+        self._lines = regex.compile(pattern + r"|\n").findall
 
     def split(self, text: str | None) -> list[str]:
         """The pre-tokens of a text: special tokens as they stand, else words in lower case after NFC."""
@@ -67,6 +71,10 @@ class WordBpe:
             out += [part] if i % 2 else self.words(_normal(part))
         return out
 
+    def words_in_lines(self, lines: str) -> list[str]:
+        """The pre-tokens of many lines without special tokens, with the line ends between them."""
+        return self._lines(_normal(lines))
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of words[k] are ids[offsets[k]:offsets[k + 1]]."""
         raw = [w.encode() for w in words]
@@ -172,62 +180,85 @@ class Known:
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets): the ids of texts[k] are ids[offsets[k]:offsets[k + 1]]."""
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets): the ids of texts[k] are ids[offsets[k]:offsets[k + 1]]; a null text has none.
+
+        Texts are cut at ASCII white space and their distinct pieces found by Arrow, so only those become strings here.
+        """
         if len(self.at) > MOST_WORDS:
             self._forget()
-        pieces = [self._pieces(t) for t in texts]
-        self._learn(pieces)
-        number = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        at = self.at
-        index = np.fromiter((at[x] for own in pieces for x in own), np.int64, int(number.sum()))
+        pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        if self.bpe.cut and pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens may touch anything
+            pieces = pa.array([self.bpe.split(t) if t and "<|" in t else own for t, own in zip(texts.to_pylist(), pieces.to_pylist())], pa.list_(pa.string()))
+        coded = pieces.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        place = np.fromiter(map(self.at.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            place[missing] = np.arange(len(self.at), len(self.at) + len(missing))
+            self._learn([distinct[i] for i in missing.tolist()], place[missing])
+        index = place[coded.indices.to_numpy()]
         count = self.count[index]
         ends = np.concatenate([[0], np.cumsum(count)])
         from_ = np.repeat(self.start[index] - ends[:-1], count)
-        return self.flat[from_ + np.arange(ends[-1])], ends[np.concatenate([[0], np.cumsum(number)])]
-
-    def _pieces(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        if "<|" in text or any(c in text for c in _ODD_BLANKS):
-            return self.bpe.split(text)  # special tokens may hold or touch anything
-        return text.split()
-
-    def _learn(self, pieces: list[list[str]]) -> None:
-        at = self.at
-        new = list({x for own in pieces for x in own if x not in at})
-        if not new:
-            return
-        words: dict[str, int] = {}
-        split = [self.bpe.split(x) for x in new]
-        order = [words.setdefault(w, len(words)) for own in split for w in own]
+        return self.flat[from_ + np.arange(ends[-1])], ends[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
+
+    def _learn(self, new: list[str], numbers: np.ndarray) -> None:
+        at, special = self.at, self.bpe.special
+        plain = [x for x in new if x not in special]
+        flat_words = self.bpe.words_in_lines("\n".join(plain)) if plain else []
+        if len(plain) < len(new):
+            lines = iter(self._lines(flat_words) if plain else [])
+            flat_words = []
+            for x in new:
+                flat_words += [*([x] if x in special else next(lines)), "\n"]
+            flat_words.pop()
+        words = dict.fromkeys(flat_words)
+        words.pop("\n", None)
+        words = dict(zip(words, range(len(words))))
+        order = np.fromiter(map(words.get, flat_words, repeat(-1)), np.int64, len(flat_words))
+        ends_ = np.append(np.flatnonzero(order < 0), len(order))  # one line for each piece
+        number = np.diff(ends_, prepend=-1) - 1
+        index = order[order >= 0]
         ids, offsets = self.bpe.encode_words(list(words))
-        index = np.array(order, np.int64)
         size = np.diff(offsets)[index]
         ends = np.concatenate([[0], np.cumsum(size)])
         flat = ids[np.repeat(offsets[:-1][index] - ends[:-1], size) + np.arange(ends[-1])]
-        cuts = ends[np.concatenate([[0], np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))])]
+        cuts = ends[np.concatenate([[0], np.cumsum(number)])]
         base = len(self.flat)
-        at.update(zip(new, range(len(at), len(at) + len(new))))
+        at.update(zip(new, numbers.tolist()))
         self.start = np.concatenate([self.start, cuts[:-1] + base])
         self.count = np.concatenate([self.count, np.diff(cuts)])
         self.flat = np.concatenate([self.flat, flat])
 
+    @staticmethod
+    def _lines(words: list[str]) -> list[list[str]]:
+        out: list[list[str]] = [[]]
+        for w in words:
+            if w == "\n":
+                out.append([])
+            else:
+                out[-1].append(w)
+        return out
+
 
-#: Characters that str.split() takes as blanks and the tokenizer doesn't.
-_ODD_BLANKS = "\x1c\x1d\x1e\x1f"
+def known_of(path: str, opener=opened) -> Known:
+    """What this worker knows of a tokenizer's pieces; it lasts from task to task."""
+    key = (path, opener.__module__)
+    if key not in _known:
+        _known[key] = Known(opener(path))
+    return _known[key]
 
 
-def batches_of(texts: list[str | None]) -> Iterator[range]:
-    """Ranges of texts of about BATCH_CHARS characters."""
-    first = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= BATCH_CHARS:
-            yield range(first, i + 1)
-            first, held = i + 1, 0
-    if first < len(texts):
-        yield range(first, len(texts))
+def batches_of(texts: pa.Array) -> Iterator[range]:
+    """Ranges of texts of about BATCH_BYTES bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + BATCH_BYTES)) + 1)
+        yield range(first, min(last, len(ends)))
+        first = last
 
 
 def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -242,12 +273,12 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     schema = more_fields(kept, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(opened(path))
+        known = known_of(path)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            texts = batch.column(batch.schema.get_field_index(text))
             n, ids, decoded = [], [], []
             for part in batches_of(texts):
-                flat, offsets = known.ids(texts[part.start : part.stop])
+                flat, offsets = known.ids(texts.slice(part.start, len(part)))
                 n += np.diff(offsets).tolist()
                 for strings, out in ((known.digits, ids), (known.shown, decoded)):
                     told = strings[flat].tolist()
@@ -268,11 +299,11 @@ def encoded(docs: DataFrame, path: str, text: str = "text", out: str = "ids", en
     schema = more_fields(kept, f"`{out}` array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(opener(path))
+        known = known_of(path, opener)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            texts = batch.column(batch.schema.get_field_index(text))
             for part in batches_of(texts):
-                flat, offsets = known.ids(texts[part.start : part.stop])
+                flat, offsets = known.ids(texts.slice(part.start, len(part)))
                 if end is not None:
                     flat = np.insert(flat, offsets[1:], end)
                     offsets = offsets + np.arange(len(offsets))

@@ -87,12 +87,12 @@ def counted(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         model = opened(path)
         known: dict[str, int] = {}
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            texts = batch.column(batch.schema.get_field_index(text))
             words_n, tokens_n = [], []
             for part in batches_of(texts):
                 if len(known) > MOST_WORDS:
                     known.clear()
-                words = [(texts[i] or "").split() for i in part]
+                words = [(t or "").split() for t in texts.slice(part.start, len(part)).to_pylist()]
                 new = sorted({w for ws in words for w in ws if w not in known})
                 known.update(zip(new, model.counts([MARK + w for w in new])))
                 words_n += map(len, words)

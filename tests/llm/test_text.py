@@ -3,6 +3,7 @@ import random
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def test_bpe_on_random_letters(library):
     draw = random.Random(5)
     known = bpe.Known(bpe.opened(PATH))
     texts = ["".join(draw.choice("aabcdeé'’s t!1 \ńΣß") for _ in range(draw.randint(0, 60))) for _ in range(400)]
-    flat, offsets = known.ids(texts)
+    flat, offsets = known.ids(pa.array(texts))
     for k, t in enumerate(texts):
         assert flat[offsets[k] : offsets[k + 1]].tolist() == ids_of(library, t), t
 
@@ -54,7 +55,7 @@ def test_bpe_forgets_and_learns_again(library, monkeypatch):
     monkeypatch.setattr(bpe, "MOST_WORDS", 1)
     known = bpe.Known(bpe.opened(PATH))
     for t in ("some words here", "other words there", "some words here"):
-        assert known.ids([t])[0].tolist() == ids_of(library, t)
+        assert known.ids(pa.array([t]))[0].tolist() == ids_of(library, t)
 
 
 def test_decoded_and_empty_table(spark, docs, library):
