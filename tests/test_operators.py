@@ -258,3 +258,27 @@ def test_text_functions(spark):
     assert one(spark, ["a", "b", "c"], lambda a: text.ngrams(a, 2), "array<string>") == ["a b", "b c"] and one(spark, ["a"], lambda a: text.ngrams(a, 2), "array<string>") == []
     assert one(spark, 93784.0, text.duration_text, "double") == "1d 02h 03m 04s" and one(spark, 3661.5, text.clock, "double") == "01:01:01.500"
     assert one(spark, 1234.0, text.short_number, "double") == "1.2K"
+
+
+def test_synthesis(spark):
+    from corvox.operators import export, synthesis as S
+
+    qas = [("a?", "x"), ("Bee?", "y"), ("C?", "z")]
+    kind = "array<struct<question:string,answer:string>>"
+    assert [t["value"] for t in one(spark, qas, S.sequential, kind)] == ["a?", "x", "Bee?", "y", "C?", "z"]
+    assert [t["value"] for t in one(spark, qas, S.compound, kind)] == ["a? And bee? And c?", "X Y Z"]
+    assert [t["value"] for t in one(spark, qas, S.hybrid, kind)] == ["a? And bee?", "X Y", "C?", "z"]
+    items = spark.createDataFrame([(g, i) for g in range(3) for i in range(11)], "g long, i long")
+    cut = S.disjoint_chunks(items, "g", F.col("i"), "s", [(2, 0.5), (3, 0.5)]).collect()
+    assert len(cut) == 33 and all(r["place"] < 3 for r in cut)
+    pool = spark.createDataFrame([(1, "a", True, None, "q1", "x"), (1, "a", True, None, "q2", "y"), (1, "b", False, "a", "q3", "z"), (1, "c", False, "none", "q4", "w")], "item long, name string, opener boolean, needs string, question string, answer string")
+    assert [r["name"] for r in S.selected_tasks(pool, "item", 5, "s").orderBy("place").collect()] == ["a", "b"]
+    steps = S.walks(spark.range(5).select(F.lit(1).alias("r"), F.col("id").alias("k")), "r", "k", "s", 0.3, 5).collect()
+    assert all(r["start"] - r["left"] >= 0 and r["start"] + r["right"] <= 4 for r in steps)
+    talks = S.random_conversations(spark.range(50).select("id", F.lit("en").alias("lang"), F.lit(10.0).alias("duration")), spark.range(30).select(F.col("id").alias("out_id"), F.lit("en").alias("lang")), "s", 0.3, 6, 35.0).collect()
+    assert talks and max(sum(1 for t in talks if t["out_id"] == k) for k in range(30)) <= 3
+    assert "fisik" not in S.respellings("Phone") and "Fone" in S.respellings("Phone") and S.respellings("cat", {"cat": ["kat"]}) == ["kat"]
+    assert S.perturbed("New York and york", {"new york": "nu york", "york": "yorck"}) == "Nu york and yorck" and S.perturbed("a", {}) == "a"
+    assert export.resolved_env("${oc.env:A,b}/${oc.env:C}", {"C": "d"}) == "b/d"
+    assert one(spark, "x/data/My Set/fr/manifest.json.gz", export.config_name) == "fr_manifest"
+    assert one(spark, "Woman", export.normalised_gender) == "female" and one(spark, None, export.normalised_gender) is None
