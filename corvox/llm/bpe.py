@@ -200,8 +200,9 @@ class Known:
         index = place[coded.indices.to_numpy()]
         count = self.count[index]
         ends = np.concatenate([[0], np.cumsum(count)])
-        from_ = np.repeat(self.start[index] - ends[:-1], count)
-        return self.flat[from_ + np.arange(ends[-1])], ends[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
+        from_ = np.repeat((self.start[index] - ends[:-1]).astype(np.int32), count)
+        from_ += np.arange(ends[-1], dtype=np.int32)
+        return self.flat[from_], ends[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
 
     def _learn(self, new: list[str], numbers: np.ndarray) -> None:
         at, special = self.at, self.bpe.special

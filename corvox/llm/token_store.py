@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +30,12 @@ class LibraryBpe(WordBpe):
         self.letters = {b: c for b, c in enumerate(_byte_letters())}
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids: list[int] = []
-        offsets = [0]
-        tokenize, letters, special = self.model.tokenize, self.letters, self.special
-        for w in words:
-            if w in special:
-                ids.append(special[w])
-            else:
-                ids += [t.id for t in tokenize(w.encode().decode("latin-1").translate(letters))]
-            offsets.append(len(ids))
-        return np.array(ids, np.int32), np.array(offsets, np.int64)
+        tokenize, special = self.model.tokenize, self.special
+        joined = "\n".join(words).encode().decode("latin-1").translate(self.letters)
+        mapped = joined.split(self.letters[10]) if words else []  # no other character's bytes hold a line end
+        found = [[special[w]] if w in special else [t.id for t in tokenize(m)] for w, m in zip(words, mapped)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(size.sum())), np.concatenate([[0], np.cumsum(size)])
 
 
 def opened(path: str) -> LibraryBpe:
