@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bits_for, running_total, top_bits
+from .common import hex_digits, running_total
 
 #: How a turn is written, and whose turns count for the loss.
 OPEN, MIDDLE, CLOSE, LEARNED = "<|", "|>\n", "<|end|>\n", "assistant"
@@ -80,9 +80,10 @@ def paired(convs: DataFrame, count: int) -> DataFrame:
     and the last of an odd number has no partner. However many share an opening, places are counted in buckets, and
     each pair is put together by its own key.
     """
-    keyed = convs.withColumn("opening", F.coalesce(F.to_json(F.get("turns", F.lit(0))), F.lit("")))
-    keyed = keyed.withColumn("opening", F.md5("opening")).withColumn("__hash", F.xxhash64(F.lit("pair"), F.col("conv")))
-    placed = running_total(keyed, ["opening"], top_bits("__hash", bits_for(count)), ["__hash", "conv"], None, "__place")
+    first = F.get("turns", F.lit(0))
+    keyed = convs.withColumn("opening", F.md5(F.concat_ws(":", first["role"], first["text"])))
+    keyed = keyed.withColumn("__hash", F.md5(F.concat(F.lit("pair:"), F.coalesce(F.col("conv").cast("string"), F.lit("")))))
+    placed = running_total(keyed, ["opening"], F.substring("__hash", 1, hex_digits(count)), ["__hash", "conv"], None, "__place")
     side = F.pmod("__place", F.lit(2))
     return placed.groupBy("opening", F.floor(F.col("__place") / 2).alias("pair")).agg(
         F.max(F.when(side == 0, F.col("conv"))).alias("chosen_id"),

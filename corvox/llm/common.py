@@ -75,15 +75,17 @@ def more_fields(df: DataFrame, ddl: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
 
 
-def running_total(df: DataFrame, keys: list[str], bucket: Column, order: list[str], size: str | None, out: str) -> DataFrame:
+def running_total(df: DataFrame, keys: list[str], bucket: Column, order: list[str], size: str | None, out: str, totals_from: DataFrame | None = None) -> DataFrame:
     """Adds `out`: the sum of `size` (or the number of rows) before each row of its group, in the given order.
 
     No task ever holds a whole group. `bucket` must not fall along `order`; the groups are cut into buckets, bucket
-    totals (few rows) are summed along the group, and rows are ranked inside their bucket only. keys must not be null.
+    totals (few rows) are summed along the group, and rows are ranked inside their bucket only. keys must not be null. totals_from, where the bucket's columns, the keys
+    and the size are already at hand, spares computing them twice.
     """
     amount = F.col(size) if size else F.lit(1)
     cut = df.withColumn("__bucket", bucket)
-    totals = cut.groupBy(*keys, "__bucket").agg(F.sum(amount).alias("__total"))
+    source = cut if totals_from is None else totals_from.withColumn("__bucket", bucket)
+    totals = source.groupBy(*keys, "__bucket").agg(F.sum(amount).alias("__total"))
     along = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(*keys, "__bucket", F.coalesce(F.sum("__total").over(along), F.lit(0)).alias("__start"))
     inside = Window.partitionBy(*keys, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -99,6 +101,11 @@ def bits_for(rows: int, per_bucket: int = 64, least: int = 8, most: int = 40) ->
     return max(least, min(most, max(1, rows // per_bucket).bit_length()))
 
 
+def hex_digits(rows: int) -> int:
+    """How many leading hex digits of a hash cut `rows` rows into buckets of a few hundred at most."""
+    return -(-bits_for(rows) // 4)
+
+
 def top_bits(hash_col: str, bits: int) -> Column:
     """The leading bits of a signed 64-bit hash; they don't fall as the hash rises."""
     return F.shiftright(F.col(hash_col), 64 - bits)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bits_for, running_total, top_bits
+from .common import hex_digits, running_total, written
 
 #: Characters that end a word.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -59,7 +59,7 @@ def position(share: Column, tilt: Column) -> Column:
     return F.least(F.lit(1.0), F.lit(2.0) * share / (b + root))
 
 
-def mixed(docs: DataFrame, item: str = "doc_id", text: str = "text", source: str = "source", rows: int | None = None) -> DataFrame:
+def mixed(docs: DataFrame, item: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """docs with size, source_size, target, taken, copies and positions; columns so named are replaced.
 
     The documents of a source stand in the order of a hash of their item; the mix takes them whole, going round
@@ -67,16 +67,21 @@ def mixed(docs: DataFrame, item: str = "doc_id", text: str = "text", source: str
     a source gives its target but for half a document, no document comes more than twice, and reruns agree. Each taken
     copy has a training position from 0 to 1: where its share of the source's target falls in the source's schedule.
     A null text has size 0, as an empty one; a null source is a source, the last. Rows with equal items and texts
-    are told apart by nothing, and either may be the one that is taken. `docs` is read three times.
+    are told apart by nothing, and either may be the one that is taken. Where docs has no text, its size column counts.
+    Sizes are written once, as narrow rows, for the targets and the places; `docs` is read twice.
     """
-    own = ["size", "source_size", "target", "taken", "copies", "positions"]
-    sized = docs.drop(*own).withColumn("size", word_count(F.col(text)))
-    sized = sized.withColumn("__source", F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("")))
-    sized = sized.withColumn("__hash", F.xxhash64(F.lit("mix"), F.col(item))).withColumn("__text", F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    targets = source_targets(sized.select(F.col(source).alias("source"), "size"))
+    sized = docs.drop(*(c for c in ("source_size", "target", "taken", "copies", "positions")))
+    tie = []
+    if text in docs.columns:
+        raw = F.coalesce(F.col(text), F.lit(""))
+        sized, tie = sized.drop("size").withColumn("size", word_count(raw)).withColumn("__text", F.crc32(raw.cast("binary"))), ["__text"]
+    key = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(item).cast("string"), F.lit(""))))
+    sized = sized.withColumn("__source", F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit(""))).withColumn("__hash", key)
+    slim = written(sized.select(F.col(source).alias("source"), "__source", "__hash", "size"), "sizes")
+    targets = source_targets(slim.select("source", "size"))
     targets = targets.select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")).alias("__source"), "source_size", "target", "tilt")
-    bits = bits_for(docs.count() if rows is None else rows)
-    placed = running_total(sized, ["__source"], top_bits("__hash", bits), ["__hash", item, "size", "__text"], "size", "__offset")
+    bucket = F.substring("__hash", 1, hex_digits(slim.count()))
+    placed = running_total(sized, ["__source"], bucket, ["__hash", item, "size", *tie], "size", "__offset", slim)
     joined = placed.join(targets, "__source")
     middle = F.col("__offset") + F.col("size") / F.lit(2.0)
     laps = [F.when(middle + k * F.col("source_size") < F.col("target"), F.lit(k)) for k in range(int(MOST))]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat_format, embed_dedup, mixing, permutation_index, rendezvous, simhash, token_counts, token_store, toxicity
@@ -19,13 +19,17 @@ def _tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _spans(name: str) -> Column:
+    """Spans as start-end, start-end."""
+    return F.array_join(F.transform(name, lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias(name)
+
+
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preference pairs of all conversations that share their first turn, formatted."""
+    """Preference pairs of all conversations that share their first turn, formatted; one without a partner has -1 there."""
     convs = written(chat_format.conversations(_table(spark, sf_dir, "conversations")), "conversations")
     out = chat_format.formatted(chat_format.paired(convs, convs.count()))
     return out.select(
-        "chosen_id", "rejected_id", "prefix_turns", "prompt", "chosen_completion", F.to_json("chosen_spans").alias("chosen_spans"),
-        "rejected_completion", F.to_json("rejected_spans").alias("rejected_spans"),
+        "chosen_id", F.coalesce("rejected_id", F.lit(-1)).alias("rejected_id"), "prefix_turns", "prompt", "chosen_completion", _spans("chosen_spans"), "rejected_completion", _spans("rejected_spans")
     )
 
 
@@ -83,11 +87,38 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the mix of all documents takes."""
-    docs = _table(spark, sf_dir, "documents")
-    out = mixing.mixed(docs.select("doc_id", "source", "text"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
+    """What the mix of all documents takes, and where in training each document comes first (-1: not at all)."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    out = mixing.mixed(written(docs, "documents"))
+    first = F.round(F.coalesce(F.get("positions", F.lit(0)), F.lit(-1.0)), 8)
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.col("copies").cast("long").alias("copies"), first.alias("first_position"))
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_bpe, op3_embed_dedup, op4_token_store, op5_sharding, op6_toxicity, op7_permutation_index, op8_token_counts, op9_simhash, op10_mixing)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_chat_format": r"""
+with t as (select conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns from conversations group by conv_id),
+k as (select *, md5(concat_ws(':', turns[1].role, turns[1].text)) as opening, md5('pair:' || coalesce(conv_id::varchar, '')) as h from t),
+r as (select *, row_number() over (partition by opening order by h, conv_id nulls first) - 1 as place from k),
+p as (select opening, place // 2 as pair, max(conv_id) filter (where place % 2 = 0) as chosen_id, any_value(turns) filter (where place % 2 = 0) as a, max(conv_id) filter (where place % 2 = 1) as rejected_id,
+ coalesce(any_value(turns) filter (where place % 2 = 1), []) as b from r group by all),
+n as (select *, coalesce(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[i] is distinct from b[i])[1] - 1, least(len(a), len(b)))::int as n from p),
+c as (select chosen_id, rejected_id, n as prefix_turns, a[1:n] as pre, a[n + 1:] as x, b[n + 1:] as y from n)
+select chosen_id, coalesce(rejected_id, -1) as rejected_id, prefix_turns, array_to_string(list_transform(pre, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), '') as prompt,
+ array_to_string(list_transform(x, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), '') as chosen_completion,
+ array_to_string(list_filter(list_transform(range(1, len(x) + 1), lambda i: case when x[i].role = 'assistant' then (coalesce(list_sum(list_transform(x[1:i - 1], lambda t: length(t.role) + length(t.text) + 13)), 0) + 14)::bigint || '-' || (list_sum(list_transform(x[1:i], lambda t: length(t.role) + length(t.text) + 13)))::bigint end), lambda s: s is not null), ',') as chosen_spans,
+ array_to_string(list_transform(y, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), '') as rejected_completion,
+ array_to_string(list_filter(list_transform(range(1, len(y) + 1), lambda i: case when y[i].role = 'assistant' then (coalesce(list_sum(list_transform(y[1:i - 1], lambda t: length(t.role) + length(t.text) + 13)), 0) + 14)::bigint || '-' || (list_sum(list_transform(y[1:i], lambda t: length(t.role) + length(t.text) + 13)))::bigint end), lambda s: s is not null), ',') as rejected_spans
+from c""",
+    "op10_mixing": r"""
+with s as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size, md5('mix:' || coalesce(doc_id::varchar, '')) as h from documents),
+g as (select source, sum(size)::bigint as source_size from s group by source),
+w as (select *, ([5.0, 2.0, 1.0])[n % 3 + 1]::double as weight, ([-0.5, 0.5, 0.0])[n % 3 + 1]::double as tilt from (select *, row_number() over (order by source nulls last) - 1 as n from g)),
+l as (select *, (1.5::double * sum(source_size) over () - 2.0::double * coalesce(sum(source_size) over u, 0)) / (sum(weight) over () - coalesce(sum(weight) over u, 0)) as level
+ from w window u as (order by source_size / weight, source nulls last rows between unbounded preceding and 1 preceding)),
+f as (select *, level * weight >= 2.0::double * source_size as is_full from l),
+t as (select source, source_size, tilt, coalesce(case when is_full then 2.0::double * source_size else v.level * weight end, 0) as target from f, (select arg_min(level, source_size / weight) as level from f where not is_full) v),
+o as (select *, coalesce(sum(size) over (partition by source order by h, doc_id nulls first, size rows between unbounded preceding and 1 preceding), 0) + size / 2.0::double as middle from s),
+j as (select o.*, source_size, target, tilt, (middle < target)::bigint + (middle + source_size < target)::bigint as copies from o join t on o.source is not distinct from t.source)
+select doc_id, size, source_size, target, copies * size as taken, copies, round(case when copies = 0 then -1.0::double else least(1.0::double, 2.0 * (middle / target) / (1 + tilt + sqrt(greatest((1 + tilt) * (1 + tilt) - 4.0 * tilt * (middle / target), 0)))) end, 8) as first_position from j""",
+}
