@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame
 
 from .common import more_fields
 
-#: A worker forgets its words when it knows this many: bounded memory.
-MOST_WORDS = 400_000
 #: Texts are taken together until they have this many bytes.
 BATCH_BYTES = 4_000_000
 
@@ -34,6 +32,9 @@ class WordBpe:
     leave the array, so a round costs what is still unfinished.
     """
 
+    #: A worker forgets the text pieces it knows when it knows this many: bounded memory.
+    most_pieces = 200_000
+
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -185,7 +186,7 @@ class Known:
 
         Texts are cut at ASCII white space and their distinct pieces found by Arrow, so only those become strings here.
         """
-        if len(self.at) > MOST_WORDS:
+        if len(self.at) > self.bpe.most_pieces:
             self._forget()
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         if self.bpe.cut and pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens may touch anything

@@ -108,7 +108,7 @@ class Scorer:
         """(number of words, maximal segments) of a whole text."""
         words = tokens_of(text)
         known = self.known
-        if len(known) > 300_000:
+        if len(known) > 150_000:
             known.clear()
         for w in set(words):
             if w not in known:

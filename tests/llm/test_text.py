@@ -52,7 +52,7 @@ def test_bpe_on_random_letters(library):
 
 
 def test_bpe_forgets_and_learns_again(library, monkeypatch):
-    monkeypatch.setattr(bpe, "MOST_WORDS", 1)
+    monkeypatch.setattr(bpe.WordBpe, "most_pieces", 1)
     known = bpe.Known(bpe.opened(PATH))
     for t in ("some words here", "other words there", "some words here"):
         assert known.ids(pa.array([t]))[0].tolist() == ids_of(library, t)
@@ -150,3 +150,15 @@ def test_token_counts_against_plain_programming(docs):
     long = token_counts.counted(docs.where("doc_id in (8, 9)"), path).collect()
     assert {r["doc_id"]: r["n_words"] for r in long} == {8: 30_000, 9: 1}
     assert token_counts.counted(docs.limit(0), path).count() == 0
+
+
+def test_token_store_files(spark, docs):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = new_folder(spark, "tokens")
+    token_store.write_tokens(docs, path, PATH, parts=1)
+    file = pq.ParquetFile(glob.glob(path.removeprefix("file://") + "/part-*.parquet")[0])
+    ids = next(c for c in map(file.metadata.row_group(0).column, range(3)) if c.path_in_schema.startswith("ids"))
+    assert "DELTA_BINARY_PACKED" in ids.encodings and ids.has_offset_index
