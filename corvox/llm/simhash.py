@@ -6,18 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import forest, near_offsets, per_block
 from .common import more_fields, written
 from .components import connected_components
+from .near_copies import deduplicated as deduplicated
+from .shingles import shingle_hashes, words_of
 
 #: Three segments: of at most 4 differing bits, one segment has at most one.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MOST_BITS = 4
-SEED = 42
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -27,18 +27,9 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     `words` neighbouring words joined by a blank, repeats counted; a shorter text is one shingle; a null text or one
     without words has fingerprint 0. The work is linear in the text.
     """
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not tokens:
+    hashes = shingle_hashes(words_of(text), words)
+    if not len(hashes):
         return 0
-    flat = b" ".join(tokens)
-    if len(tokens) <= words:
-        hashes = np.array([xxhash.xxh64_intdigest(flat, SEED)], "<u8")
-    else:
-        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        cuts = zip(starts[: len(tokens) - words + 1].tolist(), ends[words - 1 :].tolist())
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(flat[i:j], SEED) for i, j in cuts), "<u8", len(tokens) - words + 1)
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 15):
         part = hashes[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8)
@@ -129,20 +120,3 @@ def groups(prints: DataFrame, item: str, out: str = "component_id", block: int =
     named = classes.join(found.select(F.col("id").alias("__first"), F.col("component").alias("__found")), "__first", "left")
     named = named.select("fingerprint", F.coalesce("__found", "__first").alias(out))
     return prints.drop(out).join(named, "fingerprint")
-
-
-def deduplicated(docs: DataFrame, item: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group: the one whose item is the smallest of its group.
-
-    A null text counts as empty. Rows with a null item are kept as they are: they can't be named as copies. Rows with
-    the same item and fingerprint count as one document; of them one row stays. Columns named like the working
-    columns (those that start with two underscores) must not occur.
-    """
-    names = docs.columns
-    slim = docs.where(F.col(item).isNotNull()).select(F.col(item).cast("long").alias("__item"), F.col(text).alias("__text"))
-    prints = written(fingerprints(slim, "__text").select("__item", "fingerprint", F.xxhash64("__text").alias("__hash")), "prints")
-    leading = groups(prints, "__item").where(F.col("__item") == F.col("component_id"))
-    keep = leading.groupBy("__item", "fingerprint").agg(F.min("__hash").alias("__hash")).select("__item", "__hash")
-    marked = docs.withColumn("__item", F.col(item).cast("long")).withColumn("__hash", F.xxhash64(text))
-    kept = marked.join(keep, ["__item", "__hash"], "left_semi").dropDuplicates(["__item", "__hash"])
-    return kept.select(*names).unionByName(docs.where(F.col(item).isNull()))
