@@ -21,8 +21,9 @@ TRAIN_ROWS, MODEL_TOKENS = 40_000, 20_000
 #: A token counts if seen in as many training texts, its log-odds are as many standard errors above 0, and alone they
 #: would make its text toxic rather than clean.
 LEAST_TEXTS, LEAST_Z = 4, 4.0
-#: The Dirichlet prior weighs as much as so many texts with the token frequencies of all training texts.
-PRIOR = 300.0
+#: The Dirichlet prior weighs as much as so many texts with the token frequencies of all training texts, but no more than
+#: this share of the training texts: else it would outweigh the counts of a small table.
+PRIOR, PRIOR_SHARE = 300.0, 0.1
 #: Training texts that share the smallest hash of a 3-word shingle, by one of so many hash functions, count once.
 SKETCHES = 3
 #: First letters stand for unknown words if they are found in as many times more texts than any one word with them.
@@ -213,10 +214,17 @@ def token_odds(rows: DataFrame) -> dict[str, float]:
     n_t, n_c = max(1, sums["t"] or 0), max(1, sums["c"] or 0)
     texts = {r["toxic"]: r["count"] for r in rows.groupBy(F.col("toxic") > 0).count().toDF("toxic", "count").collect()}
     least = math.log(max(1, texts.get(False, 0)) / max(1, texts.get(True, 0)))
-    prior = F.lit(PRIOR / max(1, sum(texts.values()))) * (F.col("t") + F.col("c"))
+    n = max(1, sum(texts.values()))
+    prior = F.lit(min(PRIOR / n, PRIOR_SHARE)) * (F.col("t") + F.col("c"))
     own_t, own_c = F.col("t") + prior * n_t / (n_t + n_c), F.col("c") + prior * n_c / (n_t + n_c)
     odds = F.log(own_t / n_t) - F.log(own_c / n_c)
-    kept = counts.where(F.col("t") + F.col("c") >= LEAST_TEXTS).select("token", "t", odds.alias("odds"), (odds / F.sqrt(1 / own_t + 1 / own_c)).alias("z"))
+    z = odds / F.sqrt(1 / own_t + 1 / own_c)
+    if PRIOR_SHARE * n < PRIOR:  # few texts: the standard error, made for large counts, hides what the likelihood ratio shows
+        seen, share = F.col("t") + F.col("c"), F.lit(n_t / (n_t + n_c))
+        gain = lambda x, p: F.when(x > 0, x * F.log(x / (seen * p))).otherwise(0.0)
+        ratio = F.sqrt(2 * F.greatest(F.lit(0.0), gain(F.col("t"), share) + gain(F.col("c"), 1 - share)))
+        z = F.greatest(z, F.when(odds > 0, ratio).otherwise(0.0))
+    kept = counts.where(F.col("t") + F.col("c") >= LEAST_TEXTS).select("token", "t", odds.alias("odds"), z.alias("z"))
     best = kept.where((F.col("z") >= LEAST_Z) & (F.col("odds") > least)).orderBy(F.desc("z"), "token").limit(MODEL_TOKENS).collect()
     widest: dict[str, int] = {}
     for r in best:
