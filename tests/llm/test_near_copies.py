@@ -47,3 +47,15 @@ def test_near_copies_against_all_pairs(spark, block):
     assert len(links) > 50
     table = spark.createDataFrame([(i, texts[i]) for i in order], "doc_id long, text string").repartition(3)
     assert {r["doc_id"] for r in simhash.deduplicated(table, block=block).collect()} == want
+
+
+def test_a_line_repeated_often_joins_no_different_texts(spark):
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(6))
+    line = [word() for _ in range(12)]
+    texts = {i: " ".join([word() for _ in range(300)] + line * 200) for i in range(6)}
+    prints = [simhash.fingerprint(t) for t in texts.values()]
+    assert any((a ^ b).bit_count() <= 4 for a in prints for b in prints[prints.index(a) + 1 :])
+    assert max(similarity(shingles(texts[a]), shingles(texts[b])) for a in texts for b in range(a)) < 0.1  # far from copies
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert simhash.deduplicated(table).count() == len(texts)
