@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from .common import more_fields
 
 #: Texts are taken together until they have this many bytes.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 8_000_000
 
 _open: dict[str, "WordBpe"] = {}
 _known: dict[tuple, "Known"] = {}
@@ -33,7 +33,7 @@ class WordBpe:
     """
 
     #: A worker forgets the text pieces it knows when it knows this many: bounded memory.
-    most_pieces = 200_000
+    most_pieces = 1_000_000
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -77,22 +77,16 @@ class WordBpe:
         return self._lines(_normal(lines))
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets): the ids of words[k] are ids[offsets[k]:offsets[k + 1]]."""
+        """(ids, offsets): the ids of words[k], no special tokens, are ids[offsets[k]:offsets[k + 1]]."""
         raw = [w.encode() for w in words]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
-        special = np.fromiter((w in self.special for w in words), bool, len(words))
         bytes_ = np.frombuffer(b"".join(raw), np.uint8)
         symbols = self.inner[bytes_]
         ends = np.cumsum(size)
         full = size > 0
         symbols[ends[full] - 1] = self.last[bytes_[ends[full] - 1]]
         word = np.repeat(np.arange(len(words)), size)
-        mine = ~special[word] if special.any() else slice(None)
-        done_s, done_w = self._merged(symbols[mine], word[mine])
-        if special.any():
-            which = np.flatnonzero(special)
-            done_s = np.concatenate([done_s, [self.special[words[k]] for k in which]])
-            done_w = np.concatenate([done_w, which])
+        done_s, done_w = self._merged(symbols, word)
         order = np.argsort(done_w, kind="stable")
         offsets = np.searchsorted(done_w[order], np.arange(len(words) + 1))
         return done_s[order].astype(np.int32), offsets
@@ -165,83 +159,71 @@ def opened(path: str) -> WordBpe:
 
 
 class Known:
-    """What a worker knows of the text pieces between white space that it has met: their ids, in one flat array.
+    """What a worker knows of the text pieces between white space that it has met: their ids, in flat arrays.
 
     White space ends every pre-token and no composition crosses it, so a piece's ids don't depend on its neighbours.
+    Pieces stay in Arrow arrays; only those that are new become strings here. When a worker knows more than
+    `most_pieces`, it forgets all but those of the texts at hand.
     """
 
     def __init__(self, bpe: WordBpe) -> None:
         self.bpe = bpe
         self.digits = np.array([str(i) for i in range(len(bpe.tokens))], object)
         self.shown = np.array(bpe.tokens, object)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.at: dict[str, int] = {}
-        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pieces = pa.array([], pa.string())
+        self.offsets = np.zeros(1, np.int32)  # the ids of pieces[k] are flat[offsets[k]:offsets[k + 1]]
         self.flat = np.zeros(0, np.int32)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets): the ids of texts[k] are ids[offsets[k]:offsets[k + 1]]; a null text has none.
-
-        Texts are cut at ASCII white space and their distinct pieces found by Arrow, so only those become strings here.
-        """
-        if len(self.at) > self.bpe.most_pieces:
-            self._forget()
+        """(ids, offsets): the ids of texts[k] are ids[offsets[k]:offsets[k + 1]]; a null text has none."""
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         if self.bpe.cut and pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens may touch anything
             pieces = pa.array([self.bpe.split(t) if t and "<|" in t else own for t, own in zip(texts.to_pylist(), pieces.to_pylist())], pa.list_(pa.string()))
-        coded = pieces.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        place = np.fromiter(map(self.at.get, distinct, repeat(-1)), np.int64, len(distinct))
+        flat = pieces.flatten()
+        coded = pc.if_else(pc.string_is_ascii(flat), pc.ascii_lower(flat), flat).dictionary_encode()
+        place = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.pieces), -1).to_numpy().copy()
         missing = np.flatnonzero(place < 0)
         if len(missing):
-            place[missing] = np.arange(len(self.at), len(self.at) + len(missing))
-            self._learn([distinct[i] for i in missing.tolist()], place[missing])
-        index = place[coded.indices.to_numpy()]
-        count = self.count[index]
-        ends = np.concatenate([[0], np.cumsum(count)])
-        from_ = np.repeat((self.start[index] - ends[:-1]).astype(np.int32), count)
-        from_ += np.arange(ends[-1], dtype=np.int32)
-        return self.flat[from_], ends[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
-
-    def _learn(self, new: list[str], numbers: np.ndarray) -> None:
-        at, special = self.at, self.bpe.special
-        plain = [x for x in new if x not in special]
-        flat_words = self.bpe.words_in_lines("\n".join(plain)) if plain else []
-        if len(plain) < len(new):
-            lines = iter(self._lines(flat_words) if plain else [])
-            flat_words = []
-            for x in new:
-                flat_words += [*([x] if x in special else next(lines)), "\n"]
-            flat_words.pop()
-        words = dict.fromkeys(flat_words)
+            if len(self.pieces) + len(missing) > self.bpe.most_pieces:
+                met = np.flatnonzero(place >= 0)
+                self._keep(place[met])
+                place[met] = np.arange(len(met))
+            place[missing] = len(self.pieces) + np.arange(len(missing))
+            new = coded.dictionary.take(pa.array(missing))
+            self._learn(new.to_pylist())
+            self.pieces = pa.concat_arrays([self.pieces, new])
+        found = self._lists().take(pa.array(place[coded.indices.to_numpy()]))
+        return found.values.to_numpy(), found.offsets.to_numpy()[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
+
+    def _lists(self) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(self.offsets), pa.array(self.flat))
+
+    def _keep(self, at: np.ndarray) -> None:
+        """Forgets all pieces but those at these places."""
+        places = pa.array(at)
+        left = self._lists().take(places)
+        self.pieces, self.offsets, self.flat = self.pieces.take(places), left.offsets.to_numpy(), left.values.to_numpy()
+
+    def _learn(self, new: list[str]) -> None:
+        special = self.bpe.special
+        lines = self.bpe.words_in_lines("\n".join(["" if x in special else x for x in new]))
+        words = dict.fromkeys(lines)
         words.pop("\n", None)
         words = dict(zip(words, range(len(words))))
-        order = np.fromiter(map(words.get, flat_words, repeat(-1)), np.int64, len(flat_words))
-        ends_ = np.append(np.flatnonzero(order < 0), len(order))  # one line for each piece
-        number = np.diff(ends_, prepend=-1) - 1
+        order = np.fromiter(map(words.get, lines, repeat(-1)), np.int64, len(lines))
+        line = np.cumsum(order < 0)[order >= 0]  # the number of the piece that each word stands in
         index = order[order >= 0]
         ids, offsets = self.bpe.encode_words(list(words))
         size = np.diff(offsets)[index]
         ends = np.concatenate([[0], np.cumsum(size)])
         flat = ids[np.repeat(offsets[:-1][index] - ends[:-1], size) + np.arange(ends[-1])]
-        cuts = ends[np.concatenate([[0], np.cumsum(number)])]
-        base = len(self.flat)
-        at.update(zip(new, numbers.tolist()))
-        self.start = np.concatenate([self.start, cuts[:-1] + base])
-        self.count = np.concatenate([self.count, np.diff(cuts)])
-        self.flat = np.concatenate([self.flat, flat])
-
-    @staticmethod
-    def _lines(words: list[str]) -> list[list[str]]:
-        out: list[list[str]] = [[]]
-        for w in words:
-            if w == "\n":
-                out.append([])
-            else:
-                out[-1].append(w)
-        return out
+        count = np.bincount(line, size, len(new)).astype(np.int64)
+        marks = [k for k, x in enumerate(new) if x in special]
+        if marks:
+            flat = np.insert(flat, np.cumsum(count)[marks], [special[new[k]] for k in marks])
+            count[marks] = 1
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(count)]).astype(np.int32)
+        self.flat = np.concatenate([self.flat, flat]).astype(np.int32)
 
 
 def known_of(path: str, opener=opened) -> Known:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .bpe import WordBpe, _byte_letters, encoded
 from .common import more_fields
@@ -22,22 +21,23 @@ ROW_GROUP, PAGE, PAGE_ROWS = 8 << 20, 256 << 10, 500
 
 
 class LibraryBpe(WordBpe):
-    """The same pre-tokens, each encoded once by the tokenizers library."""
-
-    most_pieces = 400_000
+    """The same pre-tokens, each encoded by the tokenizers library, many at a time."""
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
-        self.model = Tokenizer.from_file(path).model
         self.letters = {b: c for b, c in enumerate(_byte_letters())}
+        self.encoder = Tokenizer(Tokenizer.from_file(path).model)
+        self.encoder.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(self.letters[10])
+        self.ends_word = np.array([bool(self.end) and t.endswith(self.end) for t in self.tokens])
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        tokenize, special = self.model.tokenize, self.special
+        """(ids, offsets); no word's bytes hold a line end, so its letter parts the words, and each ends in one token."""
         joined = "\n".join(words).encode().decode("latin-1").translate(self.letters)
-        mapped = joined.split(self.letters[10]) if words else []  # no other character's bytes hold a line end
-        found = [[special[w]] if w in special else [t.id for t in tokenize(m)] for w, m in zip(words, mapped)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int32, int(size.sum())), np.concatenate([[0], np.cumsum(size)])
+        ids = np.array(self.encoder.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
+        offsets = np.concatenate([[0], np.flatnonzero(self.ends_word[ids]) + 1])
+        if len(offsets) != len(words) + 1:
+            raise ValueError("the tokenizer file doesn't mark the ends of words")
+        return ids, offsets
 
 
 def opened(path: str) -> LibraryBpe:
