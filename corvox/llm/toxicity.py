@@ -16,19 +16,20 @@ from pyspark.sql import functions as F
 
 from .common import more_fields, written
 
-#: Bounds of the model: labelled rows that are used, tokens that are kept. Corpus tables never reach the driver.
-TRAIN_ROWS, MODEL_TOKENS = 40_000, 20_000
-#: A token counts if seen in as many training texts, its log-odds are as many standard errors above 0, and alone they
-#: would make its text toxic rather than clean.
-LEAST_TEXTS, LEAST_Z = 4, 4.0
+#: About so many labelled rows, at most, are used for training. Corpus tables never reach the driver.
+TRAIN_ROWS = 40_000
+#: So many tokens of the training texts are expected to mark toxic texts before anything is counted.
+MARKERS = 50
 #: The Dirichlet prior weighs as much as so many texts with the token frequencies of all training texts, but no more than
 #: this share of the training texts: else it would outweigh the counts of a small table.
 PRIOR, PRIOR_SHARE = 300.0, 0.1
 #: Training texts that share the smallest hash of a 3-word shingle, by one of so many hash functions, count once.
 SKETCHES = 3
+#: Each training row's evidence for the final weights comes from tokens weighed on the other folds.
+FOLDS = 3
 #: First letters stand for unknown words if they are found in as many times more texts than any one word with them.
 STEM_SPREAD = 1.5
-#: A token that the model doesn't know; a positive segment breaks when it drops by what it had gained.
+#: What each token costs, and all that one costs that the model doesn't know; a segment breaks when it drops by its gain.
 DRIFT = -0.5
 #: Leading letters of a word that stand for it where the word itself is unknown.
 STEMS = (6, 5, 4)
@@ -40,12 +41,12 @@ _words = regex.compile(r"\w+").findall
 
 @dataclass
 class Model:
-    """Token log-odds, the extreme-value parameters of clean texts and the weights of the final score."""
+    """Scores of tokens above 0, the extreme-value parameters of clean texts and the weights of the final score."""
 
     odds: dict[str, float] = field(default_factory=dict)
     lam: float = 1.0
     k: float = 1.0
-    weights: tuple[float, ...] = (-4.0, 0.0, 0.0, 0.0)
+    weights: tuple[float, ...] = (-4.0, 1.0, 1.0, 0.0)
 
 
 def tokens_of(text: str | None) -> list[str]:
@@ -95,7 +96,7 @@ class Scorer:
         self.model, self.known = model, {}
 
     def odds(self, word: str) -> float:
-        """The log-odds of a word, or of its longest known stem, or the drift."""
+        """The score of a word, or of its longest known stem, or the drift."""
         own = self.model.odds
         found = own.get(word)
         for n in STEMS:
@@ -134,10 +135,14 @@ class Scorer:
                 kept.append((s, i, j))
         return n, best, total, kept
 
+    @staticmethod
+    def inputs(best: float, total: float, kept: list[tuple[float, int, int]]) -> tuple[float, float, float]:
+        """What the final weights are for."""
+        return math.log1p(best), math.log1p(total), math.log1p(sum(s for s, _, _ in kept))
+
     def score(self, best: float, total: float, kept: list[tuple[float, int, int]]) -> float:
         """The calibrated chance that a text is toxic."""
-        x = (math.log1p(best), math.log1p(total), math.log1p(sum(s for s, _, _ in kept)))
-        z = self.model.weights[0] + sum(w * v for w, v in zip(self.model.weights[1:], x))
+        z = self.model.weights[0] + sum(w * v for w, v in zip(self.model.weights[1:], self.inputs(best, total, kept)))
         return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, z))))
 
 
@@ -147,10 +152,10 @@ def held_out(item: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, item: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """(text, toxic, part): labelled rows outside the held-out fold, equal texts once, about TRAIN_ROWS of them at most.
+    """(text, toxic, fold): labelled rows outside the held-out fold, equal texts once, about TRAIN_ROWS of them at most.
 
-    An id with several labels counts as toxic if any of them says so; null labels and ids are left out. `part` sends
-    two thirds of the rows to the token counts (0) and the others to the calibration (1).
+    An id with several labels counts as toxic if any of them says so; null labels and ids are left out. `fold`,
+    from 0 to FOLDS - 1, follows a hash of the text.
     """
     own = labels.where(F.col(label).isNotNull() & F.col(item).isNotNull() & ~held_out(F.col(item)))
     own = own.groupBy(F.col(item).alias("__item")).agg(F.max(label).cast("int").alias("toxic"))
@@ -166,8 +171,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, item: str = "doc_id", text
     kept = marked
     for m in marks:
         kept = kept.join(marked.groupBy(m).agg(F.min(first).alias("__first")), m).where(first == F.col("__first")).drop("__first")
-    part = F.when(F.pmod("__hash", F.lit(3)) == 2, 1).otherwise(0)
-    return found.select("__item", "text").join(kept.select("__item", "toxic", part.alias("part")).dropDuplicates(["__item"]), "__item").drop("__item")
+    fold = F.pmod("__hash", F.lit(FOLDS)).cast("int")
+    return found.select("__item", "text").join(kept.select("__item", "toxic", fold.alias("fold")).dropDuplicates(["__item"]), "__item").drop("__item")
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,82 +188,92 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *(f"__mark{k}" for k in range(SKETCHES))])
 
 
-def token_odds(rows: DataFrame) -> dict[str, float]:
-    """Log-odds of tokens between toxic and clean texts under a Dirichlet prior; the MODEL_TOKENS that differ most.
+def token_counts(rows: DataFrame) -> DataFrame:
+    """(token, t0, c0, t1, c1, ...): in how many toxic and clean texts of each fold a token is found.
 
     Texts are counted, not occurrences, so that one text weighs little. Counts are summed in each task, then by token.
     """
+    names = [f"{kind}{k}" for k in range(FOLDS) for kind in "tc"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic: Counter[str] = Counter()
-        clean: Counter[str] = Counter()
+        held: list[Counter[str]] = [Counter() for _ in names]
 
         def out() -> Iterator[pa.RecordBatch]:
-            names = list(toxic.keys() | clean.keys())
-            columns = [pa.array(names, pa.string()), pa.array([toxic[w] for w in names], pa.int64()), pa.array([clean[w] for w in names], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "in_toxic", "in_clean"])
-            toxic.clear()
-            clean.clear()
+            tokens = list(set().union(*held))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), *(pa.array([h[w] for w in tokens], pa.int64()) for h in held)], ["token", *names])
+            for h in held:
+                h.clear()
 
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (toxic if label else clean).update(features(set(tokens_of(text))))
-                if len(toxic) + len(clean) > 300_000:
+            for text, label, fold in zip(*(c.to_pylist() for c in batch.columns)):
+                held[2 * fold + (not label)].update(features(set(tokens_of(text))))
+                if sum(map(len, held)) > 300_000:
                     yield from out()
-        if toxic or clean:
+        if any(held):
             yield from out()
 
-    counts = rows.select("text", "toxic").mapInArrow(count, "token string, in_toxic long, in_clean long")
-    counts = written(counts.groupBy("token").agg(F.sum("in_toxic").alias("t"), F.sum("in_clean").alias("c")), "counts")
-    sums = counts.agg(F.sum("t").alias("t"), F.sum("c").alias("c")).first()
+    counts = rows.select("text", "toxic", "fold").mapInArrow(count, "token string, " + ", ".join(f"{n} long" for n in names))
+    return written(counts.groupBy("token").agg(*(F.sum(n).alias(n) for n in names)), "counts")
+
+
+def token_scores(counts: DataFrame, folds: list[int], texts: int) -> dict[str, float]:
+    """Scores of the tokens that speak for toxic texts: log-odds under a Dirichlet prior, shrunk by doubt, less the drift.
+
+    counts: from token_counts; of them those of the given folds are used, which hold so many texts. A token found in n
+    texts is a marker with a chance that follows by Bayes' rule from the prior one, MARKERS out of all tokens, and the
+    evidence of its counts: the likelihood ratio at its own share of toxic texts against the common share, over n + 1,
+    which is the least that the ratio can be on average over all shares. Its log-odds are weighed by that chance. Tokens
+    that don't score above 0 then can't begin a segment and count as unknown. A token that marks nothing has an
+    evidence of 1 on average, so chances of x and more come to MARKERS / x such tokens at most, however many there
+    are: what reaches the driver is bounded by that and the true markers.
+    """
+    t, c = (sum((F.col(f"{kind}{k}") for k in folds), F.lit(0)) for kind in "tc")
+    own = counts.select("token", t.alias("t"), c.alias("c")).where("t + c > 0")
+    sums = own.agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("tokens")).first()
     n_t, n_c = max(1, sums["t"] or 0), max(1, sums["c"] or 0)
-    texts = {r["toxic"]: r["count"] for r in rows.groupBy(F.col("toxic") > 0).count().toDF("toxic", "count").collect()}
-    least = math.log(max(1, texts.get(False, 0)) / max(1, texts.get(True, 0)))
-    n = max(1, sum(texts.values()))
-    prior = F.lit(min(PRIOR / n, PRIOR_SHARE)) * (F.col("t") + F.col("c"))
-    own_t, own_c = F.col("t") + prior * n_t / (n_t + n_c), F.col("c") + prior * n_c / (n_t + n_c)
-    odds = F.log(own_t / n_t) - F.log(own_c / n_c)
-    z = odds / F.sqrt(1 / own_t + 1 / own_c)
-    if PRIOR_SHARE * n < PRIOR:  # few texts: the standard error, made for large counts, hides what the likelihood ratio shows
-        seen, share = F.col("t") + F.col("c"), F.lit(n_t / (n_t + n_c))
-        gain = lambda x, p: F.when(x > 0, x * F.log(x / (seen * p))).otherwise(0.0)
-        ratio = F.sqrt(2 * F.greatest(F.lit(0.0), gain(F.col("t"), share) + gain(F.col("c"), 1 - share)))
-        z = F.greatest(z, F.when(odds > 0, ratio).otherwise(0.0))
-    kept = counts.where(F.col("t") + F.col("c") >= LEAST_TEXTS).select("token", "t", odds.alias("odds"), z.alias("z"))
-    best = kept.where((F.col("z") >= LEAST_Z) & (F.col("odds") > least)).orderBy(F.desc("z"), "token").limit(MODEL_TOKENS).collect()
+    share, seen = n_t / (n_t + n_c), F.col("t") + F.col("c")
+    strength = F.lit(min(PRIOR / max(1, texts), PRIOR_SHARE)) * seen
+    odds = F.log((F.col("t") + strength * share) / n_t) - F.log((F.col("c") + strength * (1 - share)) / n_c)
+    gain = lambda x, p: F.when(x > 0, x * F.log(x / (seen * p))).otherwise(0.0)
+    evidence = gain(F.col("t"), share) + gain(F.col("c"), 1 - share) - F.log(seen + 1)
+    before = min(0.5, MARKERS / max(1, sums["tokens"]))
+    chance = F.lit(1.0) / (F.lit(1.0) + F.lit((1 - before) / before) * F.exp(-evidence))
+    best = own.select("token", "t", (chance * odds + DRIFT).alias("score")).where((F.col("score") > 0) & (odds > 0)).collect()
     widest: dict[str, int] = {}
     for r in best:
         if not r["token"].endswith("-"):
             for n in STEMS:
                 widest[r["token"][:n] + "-"] = max(widest.get(r["token"][:n] + "-", 0), r["t"])
-    return {r["token"]: r["odds"] for r in best if not r["token"].endswith("-") or r["t"] >= STEM_SPREAD * max(1, widest.get(r["token"], 0))}
+    return {r["token"]: r["score"] for r in best if not r["token"].endswith("-") or r["t"] >= STEM_SPREAD * max(1, widest.get(r["token"], 0))}
 
 
 def _fit_extremes(n: np.ndarray, best: np.ndarray) -> tuple[float, float]:
     """(lam, k) of the law of the best segment of n clean words: by likelihood, over a grid of lam.
 
-    A text without a positive segment (best 0) has its chance under the law, exp(-k n).
+    A text without a positive segment (best 0) has its chance under the law, exp(-k n). Half a segment more than was
+    seen keeps k above 0; without any, lam is 1.
     """
     up = best > 0
-    if not up.any():
-        return 1.0, 1e-6
     size = np.maximum(n, 1).astype(float)
+    if not len(n):
+        return 1.0, 1.0
     fits = []
-    for lam in np.geomspace(0.05, 5.0, 60):
-        k = up.sum() / (np.sum(size[up] * np.exp(-lam * best[up])) + size[~up].sum())
+    for lam in np.geomspace(0.05, 5.0, 60) if up.any() else [1.0]:
+        k = (up.sum() + 0.5) / (np.sum(size[up] * np.exp(-lam * best[up])) + size[~up].sum())
         fits.append((float(np.sum(np.log(lam * k) + np.log(size[up]) - lam * best[up]) - up.sum()), lam, k))
     return max(fits)[1:]
 
 
-def _fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Ridge logistic regression by Newton's method; slopes are kept from falling below 0."""
+def _fit_logistic(x: np.ndarray, y: np.ndarray, usual: tuple[float, ...]) -> tuple[float, ...]:
+    """Ridge logistic regression around the usual weights by Newton's method; slopes are kept from falling below 0."""
     a = np.column_stack([np.ones(len(x)), x])
-    w = np.zeros(a.shape[1])
+    w0 = np.array(usual)
+    w = w0.copy()
     penalty = np.diag([1e-3] + [1e-2] * x.shape[1])
-    for _ in range(50):
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + penalty, a.T @ (p - y) + penalty @ w)
-        w -= step
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + penalty, a.T @ (p - y) + penalty @ (w - w0))
+        w -= step / max(1.0, np.abs(step).max())  # no step is longer than 1: far from the end Newton's overshoot
         if np.abs(step).max() < 1e-8:
             break
     return (float(w[0]), *np.maximum(w[1:], 0.0).tolist())
@@ -267,36 +282,42 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
     """A model from the labelled rows of docs outside the held-out fold.
 
-    Tokens are weighed on two thirds of the training rows. On the others, of which four numbers each come to the driver
-    (at most TRAIN_ROWS rows), the best segments of clean texts give the extreme-value law, and the evidence of all
-    gives the final weights. Without rows of both labels the model finds nothing toxic.
+    Tokens are weighed on all training rows; and for each fold of them on the other folds, for what follows. The best
+    segments of clean texts give the extreme-value law, and by that law the evidence of all segments of each whole text
+    gives the final weights; of each row (TRAIN_ROWS at most) a few numbers come to the driver for that. Both are shrunk
+    towards usual values, so few rows do. Without rows of both labels the model finds nothing toxic.
     """
     rows = written(training_rows(docs, labels, **names), "training")
-    model = Model(odds=token_odds(rows.where("part = 0")))
-    if not any(v > 0 for v in model.odds.values()):
-        return Model()
+    counts = token_counts(rows)
+    texts = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
+    chosen = lambda folds: token_scores(counts, folds, sum(texts.get(k, 0) for k in folds))
+    model = Model(odds=chosen([*range(FOLDS)]))
+    if not model.odds:
+        return model
+    others = [Model(odds=chosen([j for j in range(FOLDS) if j != k])) for k in range(FOLDS)]
+    told = rows.select("text", "toxic", "fold")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorers = [*map(Scorer, others)]
         for batch in batches:
-            found = [scorer.segments(t) for t in batch.column(0).to_pylist()]
+            found = [scorers[fold].segments(text) for text, fold in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
             columns = [pa.array([n for n, _ in found], pa.int64()), pa.array([max([s for s, _, _ in f], default=0.0) for _, f in found], pa.float64())]
-            tops = [sorted((s for s, _, _ in f), reverse=True)[:50] for _, f in found]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(tops, pa.list_(pa.float64())), batch.column(1)], ["n", "best", "tops", "toxic"])
+            yield pa.RecordBatch.from_arrays(columns, ["n", "best"])
 
-    seen = rows.where("part = 1").select("text", "toxic").mapInArrow(best, "n long, best double, tops array<double>, toxic int").toPandas()
-    y = (seen["toxic"] > 0).to_numpy(float)
-    if not 0 < y.sum() < len(y):
-        return model
-    clean = y == 0
-    model.lam, model.k = _fit_extremes(seen["n"].to_numpy()[clean], seen["best"].to_numpy()[clean])
-    chances = []
-    for n, tops in zip(seen["n"], seen["tops"]):
-        mean = model.k * max(n, 1) * np.exp(-model.lam * np.asarray(tops, float))
-        own = -np.log(np.maximum(-np.expm1(-mean), 1e-300))
-        kept = own >= -math.log(SIGNIFICANT)
-        chances.append((own.max(initial=0.0), own[kept].sum(), np.asarray(tops, float)[kept].sum()))
-    model.weights = _fit_logistic(np.log1p(np.array(chances)), y)
+    clean = told.where("toxic = 0").mapInArrow(best, "n long, best double").toPandas()
+    model.lam, model.k = _fit_extremes(clean["n"].to_numpy(), clean["best"].to_numpy())
+    for m in others:
+        m.lam, m.k = model.lam, model.k
+
+    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorers = [*map(Scorer, others)]
+        for batch in batches:
+            found = [scorers[fold].evidence(text) for text, fold in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+            columns = zip(*(Scorer.inputs(*f[1:]) for f in found)) if found else [[]] * 3
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.float64()) for c in columns), batch.column(1)], ["best", "total", "sum", "toxic"])
+
+    seen = told.mapInArrow(evidence, "best double, total double, sum double, toxic int").toPandas()
+    model.weights = _fit_logistic(seen[["best", "total", "sum"]].to_numpy(), (seen["toxic"] > 0).to_numpy(float), Model.weights)
     return model
 
 
