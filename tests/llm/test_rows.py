@@ -180,6 +180,33 @@ def test_search_small(spark):
     assert permutation_index.search(few.limit(0), F.col("item") == 0, "item", "v", 20).count() == 0
 
 
+def test_search_takes_the_smallest_of_equal_vectors(spark):
+    draw = np.random.default_rng(6)
+    x = draw.standard_normal((300, 8)).tolist() + [[3.0] * 8] * 200
+    rows = list(enumerate(x))
+    table = spark.createDataFrame(rows[::-1], "item long, v array<double>").repartition(5)
+    out = groups(permutation_index.search(table, F.col("item") >= 450, "item", "v", 5).collect(), "query_id")
+    assert sorted(out) == list(range(450, 500))
+    for i, own in out.items():
+        assert [(r["rank"], r["item"]) for r in sorted(own, key=lambda r: r["rank"])] == [(k + 1, 300 + k) for k in range(5)]
+
+
+def test_search_is_routed_where_vectors_cluster(spark):
+    draw = np.random.default_rng(7)
+    centres = draw.standard_normal((40, 16)) * 4
+    x = centres[draw.integers(0, 40, 4000)] + draw.standard_normal((4000, 16)) * 0.3
+    pivots = permutation_index.Pivots(x[:1500], float(np.linalg.norm(x, axis=1).max()), 40, 10)
+    assert pivots.routes < 20
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "item long, v array<double>")
+    out = groups(permutation_index.search(table, F.col("item") % 50 == 0, "item", "v", 10).collect(), "query_id")
+    hits = 0
+    for i, own in out.items():
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += len({r["item"] for r in own} & set(np.argsort(-score)[:10].tolist()))
+    assert hits >= 0.9 * 10 * len(out)
+
+
 def all_segments(scores):
     """Maximal segments by their definition: the best one, then the same on both sides of it."""
     best = max(((sum(scores[i : j + 1]), -(j - i), i, j) for i in range(len(scores)) for j in range(i, len(scores))), default=(0,))
