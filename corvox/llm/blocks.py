@@ -21,7 +21,8 @@ def block_rows(rows: DataFrame, key: str, item: str, block: int, name: str) -> D
 
     A bucket (the rows of one key) of up to `block` rows is one block. A larger one is cut into n parts by a hash of
     the item, and each pair of parts (a part with itself too) is a block: every two members meet in at least one, and
-    no task ever gets more than two parts at once. Adds `__block`, the block's number, `__part`, the row's part, and
+    no task ever gets more than two parts at once. Each row is sent n times. n is N / block for N up to 16 * block rows
+    and grows with the root of N beyond, as the parts then do too: so what is sent grows with N to the power 1.5. Adds `__block`, the block's number, `__part`, the row's part, and
     `__own`, whether the block is that part with itself; only there are pairs of one part to be counted.
     `rows` is computed twice. Only the counts of crowded buckets are joined back, by broadcast if they are few.
     """
@@ -29,7 +30,8 @@ def block_rows(rows: DataFrame, key: str, item: str, block: int, name: str) -> D
     crowded = written(crowded, name)
     few = crowded.limit(BROADCAST_BUCKETS + 1).count() <= BROADCAST_BUCKETS
     counted = rows.join(F.broadcast(crowded) if few else crowded, key, "left")
-    parts = F.coalesce(F.ceil(F.col("__n") / block), F.lit(1)).cast("int")
+    times = F.col("__n") / block
+    parts = F.coalesce(F.ceil(F.least(times, 4 * F.sqrt(times))), F.lit(1)).cast("int")
     numbered = counted.withColumn("__parts", parts).withColumn(
         "__part", F.pmod(F.xxhash64(F.col(item), F.lit(7)), F.col("__parts")).cast("int")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hex_digits, running_total
+from .common import hex_buckets, running_total
 
 #: How a turn is written, and whose turns count for the loss.
 OPEN, MIDDLE, CLOSE, LEARNED = "<|", "|>\n", "<|end|>\n", "assistant"
@@ -77,13 +77,15 @@ def paired(convs: DataFrame, count: int) -> DataFrame:
     """(opening, pair, chosen_id, chosen, rejected_id, rejected): conversations with the same first turn, two by two.
 
     Inside an opening the conversations stand in the order of a hash of their id; the first of two is taken as chosen,
-    and the last of an odd number has no partner. However many share an opening, places are counted in buckets, and
+    and the last of an odd number has no partner. A null conv is a conversation like others. Of convs only the columns
+    conv and turns are read, so others can't clash; an empty table gives no rows. However many share an opening, places are counted in buckets, and
     each pair is put together by its own key.
     """
     first = F.get("turns", F.lit(0))
-    keyed = convs.withColumn("opening", F.md5(F.concat_ws(":", first["role"], first["text"])))
+    told = F.concat_ws(":", F.length(first["role"]), first["role"], first["text"])  # the length keeps role and text apart
+    keyed = convs.select("conv", "turns", F.md5(told).alias("opening"))
     keyed = keyed.withColumn("__hash", F.md5(F.concat(F.lit("pair:"), F.coalesce(F.col("conv").cast("string"), F.lit("")))))
-    placed = running_total(keyed, ["opening"], F.substring("__hash", 1, hex_digits(count)), ["__hash", "conv"], None, "__place")
+    placed = running_total(keyed, ["opening"], hex_buckets("__hash", count), ["__hash", "conv"], None, "__place")
     side = F.pmod("__place", F.lit(2))
     return placed.groupBy("opening", F.floor(F.col("__place") / 2).alias("pair")).agg(
         F.max(F.when(side == 0, F.col("conv"))).alias("chosen_id"),

@@ -75,24 +75,30 @@ def more_fields(df: DataFrame, ddl: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
 
 
-def running_total(df: DataFrame, keys: list[str], bucket: Column, order: list[str], size: str | None, out: str, totals_from: DataFrame | None = None) -> DataFrame:
+def running_total(df: DataFrame, keys: list[str], buckets: tuple[Column, Column], order: list[str], size: str | None, out: str, totals_from: DataFrame | None = None) -> DataFrame:
     """Adds `out`: the sum of `size` (or the number of rows) before each row of its group, in the given order.
 
-    No task ever holds a whole group. `bucket` must not fall along `order`; the groups are cut into buckets, bucket
-    totals (few rows) are summed along the group, and rows are ranked inside their bucket only. keys must not be null. totals_from, where the bucket's columns, the keys
-    and the size are already at hand, spares computing them twice.
+    No task ever holds a whole group. `buckets` are a coarse and a fine cut of the groups, the fine one inside the
+    coarse one; neither falls along `order`. Rows are ranked inside their fine bucket, the totals of fine buckets inside
+    their coarse one, and only the totals of coarse buckets along the group. keys must not be null. totals_from, where
+    the buckets' columns, the keys and the size are already at hand, spares computing them twice. df has no columns
+    with the names of the working columns, which start with two underscores.
     """
     amount = F.col(size) if size else F.lit(1)
-    cut = df.withColumn("__bucket", bucket)
-    source = cut if totals_from is None else totals_from.withColumn("__bucket", bucket)
-    totals = source.groupBy(*keys, "__bucket").agg(F.sum(amount).alias("__total"))
-    along = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*keys, "__bucket", F.coalesce(F.sum("__total").over(along), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    coarse, fine = buckets
+    cut = df.withColumn("__coarse", coarse).withColumn("__fine", fine)
+    source = cut if totals_from is None else totals_from.withColumn("__coarse", coarse).withColumn("__fine", fine)
+    before = lambda own, by: Window.partitionBy(*own).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    totals = source.groupBy(*keys, "__coarse", "__fine").agg(F.sum(amount).alias("__total"))
+    above = totals.groupBy(*keys, "__coarse").agg(F.sum("__total").alias("__total"))
+    above = above.select(*keys, "__coarse", F.coalesce(F.sum("__total").over(before(keys, "__coarse")), F.lit(0)).alias("__above"))
+    starts = totals.select(*keys, "__coarse", "__fine", F.coalesce(F.sum("__total").over(before([*keys, "__coarse"], "__fine")), F.lit(0)).alias("__start"))
+    starts = starts.join(above, [*keys, "__coarse"]).select(*keys, "__coarse", "__fine", (F.col("__above") + F.col("__start")).alias("__start"))
+    inside = Window.partitionBy(*keys, "__coarse", "__fine").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        cut.join(starts, [*keys, "__bucket"])
+        cut.join(starts, [*keys, "__coarse", "__fine"])
         .withColumn(out, (F.col("__start") + F.coalesce(F.sum(amount).over(inside), F.lit(0))).cast("long"))
-        .drop("__bucket", "__start")
+        .drop("__coarse", "__fine", "__start")
     )
 
 
@@ -101,11 +107,23 @@ def bits_for(rows: int, per_bucket: int = 64, least: int = 8, most: int = 40) ->
     return max(least, min(most, max(1, rows // per_bucket).bit_length()))
 
 
-def hex_digits(rows: int) -> int:
-    """How many leading hex digits of a hash cut `rows` rows into buckets of a few hundred at most."""
-    return -(-bits_for(rows) // 4)
+def hex_buckets(hash_col: str, rows: int) -> tuple[Column, Column]:
+    """Coarse and fine buckets by leading hex digits of a hash: fine ones of a few hundred of `rows` rows at most."""
+    digits = -(-bits_for(rows) // 4)
+    return F.substring(hash_col, 1, digits // 2), F.substring(hash_col, 1, digits)
 
 
-def top_bits(hash_col: str, bits: int) -> Column:
-    """The leading bits of a signed 64-bit hash; they don't fall as the hash rises."""
-    return F.shiftright(F.col(hash_col), 64 - bits)
+def bit_buckets(hash_col: str, rows: int) -> tuple[Column, Column]:
+    """The same by leading bits of a signed 64-bit hash, which don't fall as the hash rises."""
+    bits = bits_for(rows)
+    return F.shiftright(hash_col, 64 - bits // 2), F.shiftright(hash_col, 64 - bits)
+
+
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Each row of df whole, as the struct `__row`, with further columns: so no name of df's can clash with theirs."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row"), *(c.alias(n) for n, c in columns.items()))
+
+
+def unpacked(df: DataFrame, *more: str, out_of: DataFrame) -> list[Column]:
+    """What to select from a packed table: the columns of out_of, but those named like one of `more`, and these."""
+    return [*(F.col("__row").getField(c).alias(c) for c in out_of.columns if c not in more), *(F.col(f"`{m}`") for m in more)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -19,6 +19,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     are left out.
     """
     pairs = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull()).select(F.col("a").cast("long"), F.col("b").cast("long"))
+    spark = edges.sparkSession
     pairs = written(pairs, "edges")
     assigned = None
     while True:
@@ -27,16 +28,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
         over = hooked.select(F.col("a").alias("up"), F.col("up").alias("upper"))
         jumped = written(hooked.join(over, "up").select(F.col("a").alias("id"), "up", "upper"), "jumped")
         if assigned is None:
-            assigned = jumped.select("id", F.col("upper").alias("component"))
+            assigned = written(jumped.select("id", F.col("upper").alias("component")), "assigned")
         else:
             now = jumped.select(F.col("id").alias("component"), "upper")
-            assigned = assigned.join(now, "component", "left").select("id", F.coalesce("upper", "component").alias("component"))
-        assigned = written(assigned, "assigned")
+            before = assigned
+            assigned = written(assigned.join(now, "component", "left").select("id", F.coalesce("upper", "component").alias("component")), "assigned")
+            discard(spark, before)
         ends = jumped.select(F.col("id").alias("a"), F.col("upper").alias("a2"))
         other = jumped.select(F.col("id").alias("b"), F.col("upper").alias("b2"))
         renamed = pairs.join(ends, "a").join(other, "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
         higher = ends.select(F.col("a").alias("a2"), F.col("a2").alias("b"))  # where each renamed-to node hooks in turn
         chained = jumped.select(F.col("upper").alias("a2")).distinct().join(higher, "a2").select(F.col("a2").alias("a"), "b")
-        pairs = written(renamed.union(chained).where("a <> b").distinct(), "pairs")
+        old, pairs = pairs, written(renamed.union(chained).where("a <> b").distinct(), "pairs")
+        for done in (hooked, jumped, old):
+            discard(spark, done)
         if pairs.isEmpty():
             return assigned

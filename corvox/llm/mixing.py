@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hex_digits, running_total, written
+from .common import hex_buckets, packed, running_total, unpacked, written
 
 #: Characters that end a word.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -15,6 +15,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
 #: A source's share of the stream changes evenly from 1 + tilt to 1 - tilt times its mean; the tilts, in the sources' order.
 TILTS = (-0.5, 0.5, 0.0)
+#: The columns that `mixed` adds.
+MIXED = ("size", "source_size", "target", "taken", "copies", "positions")
 
 
 def word_count(text: Column) -> Column:
@@ -68,20 +70,29 @@ def mixed(docs: DataFrame, item: str = "doc_id", text: str = "text", source: str
     copy has a training position from 0 to 1: where its share of the source's target falls in the source's schedule.
     A null text has size 0, as an empty one; a null source is a source, the last. Rows with equal items and texts
     are told apart by nothing, and either may be the one that is taken. Where docs has no text, its size column counts.
-    Sizes are written once, as narrow rows, for the targets and the places; `docs` is read twice.
+    Sizes are written once, as narrow rows, for the targets and the places; `docs` is read twice. Other columns of docs
+    may have any names. An empty table gives no rows.
     """
-    sized = docs.drop(*(c for c in ("source_size", "target", "taken", "copies", "positions")))
-    tie = []
-    if text in docs.columns:
-        raw = F.coalesce(F.col(text), F.lit(""))
-        sized, tie = sized.drop("size").withColumn("size", word_count(raw)).withColumn("__text", F.crc32(raw.cast("binary"))), ["__text"]
-    key = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(item).cast("string"), F.lit(""))))
-    sized = sized.withColumn("__source", F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit(""))).withColumn("__hash", key)
-    slim = written(sized.select(F.col(source).alias("source"), "__source", "__hash", "size"), "sizes")
-    targets = source_targets(slim.select("source", "size"))
+    out = _placed(docs, item, text, source)
+    return out.select(*unpacked(out, *MIXED, out_of=docs))
+
+
+def _placed(docs: DataFrame, item: str, text: str, source: str) -> DataFrame:
+    """The packed rows of docs with the columns MIXED."""
+    raw = F.coalesce(F.col(text), F.lit("")) if text in docs.columns else F.lit("")
+    sized = packed(
+        docs,
+        __item=F.col(item),
+        __text=F.crc32(raw.cast("binary")),
+        size=word_count(raw) if text in docs.columns else F.col("size").cast("long"),
+        __plain=F.col(source).cast("string"),
+        __source=F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("")),
+        __hash=F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(item).cast("string"), F.lit("")))),
+    )
+    slim = written(sized.select("__plain", "__source", "__hash", "size"), "sizes")
+    targets = source_targets(slim.select(F.col("__plain").alias("source"), "size"))
     targets = targets.select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")).alias("__source"), "source_size", "target", "tilt")
-    bucket = F.substring("__hash", 1, hex_digits(slim.count()))
-    placed = running_total(sized, ["__source"], bucket, ["__hash", item, "size", *tie], "size", "__offset", slim)
+    placed = running_total(sized, ["__source"], hex_buckets("__hash", slim.count()), ["__hash", "__item", "size", "__text"], "size", "__offset", slim)
     joined = placed.join(targets, "__source")
     middle = F.col("__offset") + F.col("size") / F.lit(2.0)
     laps = [F.when(middle + k * F.col("source_size") < F.col("target"), F.lit(k)) for k in range(int(MOST))]
@@ -91,11 +102,14 @@ def mixed(docs: DataFrame, item: str = "doc_id", text: str = "text", source: str
         .withColumn("copies", F.size("__laps"))
         .withColumn("taken", F.col("copies").cast("long") * F.col("size"))
         .withColumn("positions", F.transform("__laps", at))
-        .drop("__source", "__hash", "__text", "__offset", "__laps", "tilt")
+        .select("__row", "__item", *MIXED)
     )
 
 
-def in_training_order(docs: DataFrame, **names: str) -> DataFrame:
-    """The taken documents, a row for each copy, range-sorted by training position, with the columns of docs alone."""
-    out = mixed(docs, **names).withColumn("__position", F.explode("positions"))
-    return out.orderBy("__position", names.get("item", "doc_id")).select(*docs.columns)
+def in_training_order(docs: DataFrame, item: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The taken documents, a row for each copy, range-sorted by training position, with the columns of docs alone.
+
+    Equal positions follow the items; see mixed for nulls and repeated rows.
+    """
+    out = _placed(docs, item, text, source).select("__row", "__item", F.explode("positions").alias("__position"))
+    return out.orderBy("__position", "__item").select("__row.*")

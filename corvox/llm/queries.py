@@ -87,18 +87,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the mix of all documents takes, and where in training each document comes first (-1: not at all)."""
+    """What the mix of all documents takes, and where in training each document comes first (-1: not at all), in that order."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     out = mixing.mixed(written(docs, "documents"))
     first = F.round(F.coalesce(F.get("positions", F.lit(0)), F.lit(-1.0)), 8)
-    return out.select("doc_id", "size", "source_size", "target", "taken", F.col("copies").cast("long").alias("copies"), first.alias("first_position"))
+    out = out.select("doc_id", "size", "source_size", "target", "taken", F.col("copies").cast("long").alias("copies"), first.alias("first_position"))
+    return out.orderBy("first_position", "doc_id")
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_bpe, op3_embed_dedup, op4_token_store, op5_sharding, op6_toxicity, op7_permutation_index, op8_token_counts, op9_simhash, op10_mixing)}
 ORACLES: dict[str, str] = {
     "op1_chat_format": r"""
 with t as (select conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns from conversations group by conv_id),
-k as (select *, md5(concat_ws(':', turns[1].role, turns[1].text)) as opening, md5('pair:' || coalesce(conv_id::varchar, '')) as h from t),
+k as (select *, md5(concat_ws(':', length(turns[1].role), turns[1].role, turns[1].text)) as opening, md5('pair:' || coalesce(conv_id::varchar, '')) as h from t),
 r as (select *, row_number() over (partition by opening order by h, conv_id nulls first) - 1 as place from k),
 p as (select opening, place // 2 as pair, max(conv_id) filter (where place % 2 = 0) as chosen_id, any_value(turns) filter (where place % 2 = 0) as a, max(conv_id) filter (where place % 2 = 1) as rejected_id,
  coalesce(any_value(turns) filter (where place % 2 = 1), []) as b from r group by all),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bits_for, running_total, top_bits, written
+from .common import bit_buckets, packed, running_total, unpacked, written
 
 #: Shards whose hashes are written out as one expression; more are compared by an array expression.
 WRITTEN_OUT = 64
@@ -38,22 +38,24 @@ def shard_of(key: Column, shards: int, weights: Sequence[float] | None = None) -
 
 
 def sharded(rows: DataFrame, key: str, shards: int, weights: Sequence[float] | None = None, order: Sequence[str] = (), count: int | None = None) -> DataFrame:
-    """rows with `shard` and `slot`, the row's place in its shard from 0 without gaps.
+    """rows with `shard` and `slot`, the row's place in its shard from 0 without gaps; columns so named are replaced.
 
     Places follow a hash of the key, then `order`. No task holds a whole shard: places are counted in buckets of the
     hash, whose totals are added up. Rows that are equal in key and order take neighbouring places in any order.
     `rows` is read twice; give `count`, about how many there are, if it is known.
     """
-    bits = bits_for(rows.count() if count is None else count // max(1, shards))
-    placed = rows.withColumn("shard", shard_of(F.col(key), shards, weights)).withColumn("__hash", F.xxhash64(F.col(key)))
-    return running_total(placed, ["shard"], top_bits("__hash", bits), ["__hash", key, *order], None, "slot").drop("__hash")
+    buckets = bit_buckets("__hash", rows.count() if count is None else count // max(1, shards))
+    placed = packed(rows, shard=shard_of(F.col(key), shards, weights), __hash=F.xxhash64(F.col(key)))
+    out = running_total(placed, ["shard"], buckets, ["__hash", *(f"__row.{c}" for c in (key, *order))], None, "slot")
+    return out.select(*unpacked(out, "shard", "slot", out_of=rows))
 
 
 def document_shards(docs: DataFrame, shards: int = 24, item: str = "doc_id", text: str = "text") -> DataFrame:
     """(item, size, text_crc32, law, shard, slot, grown_shard) for each document.
 
     size: UTF-8 bytes of the text, and 8; grown_shard: where the document falls with one more shard. A null text has
-    no bytes.
+    no bytes, a null item is a key like others; rows with equal items share a shard, and equal rows take its slots in
+    any order. An empty table gives no rows; other columns of docs aren't read.
     """
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     slim = docs.select(F.col(item), (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
