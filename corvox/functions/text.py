@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: The canonical markers.
 TAGS = ("noise", "laughter", "inaudible", "silence", "music", "breath")
 TAG = r"\[(?:" + "|".join(TAGS) + r")\]"
+#: Any text in brackets.
+ANY_TAG = r"\[[^\[\]]+\]"
 
 
 def words(text: Column) -> Column:
@@ -21,6 +23,11 @@ def word_count(text: Column) -> Column:
     return F.size(words(F.regexp_replace(text, TAG, " ")))
 
 
+def spoken_word_count(text: Column) -> Column:
+    """The number of words with a letter or digit outside brackets."""
+    return F.size(F.filter(F.split(F.regexp_replace(text, ANY_TAG, " "), r"\s+"), lambda w: w.rlike(r"[\p{L}\p{N}]")))
+
+
 def tokens(text: Column) -> Column:
     """Runs of letters, joined by hyphens, in their own case."""
     return F.regexp_extract_all(text, F.lit(r"(\p{L}+(?:-\p{L}+)*)"), 1)

