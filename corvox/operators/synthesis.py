@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_u, truncated_geometric, weighted_pick
 from ..functions.text import capitalised, uncapitalised
+from .ranking import buckets_for, numbered
 
 CONVERSATION = "array<struct<from:string,type:string,value:string>>"
 
@@ -97,13 +98,12 @@ def random_conversations(pool: DataFrame, outputs: DataFrame, seed: str, p: floa
     pool(id, lang, duration), outputs(out_id, lang). A record's number in its language is its place in a hash order;
     each output draws a length and numbers, so records are found by an equality join, not by a scan of the pool.
     """
-    number = F.row_number().over(Window.partitionBy("lang").orderBy(hash_u(seed, "id"), "id")) - 1
-    numbered = pool.withColumn("number", number)
+    placed = numbered(pool, ["lang"], hash_u(seed, "id"), ["id"], "number")
     sizes = pool.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
     length = weighted_pick(truncated_geometric(p, 1, most), hash_u(seed + "n", "out_id"))
     draws = outputs.join(sizes, "lang").withColumn("place", F.explode(F.sequence(F.lit(1), length)))
     draws = draws.withColumn("number", F.floor(hash_u(seed + "k", "out_id", "place") * F.col("__n")))
-    found = draws.join(numbered, ["lang", "number"])
+    found = draws.join(placed, ["lang", "number"])
     first = F.row_number().over(Window.partitionBy("out_id", "id").orderBy("place"))
     found = found.withColumn("__first", first).where("__first = 1")
     run = F.sum("duration").over(Window.partitionBy("out_id").orderBy("place"))
@@ -118,15 +118,38 @@ def compared(pairs: DataFrame) -> DataFrame:
 
 
 def negative_pairs(clips: DataFrame, item: str, speaker: str, seed: str) -> DataFrame:
-    """(item, other): for each clip one of another speaker: the next in a hash order that mixes the speakers.
+    """(item, other): for each clip one of another speaker: the next such in a hash order, after the last one the first.
 
-    The order is cut into 1,024 ranges of the hash; in a range the clip after it with another speaker is its partner.
+    The order is cut into ranges of the hash, as many as a range has rows. In a range, runs of one speaker go to the
+    first clip of the next run; the last run of a range goes on to the ranges that follow, of which only the first clip
+    and the first of another speaker come to the driver. Every clip gets a partner if there are two speakers.
     """
+    n = min(1 << 16, buckets_for(clips.count()))
     u = hash_u(seed, item)
-    dealt = clips.select(item, speaker, u.alias("u")).withColumn("bin", F.floor(F.col("u") * 1024))
-    order = Window.partitionBy("bin").orderBy("u", item)
-    nxt = dealt.withColumn("other", F.lead(item).over(order)).withColumn("__s", F.lead(speaker).over(order))
-    return nxt.where(F.col("other").isNotNull() & (F.col("__s") != F.col(speaker))).select(item, "other")
+    dealt = clips.select(F.col(item).alias("item"), F.col(speaker).alias("speaker"), u.alias("u")).withColumn("bin", F.floor(F.col("u") * n))
+    order = Window.partitionBy("bin").orderBy("u", "item")
+    start = F.coalesce(~F.col("speaker").eqNullSafe(F.lag("speaker").over(order)), F.lit(True)) | (F.row_number().over(order) == 1)
+    numbered_runs = dealt.withColumn("__new", start.cast("int")).withColumn("run", F.sum("__new").over(order))
+    firsts = numbered_runs.where("__new = 1").select("bin", (F.col("run") - 1).alias("run"), F.col("item").alias("other"), F.col("speaker").alias("other_speaker"))
+    heads = firsts.where("run < 2").select("bin", "run", "other", "other_speaker").collect()  # two rows of a range at most
+    at = {(r["bin"], r["run"]): (r["other"], r["other_speaker"]) for r in heads}
+    lasts = numbered_runs.groupBy("bin").agg(F.max("run").alias("run"), F.max_by("speaker", "run").alias("speaker")).orderBy("bin").collect()
+    bins = [r["bin"] for r in lasts]
+
+    def seen_from(speaker: object, k: int) -> object:
+        """The first clip of another speaker from the k-th range on."""
+        head = at[bins[k], 0]
+        return head[0] if head[1] != speaker else at[bins[k], 1][0] if (bins[k], 1) in at else beyond[k]
+
+    beyond: list = [None] * len(bins)  # behind each range, the first clip of another speaker than its first one
+    for k in [*range(len(bins) - 1, -1, -1)] * 2:  # twice, as the last range goes on to the first
+        beyond[k] = seen_from(at[bins[k], 0][1], (k + 1) % len(bins))
+    told = [(r["bin"], r["run"], seen_from(r["speaker"], (k + 1) % len(bins))) for k, r in enumerate(lasts)]
+    told = [t for t in told if t[2] is not None]
+    kind = firsts.schema["other"].dataType.simpleString()
+    inside = firsts.where("run >= 1").select("bin", "run", "other")
+    partners = inside.unionByName(clips.sparkSession.createDataFrame(told, f"bin long, run long, other {kind}"))
+    return numbered_runs.join(partners, ["bin", "run"]).select(F.col("item").alias(item), "other")
 
 
 def respellings(word: str, lexicon: dict[str, list[str]] | None = None) -> list[str]:
@@ -156,6 +179,18 @@ def perturbed(text: str, changes: dict[str, str]) -> str:
     return pattern.sub(put, text)
 
 
+def with_respellings(rows: DataFrame, words: str, out: str, lexicon: dict[str, list[str]] | None = None) -> DataFrame:
+    """rows with `out`, a map of those words of an array column that have respellings to their first one."""
+    kept = rows.drop(out)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(**{out: [{w: found[0] for w in own if (found := respellings(w, lexicon))} for own in pdf[words]]})
+
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    return kept.mapInPandas(run, f"{names}, `{out}` map<string,string>")
+
+
 def with_perturbed(rows: DataFrame, text: str, changes: str, out: str = "perturbed") -> DataFrame:
     """rows with `out`: the text after the changes of a map column; null maps change nothing."""
     kept = rows.drop(out)

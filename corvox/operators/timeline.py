@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import running_total
+
 ORDER = ["start", "end", "seg_id"]
 
 
@@ -135,24 +137,55 @@ def deduplicated_windows(windows: DataFrame) -> DataFrame:
     return windows.withColumn("__rn", F.row_number().over(rank)).where("__rn = 1").drop("__rn")
 
 
+#: Seconds of a time bin in which a recording's rows are ordered together.
+BIN = 3600.0
+
+
+def stretches(rows: DataFrame, breaks: str, gap: float) -> DataFrame:
+    """rows with `__bin` and `__run`: numbers of stretches of a recording that no window or chain can reach across.
+
+    breaks "start": a row begins a run if it ends more than `gap` after the start of the row before it; "end": if it
+    starts more than `gap` after the end of all rows before it. Rows are ordered in time bins; what a bin hands on to the
+    next one is found on a table of a row for each bin. So a long recording is spread over tasks.
+    """
+    binned_rows = rows.withColumn("__bin", F.floor(F.col("start") / BIN))
+    own = F.max("start") if breaks == "start" else F.max("end")
+    along = Window.partitionBy("recording").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    handed = binned_rows.groupBy("recording", "__bin").agg(own.alias("__last")).select("recording", "__bin", F.max("__last").over(along).alias("__handed"))
+    inside = Window.partitionBy("recording", "__bin").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.greatest(F.max("start" if breaks == "start" else "end").over(inside), F.col("__handed"))
+    new = F.when(before.isNull() | ((F.col("end") if breaks == "start" else F.col("start")) - before > gap), 1).otherwise(0)
+    marked = binned_rows.join(handed, ["recording", "__bin"]).withColumn("__new", new)
+    out = running_total(marked, ["recording"], F.col("__bin"), ORDER, F.col("__new"), "__run")
+    return out.withColumn("__run", F.col("__run") + F.col("__new")).drop("__handed", "__new")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def greedy_windows(units: DataFrame, max_dur: float, max_turns: int) -> DataFrame:
     """units with `window`: a unit joins the open window if it ends within max_dur of its start and there is room.
 
-    A sequential fold over one recording, whose length bounds the group.
+    A fold over each run of a recording (see stretches): a unit that ends more than max_dur after the start of the one before
+    it begins a window whatever went before. Windows are then numbered along the recording.
     """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ORDER, kind="stable")
-        window, begin, n, out = 0, None, 0, []
+        begin, n, first = None, 0, []
         for s, e in zip(pdf["start"], pdf["end"]):
-            if begin is None or e - begin > max_dur or n >= max_turns:
-                window, begin, n = window + 1, s, 0
+            opens = begin is None or e - begin > max_dur or n >= max_turns
+            if opens:
+                begin, n = s, 0
             n += 1
-            out.append(window)
-        return pdf.assign(window=out)
+            first.append(int(opens))
+        return pdf.assign(__first=first)
 
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in units.schema.fields)
-    return units.groupBy("recording").applyInPandas(fold, f"{names}, window long")
+    cut = stretches(units, "start", max_dur)
+    folded = cut.groupBy("recording", "__run").applyInPandas(fold, _ddl(cut) + ", __first int")
+    out = running_total(folded, ["recording"], F.col("__bin"), ORDER, F.col("__first"), "window")
+    return out.withColumn("window", (F.col("window") + F.col("__first")).cast("long")).select(*units.columns, "window")
 
 
 def split_at_pauses(words: list[tuple[float, float]], longest: float, least: float = 1.0) -> list[tuple[float, float]]:
@@ -208,7 +241,8 @@ def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop:
     """Chains of neighbouring segments while the pause is at most gap and the speech at most `longest`.
 
     Once a chain has `enough` speech it ends where the row's `stop`, a reproducible draw, is true. Chains with speech
-    in [enough, longest] stay, as (recording, chain, start, end, duration, ids).
+    in [enough, longest] stay, as (recording, chain, start, end, duration, ids). A fold over each run of a recording: a
+    segment that starts more than gap after all before it begins a chain whatever went before.
     """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -228,12 +262,15 @@ def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop:
                 open_ = None
         if open_:
             out.append(open_)
-        kept = [(r, k, s, e, d, ids) for k, (r, s, e, d, ids) in enumerate(c for c in out if enough <= c[3] <= longest)]
-        return pd.DataFrame(kept, columns=["recording", "chain", "start", "end", "duration", "ids"])
+        kept = [[*c, pdf["__run"].iloc[0], k] for k, c in enumerate(out) if enough <= c[3] <= longest]
+        return pd.DataFrame(kept, columns=["recording", "start", "end", "duration", "ids", "run", "place"])
 
     kind = {f.name: f.dataType.simpleString() for f in segments.schema.fields}
-    ddl = f"recording {kind['recording']}, chain long, start double, end double, duration double, ids array<{kind['seg_id']}>"
-    return segments.withColumn("__stop", stop).groupBy("recording").applyInPandas(fold, ddl)
+    ddl = f"recording {kind['recording']}, start double, end double, duration double, ids array<{kind['seg_id']}>, run long, place long"
+    cut = stretches(segments.withColumn("__stop", stop), "end", gap)
+    found = cut.groupBy("recording", "__run").applyInPandas(fold, ddl)
+    out = running_total(found, ["recording"], F.floor(F.col("start") / BIN), ["run", "place"], None, "chain")
+    return out.select("recording", F.col("chain").cast("long").alias("chain"), "start", "end", "duration", "ids")
 
 
 def sentence_follows(cues: DataFrame, common: list[str]) -> DataFrame:

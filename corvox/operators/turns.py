@@ -138,6 +138,26 @@ def rendered(turns: Column) -> Column:
     return F.array_join(F.transform(turns, lambda t: F.concat(t["from"], F.lit(": "), t["value"])), "\n")
 
 
+def matches_any(text: Column, patterns: list[str]) -> Column:
+    """Whether a text holds one of the markers, such as those of anonymised names."""
+    return text.rlike("|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False)
+
+
+def without_garbage(text: Column, patterns: list[str]) -> Column:
+    """The text without what matches; where something went, double blanks are one and none are at the ends."""
+    bare = text
+    for p in patterns:
+        bare = F.regexp_replace(bare, p, "")
+    return F.when(bare == text, text).otherwise(F.trim(F.regexp_replace(bare, " {2,}", " ")))
+
+
+def without_questions(manifests: DataFrame, questions: DataFrame, question: str, item: str = "conv_id") -> DataFrame:
+    """The records in which the user says none of the texts of a table, however many these are."""
+    said = manifests.select(item, F.explode("conversations").alias("t")).where("t.from = 'User' and t.type = 'text'").select(item, F.col("t.value").alias(question))
+    hit = said.join(questions.select(question).distinct(), question, "left_semi").select(item).distinct()
+    return manifests.join(hit, item, "left_anti")
+
+
 def asks_one_of(turns: Column, questions: list[str]) -> Column:
     """Whether the user says one of the given texts."""
     return F.exists(turns, lambda t: (t["from"] == "User") & (t["type"] == "text") & t["value"].isin(questions))

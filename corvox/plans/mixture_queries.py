@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import mixture as M
+from ..operators.ranking import buckets_for, running_total
 from .tables import CORPUS, MANIFEST, corpus, manifest, query, table
 
 GROUPS = f"""{CORPUS}, groups as (select task, lang, dataset, count(*) as size, sum(duration) as dur from corpus group by all),
@@ -201,9 +202,13 @@ def incremental_refresh(spark: SparkSession, d: str) -> DataFrame:
 select part, doc, case when k = 1 then 'p' || (part % 50) else 'p' || (part % 50) || '_' || k end as destination from n""")
 def global_path_dedup(spark: SparkSession, d: str) -> DataFrame:
     first = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(F.min("l_orderkey").alias("doc"))
-    k = F.row_number().over(Window.partitionBy(F.col("part") % 50).orderBy("part"))
-    base = F.concat(F.lit("p"), (F.col("part") % 50).cast("string"))
-    return first.withColumn("k", k).select("part", "doc", F.when(F.col("k") == 1, base).otherwise(F.concat(base, F.lit("_"), F.col("k").cast("string"))).alias("destination"))
+    ends = first.agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).first()
+    n = buckets_for(ends["n"])
+    width = ((ends["high"] or 0) - (ends["low"] or 0)) // n + 1
+    grouped = first.withColumn("group", F.col("part") % 50)
+    placed = running_total(grouped, ["group"], F.floor((F.col("part") - (ends["low"] or 0)) / width), ["part"], None, "k").withColumn("k", F.col("k") + 1)
+    base = F.concat(F.lit("p"), F.col("group").cast("string"))
+    return placed.select("part", "doc", F.when(F.col("k") == 1, base).otherwise(F.concat(base, F.lit("_"), F.col("k").cast("string"))).alias("destination"))
 
 
 @query("""select source, lang, string_agg(distinct d, ',' order by d) as used from (select source, lang, 'b' || (doc_id % 3) as d from documents) group by all""")

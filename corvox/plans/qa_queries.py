@@ -47,9 +47,9 @@ def exact_window_text(spark: SparkSession, d: str) -> DataFrame:
     return _aligned(spark, d).select("item_id", Q.window_words(F.col("words"), F.lit(2.0), F.lit(6.0)).alias("said"))
 
 
-@query(f"""with {ALIGNED} select item_id, array_to_string(list_transform(words[1:5], lambda w: '[' || printf('%.2f', w."start") || '-' || printf('%.2f', w."end") || '] ' || w.word), chr(10)) as brackets, array_to_string(list_transform(words[1:5], lambda w: printf('%.2f', w."start") || 's: ' || w.word), chr(10)) as seconds from aligned""")
+@query(f"""with {ALIGNED} select item_id, array_to_string(list_transform(words, lambda w: '[' || printf('%.2f', w."start") || '-' || printf('%.2f', w."end") || '] ' || w.word), chr(10)) as brackets, array_to_string(list_transform(words, lambda w: printf('%.2f', w."start") || 's: ' || w.word), chr(10)) as seconds from aligned""")
 def timestamped_transcription(spark: SparkSession, d: str) -> DataFrame:
-    units = F.transform(F.slice("words", 1, 5), lambda w: F.struct(w["word"].alias("text"), w["start"].alias("start"), w["end"].alias("end")))
+    units = F.transform("words", lambda w: F.struct(w["word"].alias("text"), w["start"].alias("start"), w["end"].alias("end")))
     return _aligned(spark, d).select("item_id", Q.rendered(units, "brackets").alias("brackets"), Q.rendered(units, "seconds").alias("seconds"))
 
 

@@ -79,16 +79,17 @@ def two_clip_comparison(spark: SparkSession, d: str) -> DataFrame:
     return S.compared(pairs.where("b_speaker is not null")).select("event_id", "same_speaker", "longer")
 
 
-@query(f"""with p as (select event_id, user_id, {u_sql("neg", "event_id")} as u from events), n as (select *, lead(event_id) over w as other, lead(user_id) over w as s from p window w as (partition by floor(u * 1024) order by u, event_id)) select event_id, other from n where other is not null and s <> user_id""")
+@query(f"""with p as (select event_id, user_id, {u_sql("neg", "event_id")} as u from events), o as (select *, coalesce(user_id <> lag(user_id) over (order by u, event_id), true)::int as new from p), n as (select *, sum(new) over (order by u, event_id) as run from o), h as (select run, event_id as other, user_id as s from n where new = 1),
+m as (select max(run) as last from h) select n.event_id, coalesce(h.other, (select other from h where s <> n.user_id order by run limit 1)) as other from n left join h on h.run = n.run + 1""")
 def negative_pairs(spark: SparkSession, d: str) -> DataFrame:
     return S.negative_pairs(table(spark, d, "events"), "event_id", "user_id", "neg")
 
 
 @query()
 def reference_perturbation(spark: SparkSession, d: str) -> DataFrame:
-    first = F.regexp_extract("text", r"(\p{L}{4,})", 1)
-    rows = table(spark, d, "benchmark").select("item_id", "text", F.map_from_arrays(F.array(first), F.array(F.concat(first, F.lit("e")))).alias("changes"))
-    return S.with_perturbed(rows, "text", "changes").select("item_id", "perturbed")
+    """Every word of four letters and more in its first respelling, where it has one."""
+    words = table(spark, d, "benchmark").select("item_id", "text", F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}{4,})"), 1)).alias("words"))
+    return S.with_perturbed(S.with_respellings(words, "words", "changes"), "text", "changes").select("item_id", "perturbed")
 
 
 @query(r"""select page_id, regexp_replace(trim(regexp_replace(lower(array_to_string(p[greatest(len(p) - 1, 1):], '_')), '[^a-z0-9]+', '_', 'g'), '_'), '_(en|fr|de|es|it|ar|pt|nl)$', '') as config
@@ -128,6 +129,10 @@ def modality_projections(spark: SparkSession, d: str) -> DataFrame:
     return X.modalities(rows)
 
 
-@query("""select c_custkey, case when starts_with(lower(g), 'f') or starts_with(lower(g), 'w') then 'female' when starts_with(lower(g), 'm') then 'male' end is not null as known from (select c_custkey, c_mktsegment as g from customer)""")
+GENDERS = ["Female", "m", "woman", "MALE", "unknown", "f", "Man", ""]
+
+
+@query("""select c_custkey, case when starts_with(lower(g), 'f') or starts_with(lower(g), 'w') then 'female' when starts_with(lower(g), 'm') then 'male' end as gender from (select c_custkey, ['Female', 'm', 'woman', 'MALE', 'unknown', 'f', 'Man', ''][c_custkey % 8 + 1] as g from customer)""")
 def gender_normalisation(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey", X.normalised_gender(F.col("c_mktsegment")).isNotNull().alias("known"))
+    said = F.get(F.array(*map(F.lit, GENDERS)), (F.col("c_custkey") % 8).cast("int"))
+    return table(spark, d, "customer").select("c_custkey", X.normalised_gender(said).alias("gender"))

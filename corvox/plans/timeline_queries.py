@@ -65,12 +65,12 @@ def best_overlap_assignment(spark: SparkSession, d: str) -> DataFrame:
     return L.best_overlap(s.where("speaker <> 'click'"), s.where("speaker = 'click'"), DAY).select("recording", "seg_id", "topic_id", *_r("overlap"))
 
 
-@query(f"""with {segments_sql(60)}, w as (select recording, seg_id, "start" as w_start, "start" + 86400 as w_end from segments where seg_id % 10 = 0),
+@query(f"""with {segments_sql(60)}, w as (select recording, seg_id, "start" as w_start, "start" + 86400 as w_end from segments),
 p as (select w.recording, w.seg_id as window_id, c.* exclude (recording) from w join segments c on c.recording = w.recording and c."start" >= w_start and c."end" <= w_end)
 select recording, window_id, count(*) as n_cues, string_agg(text, ' ' order by "start", "end", seg_id) as text from p group by all""")
 def cue_containment(spark: SparkSession, d: str) -> DataFrame:
     s = segments(spark, d)
-    windows = s.where("seg_id % 10 = 0").withColumn("end", F.col("start") + DAY)
+    windows = s.withColumn("end", F.col("start") + DAY)
     return L.window_text(L.contained(s, windows, DAY))
 
 

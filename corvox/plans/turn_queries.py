@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
 from ..operators import turns as T
+from ..operators.ranking import numbered
 from .tables import MANIFEST, manifest, query, table
 
 U = "(('0x' || substr(md5({}), 1, 8))::ubigint / 4294967296.0)"
@@ -108,13 +111,14 @@ def path_language_and_rebase(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", T.path_language(u, ["en", "fr", "de", "es"]).alias("lang"), T.rebased(u, "https://", "store/").alias("moved"))
 
 
-@query("""with p as (select distinct url as path, string_split(url, '/')[-1] as base from pages where page_id % 3 = 0), c as (select url as cand, string_split(url, '/')[-1] as base from pages where page_id % 2 = 0),
+@query("""with p as (select distinct url as path, string_split(url, '/')[-1] as base from pages), c as (select distinct replace(url, 'https://', 'store/') as cand, string_split(url, '/')[-1] as base from pages),
 s as (select path, cand, (select coalesce(min(i) - 1, least(len(a), len(b))) from (select unnest(range(1, least(len(a), len(b)) + 1)) as i) where a[i] <> b[i]) as score
  from (select path, cand, list_reverse(string_split(path, '/')) as a, list_reverse(string_split(cand, '/')) as b from p join c using (base)))
 select path, min(cand) as found from (select *, max(score) over (partition by path) as m from s) where score = m group by path""")
 def path_remap(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages")
-    out = T.best_suffix(pages.where("page_id % 3 = 0").select(F.col("url").alias("path")), "path", pages.where("page_id % 2 = 0").select(F.col("url").alias("cand")), "cand")
+    moved = pages.select(F.replace("url", F.lit("https://"), F.lit("store/")).alias("cand")).distinct()
+    out = T.best_suffix(pages.select(F.col("url").alias("path")).distinct(), "path", moved, "cand")
     return out.withColumnRenamed("cand", "found")
 
 
@@ -153,16 +157,24 @@ def duration_band(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").where(F.col("value").between(low, high)).select("event_id")
 
 
-@query("""select doc_id, regexp_matches(text, 'https?://|@') as anonymised, regexp_replace(regexp_replace(text, '[*%$&]{3,}', ' ', 'g'), '  +', ' ', 'g') as cleaned from documents""")
+#: Markers of anonymised texts in these tables, and what is stripped in place.
+ANONYMISED, GARBAGE = [r"\b[A-Z]pers\b", r"\[(?:name|email|phone)\]", "https?://", "@"], [r"[*%$&]{3,}", r"\bthe the\b"]
+
+
+@query(r"""with c as (select doc_id, text, regexp_replace(regexp_replace(text, '[*%$&]{3,}', '', 'g'), '\bthe the\b', '', 'g') as bare from documents)
+select doc_id, regexp_matches(text, '(\b[A-Z]pers\b)|(\[(name|email|phone)\])|https?://|@') as anonymised, case when bare = text then text else trim(regexp_replace(bare, ' {2,}', ' ', 'g'), ' ') end as cleaned from c""")
 def anonymisation_and_garbage(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", t.rlike("https?://|@").alias("anonymised"), text.replaced(t, [(r"[*%$&]{3,}", " "), ("  +", " ")]).alias("cleaned"))
+    docs = table(spark, d, "documents")
+    return docs.select("doc_id", T.matches_any(t, ANONYMISED).alias("anonymised"), T.without_garbage(t, GARBAGE).alias("cleaned"))
 
 
-@query("""select conv_id from conversations group by conv_id having not bool_or(role = 'user' and length(text) < 60)""")
+@query("""with q as (select text from conversations where role = 'user' group by text having count(distinct conv_id) >= 2) select distinct conv_id from conversations where conv_id not in (select conv_id from conversations where role = 'user' and text in (select text from q))""")
 def drop_by_question(spark: SparkSession, d: str) -> DataFrame:
-    short = F.exists("conversations", lambda t: (t["from"] == "User") & (t["type"] == "text") & (F.length(t["value"]) < 60))
-    return manifest(spark, d).where(~short).select("conv_id")
+    """Conversations without a question of a list; the list holds those that come in several conversations."""
+    asked = table(spark, d, "conversations").where("role = 'user'")
+    listed = asked.groupBy("text").agg(F.countDistinct("conv_id").alias("n")).where("n >= 2").select("text")
+    return T.without_questions(manifest(spark, d), listed, "text").select("conv_id")
 
 
 @query("""select conv_id, count(*) as n_turns, count(distinct role) as n_roles from conversations group by conv_id having count(*) filter (where role in ('assistant')) >= 2""")
@@ -190,10 +202,10 @@ def fixed_list_split(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""select user_id, case when row_number() over (order by {u_sql("dev", "user_id")}, user_id) <= ceil(0.1 * count(*) over ()) then 'dev' else 'train' end as split from (select distinct user_id from events)""")
 def speaker_disjoint_split(spark: SparkSession, d: str) -> DataFrame:
-    speakers = table(spark, d, "events").select("user_id").distinct().withColumn("u", hashing.hash_u("dev", "user_id"))
-    few = speakers.select(F.ceil(F.count(F.lit(1)) * 0.1).alias("k")).first()["k"]
-    dev = speakers.orderBy("u", "user_id").limit(few).select("user_id", F.lit("dev").alias("split"))
-    return speakers.select("user_id").join(dev, "user_id", "left").select("user_id", F.coalesce("split", F.lit("train")).alias("split"))
+    speakers = table(spark, d, "events").select("user_id").distinct()
+    n = speakers.count()
+    placed = numbered(speakers.withColumn("all", F.lit(0)), ["all"], hashing.hash_u("dev", "user_id"), ["user_id"], "place", n)
+    return placed.select("user_id", F.when(F.col("place") < math.ceil(0.1 * n), "dev").otherwise("train").alias("split"))
 
 
 @query("""select conv_id, user_text as question, answer from (select conv_id, text as user_text, turn, lead(text) over w as answer, lead(role) over w as next_role, role,
