@@ -65,7 +65,19 @@ def diarization_formats(spark: SparkSession, d: str) -> DataFrame:
     return _units(spark, d).select("user_id", Q.rendered_speakers(u, "colon").alias("colon"), Q.rendered_speakers(u, "rttm").alias("rttm"))
 
 
-@query()
+def clock_sql(x: str, mark: str) -> str:
+    """hh:mm:ss and milliseconds in SQL."""
+    ms = f"round({x} * 1000)::bigint"
+    return f"printf('%02d:%02d:%02d{mark}%03d', {ms} // 3600000, {ms} % 3600000 // 60000, {ms} % 60000 // 1000, {ms} % 1000)"
+
+
+@query(rf"""with u as (select *, (event_id % 1000)::double as a, event_id % 1000 + 1.25::double as b, row_number() over (partition by user_id order by event_id) as k from events),
+t as (select *, {clock_sql("a", ",")} || ' --> ' || {clock_sql("b", ",")} as srt, {clock_sql("a", ".")} || ' --> ' || {clock_sql("b", ".")} as vtt from u)
+select user_id, string_agg(k || chr(10) || srt || chr(10) || event_type || ': t' || event_id || chr(10), chr(10) order by event_id) as srt,
+ 'WEBVTT' || chr(10) || chr(10) || string_agg(vtt || chr(10) || '<v ' || event_type || '>t' || event_id || chr(10), chr(10) order by event_id) as vtt,
+ '[' || string_agg('{{"speaker":"' || event_type || '","start":' || a::varchar || ',"end":' || b::varchar || ',"text":"t' || event_id || '"}}', ',' order by event_id) || ']' as json,
+ string_agg('[' || event_type || '] t' || event_id, chr(10) order by event_id) as brackets, string_agg(printf('%.2f-%.2f ', a, b) || event_type, chr(10) order by event_id) as times,
+ string_agg(printf('%.2f', a) || chr(9) || printf('%.2f', b) || chr(9) || event_type || chr(9) || 't' || event_id, chr(10) order by event_id) as tsv, string_agg('<' || event_type || '> t' || event_id, chr(10) order by event_id) as angle from t group by user_id""")
 def subtitle_formats(spark: SparkSession, d: str) -> DataFrame:
     u = F.col("units")
     return _units(spark, d).select("user_id", *(Q.rendered_speakers(u, f).alias(f) for f in ("srt", "vtt", "json", "brackets", "times", "tsv", "angle")))

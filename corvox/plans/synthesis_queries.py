@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_u
+from ..functions.hashing import hash_u, truncated_geometric
 from ..operators import export as X
 from ..operators import synthesis as S
 from .tables import query, table
 from .turn_queries import u_sql
 
+#: Laws of drawn lengths: (length, chance).
+LENGTHS, WALK = [(2, 0.5), (3, 0.3), (5, 0.2)], truncated_geometric(0.4, 1, 6)
+
+
+def picked(law: list[tuple[int, float]], u: str) -> str:
+    """A draw by weight in SQL."""
+    total, run, cases = sum(w for _, w in law), 0.0, []
+    for value, w in law[:-1]:
+        run += w
+        cases.append(f"when {u} < {run / total!r} then {value}")
+    return "case " + " ".join(cases) + f" else {law[-1][0]} end"
+
+
 QA = """qa as (select conv_id, text as question, answer, turn from (select *, lead(text) over w as answer, lead(role) over w as nr from conversations window w as (partition by conv_id order by turn)) where role = 'user' and nr = 'assistant')"""
 
 
@@ -40,31 +53,47 @@ def compound_shape(spark: SparkSession, d: str) -> DataFrame:
     return _shaped(spark, d, "compound")
 
 
-@query()
+@query(f"""with {QA}, n as (select *, row_number() over (partition by conv_id order by turn) as k from qa),
+c as (select conv_id, 'User: ' || string_agg(case when k = 1 then question else lower(substr(question, 1, 1)) || substr(question, 2) end, ' And ' order by turn) filter (where k <= 2)
+ || chr(10) || 'Assistant: ' || string_agg(upper(substr(answer, 1, 1)) || substr(answer, 2), ' ' order by turn) filter (where k <= 2) as head,
+ string_agg('User: ' || question || chr(10) || 'Assistant: ' || answer, chr(10) order by turn) filter (where k > 2) as rest from n group by conv_id)
+select conv_id, concat_ws(chr(10), head, rest) as turns from c""")
 def hybrid_shape(spark: SparkSession, d: str) -> DataFrame:
     return _shaped(spark, d, "hybrid")
 
 
-@query()
+@query(f"""with e as (select user_id, event_id, row_number() over (partition by user_id order by event_id) - 1 as spot, count(*) over (partition by user_id) as n from events),
+k as (select user_id, unnest(range(n)) as chunk from (select distinct user_id, n from e)), l as (select *, {picked(LENGTHS, u_sql("len", "user_id", "chunk"))} as len from k),
+c as (select *, sum(len) over (partition by user_id order by chunk) as stop from l)
+select e.user_id, event_id, chunk, (spot - (stop - len))::int as place from e join c on e.user_id = c.user_id and spot >= stop - len and spot < stop""")
 def disjoint_chunk_lengths(spark: SparkSession, d: str) -> DataFrame:
-    out = S.disjoint_chunks(table(spark, d, "events").select("user_id", "event_id"), "user_id", F.col("event_id"), "len", [(2, 0.5), (3, 0.3), (5, 0.2)])
+    out = S.disjoint_chunks(table(spark, d, "events").select("user_id", "event_id"), "user_id", F.col("event_id"), "len", LENGTHS)
     return out.select("user_id", "event_id", "chunk", "place")
 
 
-@query()
+@query(f"""with p as (select user_id, event_type as name, event_type = 'view' as opener, case when event_type = 'purchase' then 'click' end as needs, 'q' || event_id as question, round(value, 0)::varchar as answer from events),
+u as (select *, {u_sql("pick", "user_id", "name", "question")} as u from p), a as (select *, row_number() over (partition by user_id, name order by u, question) as r from u),
+b as (select *, row_number() over (partition by user_id, answer order by u, question) as r2 from a where r = 1), c as (select *, row_number() over (partition by user_id order by needs is not null, not opener, u, name) as place from b where r2 = 1),
+k as (select * from c where place <= 4) select user_id, name, question, place from k where needs is null or exists (select 1 from k as h where h.user_id = k.user_id and h.name = k.needs)""")
 def task_selection(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     pool = e.select("user_id", F.col("event_type").alias("name"), (F.col("event_type") == "view").alias("opener"), F.when(F.col("event_type") == "purchase", "click").alias("needs"), F.concat(F.lit("q"), "event_id").alias("question"), F.round("value", 0).cast("string").alias("answer"))
     return S.selected_tasks(pool, "user_id", 4, "pick").select("user_id", "name", "question", "place")
 
 
-@query()
+@query(f"""with e as (select user_id, row_number() over (partition by user_id order by ts, event_id) as k, count(*) over (partition by user_id) as n from events),
+l as (select *, {picked(WALK, u_sql("walk", "user_id", "k"))} - 1 as more, {u_sql("walkside", "user_id", "k")} < 0.5 as first from e)
+select user_id, k as start, least(case when first then ceil(more / 2.0) else floor(more / 2.0) end, k - 1)::bigint as "left", least(case when first then floor(more / 2.0) else ceil(more / 2.0) end, n - k)::bigint as "right" from l""")
 def chapter_walk(spark: SparkSession, d: str) -> DataFrame:
     clips = table(spark, d, "events").select("user_id", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).alias("k"))
     return S.walks(clips, "user_id", "k", "walk", 0.4, 6)
 
 
-@query()
+@query(f"""with p as (select doc_id as id, lang, n_chars / 15.0::double as duration, row_number() over (partition by lang order by {u_sql("walk", "doc_id")}, doc_id) - 1 as number from documents),
+z as (select lang, count(*) as n from documents group by lang), o as (select doc_id as out_id, lang, {picked(WALK, u_sql("walkn", "doc_id"))} as len from documents),
+w as (select out_id, lang, unnest(range(1, len + 1)) as place from o), x as (select out_id, w.lang, place, floor({u_sql("walkk", "out_id", "place")} * n)::bigint as number from w join z using (lang)),
+f as (select out_id, place, id, duration, row_number() over (partition by out_id, id order by place) as nth from x join p using (lang, number)),
+r as (select *, sum(duration) over (partition by out_id order by place) as run from f where nth = 1) select out_id, place, id from r where run <= 600""")
 def conversation_builder(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     pool = docs.select(F.col("doc_id").alias("id"), "lang", (F.col("n_chars") / 15.0).alias("duration"))
