@@ -144,9 +144,9 @@ def audio_index(spark: SparkSession, folder: str, extensions: tuple[str, ...] =
     return out.select("path", name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.try_element_at(F.split("path", "/"), F.lit(-2)).alias("parent"))
 
 
-def results(spark: SparkSession, folder: str) -> DataFrame:
-    """(step, dataset, metric, value) of step=*/results.json below a folder, in long form."""
-    raw = spark.read.schema("value string").text(f"{folder}/step=*/results.json", wholetext=True).select("value", F.regexp_extract("_metadata.file_path", r"step=(\d+)", 1).cast("long").alias("step"))
+def results(spark: SparkSession, folder: str, name: str = "results.json") -> DataFrame:
+    """(step, dataset, metric, value) of the files step=*/name below a folder, in long form."""
+    raw = spark.read.schema("value string").text(f"{folder}/step=*/{name}", wholetext=True).select("value", F.regexp_extract("_metadata.file_path", r"step=(\d+)", 1).cast("long").alias("step"))
     sets = raw.select("step", F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("dataset", "m"))
     long = sets.select("step", "dataset", F.explode("m").alias("metric", "v"))
     return long.select("step", "dataset", "metric", F.col("v").try_cast("double").alias("value")).where("value is not null")
