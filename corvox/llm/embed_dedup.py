@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import forest, near_offsets, per_block, whole_blocks
+from .blocks import crowded_buckets, forest, led, near_offsets, per_block, whole_blocks
 from .common import written
 from .components import connected_components
 from .vectors import matrix, units, usable
@@ -59,11 +59,30 @@ def plan(vectors: int, threshold: float) -> tuple[int, int]:
     return math.ceil(math.log(MISS) / math.log1p(-meet)), bits
 
 
+def _balls(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """(id, __ball): for each class the smallest of the leaders within half the angle of the threshold, if there is one.
+
+    By the triangle inequality of angles any two classes of one ball have a cosine of at least the threshold; the margin
+    of 1e-9 is far above the rounding of the inner products.
+    """
+    least = math.cos(math.acos(threshold) / 2) + 1e-9
+    both = pairs.join(classes.select("id", "vector"), "id").join(classes.select(F.col("id").alias("leader"), F.col("vector").alias("centre")), "leader")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            close = np.einsum("ij,ij->i", units(matrix(batch.column(2))), units(matrix(batch.column(3)))) >= least if batch.num_rows else np.zeros(0, bool)
+            yield batch.select(["id", "leader"]).filter(pa.array(close))
+
+    found = both.select("id", "leader", "vector", "centre").mapInArrow(near, "id long, leader long")
+    return written(found.groupBy("id").agg(F.min("leader").alias("__ball")), "balls")
+
+
 def linked(rows: DataFrame, item: str, vector: str, threshold: float = 0.9, block: int = 512) -> DataFrame:
     """(item, n_links, component_id, kept) for every row: links are pairs with cosine >= threshold, in double precision.
 
     Equal vectors are one class, with a count, before anything is compared. Classes meet by sign keys of random
-    rotations, in bounded blocks (see blocks.block_rows). In a block, codes and correction factors estimate all inner
+    rotations, in bounded blocks (see blocks.block_rows). In a crowded bucket, the classes within half the threshold's
+    angle of its leader are a ball: any two of them link, which is counted without comparing them (see _balls). In a block, codes and correction factors estimate all inner
     products with confidence bounds; only vectors with a pair that the bounds leave open are fetched, and their pairs
     recomputed exactly. A pair counts in the first table where it meets; blocks yield counts and spanning forests of
     links, never the pairs. A pair at the threshold is missed with a chance of MISS; closer ones far less.
@@ -84,6 +103,21 @@ def linked(rows: DataFrame, item: str, vector: str, threshold: float = 0.9, bloc
     dim = classes.select(F.size("vector").alias("d")).first()["d"]
     codes = Codes(dim, *plan(count, threshold))
 
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                keys = codes.keys(units(matrix(part.column(1))))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), part.column(0).take(pa.array(np.repeat(np.arange(len(keys)), codes.tables)))], ["key", "id"])
+
+    keys_only = classes.select("id", "vector").mapInArrow(keyed, "key long, id long")
+    crowded = crowded_buckets(keys_only, "key", "id", block, "crowded")
+    members = _balls(led(keys_only, crowded, "key", "id"), classes, threshold) if not crowded.isEmpty() else None
+    if members is not None:
+        classes = written(classes.join(members, "id", "left"), "classes")
+    else:
+        classes = classes.withColumn("__ball", F.lit(None).cast("long"))
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
@@ -93,10 +127,10 @@ def linked(rows: DataFrame, item: str, vector: str, threshold: float = 0.9, bloc
                 t = codes.tables
                 packed = pa.array([r.tobytes() for r in small], pa.binary())
                 every = pa.array(np.repeat(np.arange(len(x)), t))
-                columns = [pa.array(codes.keys(x).ravel()), part.column(0), packed, pa.array(unit), pa.array(factor)]
-                yield pa.RecordBatch.from_arrays([columns[0], *(c.take(every) for c in columns[1:])], ["key", "id", "code", "unit", "factor"])
+                columns = [pa.array(codes.keys(x).ravel()), part.column(0), packed, pa.array(unit), pa.array(factor), part.column(2)]
+                yield pa.RecordBatch.from_arrays([columns[0], *(c.take(every) for c in columns[1:])], ["key", "id", "code", "unit", "factor", "__ball"])
 
-    posted = classes.select("id", "vector").mapInArrow(post, "key long, id long, code binary, unit double, factor double")
+    posted = classes.select("id", "vector", "__ball").mapInArrow(post, "key long, id long, code binary, unit double, factor double, __ball long")
 
     def estimate(table: pa.Table) -> Iterator[pa.RecordBatch]:
         small = np.frombuffer(b"".join(table["code"].to_pylist()), np.int8).reshape(table.num_rows, dim)
@@ -113,10 +147,10 @@ def linked(rows: DataFrame, item: str, vector: str, threshold: float = 0.9, bloc
                 open_[i[left]] = True
                 open_[j[left]] = True
         if open_.any():
-            yield table.select(["key", "__block", "__part", "__own", "id"]).filter(pa.array(open_)).combine_chunks().to_batches()[0]
+            yield table.select(["key", "__block", "__part", "__own", "__ball", "id"]).filter(pa.array(open_)).combine_chunks().to_batches()[0]
 
-    fields = "key long, __block long, __part int, __own boolean, id long"
-    undecided = written(per_block(posted, "key", "id", block, "crowded", estimate, fields), "undecided")
+    fields = "key long, __block long, __part int, __own boolean, __ball long, id long"
+    undecided = written(per_block(posted, "key", "id", block, "crowded", estimate, fields, crowded), "undecided")
     fetched = undecided.join(classes.select("id", "n", "vector"), "id")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,10 +183,17 @@ def linked(rows: DataFrame, item: str, vector: str, threshold: float = 0.9, bloc
                 )
 
     dealt = fetched.repartition("key", "__block").sortWithinPartitions("key", "__block")
-    dealt = dealt.select("key", "__block", "__part", "__own", "id", "n", "vector")
+    dealt = dealt.select("key", "__block", "__part", "__own", "__ball", "id", "n", "vector")
     found = written(dealt.mapInArrow(exact, "a long, b long, links long"), "found")
-    counts = found.where("links > 0").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
-    group = connected_components(found.where("links = 0").select("a", "b").distinct())
+    counts, edges = found.where("links > 0").select(F.col("a").alias("id"), "links"), found.where("links = 0").select("a", "b")
+    if members is not None:
+        inside = classes.where("__ball is not null")
+        sizes = inside.groupBy("__ball").agg(F.sum("n").alias("__total"), F.min("id").alias("a"))
+        inside = inside.join(sizes, "__ball")
+        counts = counts.unionByName(inside.select("id", (F.col("__total") - F.col("n")).alias("links")))
+        edges = edges.unionByName(inside.select("a", F.col("id").alias("b")))
+    counts = counts.groupBy("id").agg(F.sum("links").alias("links"))
+    group = connected_components(edges.distinct())
     told = classes.select("vector", "id", "n").join(counts, "id", "left").join(group, "id", "left")
     told = told.select("vector", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     good = own.join(told, "vector").select("item", "n_links", "component_id")

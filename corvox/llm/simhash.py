@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import forest, near_offsets, per_block
+from .blocks import crowded_buckets, forest, led, near_offsets, per_block
 from .common import more_fields, written
 from .components import connected_components
 from .near_copies import deduplicated as deduplicated
@@ -69,12 +69,12 @@ def _signatures(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The postings of fingerprints, each with the other columns of its row."""
     for batch in batches:
-        prints = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        for i in range(0, len(prints), 4096):
-            keys, rows = _signatures(prints[i : i + 4096])
-            own = prints[i : i + 4096][rows]
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(own.view(np.int64))], ["key", "fingerprint"])
+        for i in range(0, batch.num_rows, 4096):
+            part = batch.slice(i, 4096)
+            keys, rows = _signatures(part.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(c.take(pa.array(rows)) for c in part.columns)], ["key", *batch.schema.names])
 
 
 def _links(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -106,14 +106,25 @@ def groups(prints: DataFrame, item: str, out: str = "component_id", block: int =
     Fingerprints that differ in at most 4 of 64 bits are linked. Equal fingerprints are one class before anything is
     compared, so copies cost one row each. A fingerprint is cut into 3 segments, so that of any two that link, one
     segment differs in at most one bit; each segment is posted whole and with every bit left out once, equal postings
-    meet, and all meetings are verified. Crowded postings are cut into blocks (see blocks.block_rows); a block yields
-    a spanning forest of its links, never its pairs. Exact: no link is lost, none is made up.
+    meet, and all meetings are verified. In crowded postings, fingerprints within 2 bits of the posting's leader are a
+    ball: any two differ in at most 4 bits, so they link without being compared. The others are compared with all, in
+    blocks (see blocks.block_rows); a block yields a spanning forest of its links, never its pairs. Exact: no link is
+    lost, none is made up.
 
     Items that are null are their own null class. An empty table gives no rows.
     """
     classes = written(prints.groupBy("fingerprint").agg(F.min(item).alias("__first")), "classes")
-    posted = classes.select("fingerprint").mapInArrow(_signed, "key long, fingerprint long")
-    links = per_block(posted, "key", "fingerprint", block, "postings", _links, "x long, y long").distinct()
+    prints_only = classes.select("fingerprint")
+    posted = prints_only.mapInArrow(_signed, "key long, fingerprint long")
+    crowded = crowded_buckets(posted, "key", "fingerprint", block, "postings")
+    joined = None
+    if not crowded.isEmpty():
+        near = led(posted, crowded, "key", "fingerprint").where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("leader"))) <= MOST_BITS // 2)
+        balls = written(near.groupBy("fingerprint").agg(F.min("leader").alias("__ball")), "balls")
+        joined = balls.join(balls.groupBy("__ball").agg(F.min("fingerprint").alias("x")), "__ball").where("x <> fingerprint").select("x", F.col("fingerprint").alias("y"))
+        posted = prints_only.join(balls, "fingerprint", "left").mapInArrow(_signed, "key long, fingerprint long, __ball long")
+    links = per_block(posted, "key", "fingerprint", block, "postings", _links, "x long, y long", crowded)
+    links = (links if joined is None else links.unionByName(joined)).distinct()
     first = classes.select(F.col("fingerprint").alias("x"), F.col("__first").alias("a"))
     second = classes.select(F.col("fingerprint").alias("y"), F.col("__first").alias("b"))
     found = connected_components(links.join(first, "x").join(second, "y").select("a", "b"))

@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from corvox.llm import simhash
+from corvox.llm import embed_dedup, simhash
 
 from .helpers import components
 
@@ -59,3 +60,37 @@ def test_a_line_repeated_often_joins_no_different_texts(spark):
     assert max(similarity(shingles(texts[a]), shingles(texts[b])) for a in texts for b in range(a)) < 0.1  # far from copies
     table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert simhash.deduplicated(table).count() == len(texts)
+
+
+def test_a_crowded_ball_of_near_copies(spark):
+    """A group of near copies far larger than a block, with outliers at all distances: links and groups as by all pairs."""
+    draw = np.random.default_rng(4)
+    centre = draw.standard_normal(16)
+    x = [centre + draw.standard_normal(16) * s for s in draw.choice([0.02, 0.1, 0.2, 0.3, 0.45], 900)] + list(draw.standard_normal((100, 16)))
+    x += [x[0], x[0], x[7]]
+    x = np.array(x)
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "item long, v array<double>")
+    out = {r["item"]: r for r in embed_dedup.linked(table, "item", "v", 0.9, 64).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    want = components(out, [tuple(p) for p in np.argwhere(near)])
+    assert near.sum() > 200_000
+    assert [out[i]["n_links"] for i in range(len(x))] == near.sum(axis=1).tolist()
+    assert {i: r["component_id"] for i, r in out.items()} == want
+
+
+def test_crowded_fingerprints(spark):
+    draw = random.Random(3)
+    centre = draw.getrandbits(64)
+    prints = {centre}
+    while len(prints) < 1500:
+        near = centre
+        for b in draw.sample(range(64), draw.choice([1, 2, 2, 3, 4, 6, 9, 14])):
+            near ^= 1 << b
+        prints.add(near)
+    rows = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(sorted(prints))]
+    out = simhash.groups(spark.createDataFrame(rows, "doc_id long, fingerprint long"), "doc_id", block=32).collect()
+    own = np.array(sorted(prints), np.uint64)
+    near = np.bitwise_count(own[:, None] ^ own[None]) <= 4
+    assert {r["doc_id"]: r["component_id"] for r in out} == components(range(len(own)), [tuple(p) for p in np.argwhere(near)])
