@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from .common import more_fields
 
 #: Texts are taken together until they have this many bytes.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 
 _open: dict[str, "WordBpe"] = {}
 _known: dict[tuple, "Known"] = {}
@@ -33,7 +33,7 @@ class WordBpe:
     """
 
     #: A worker forgets the text pieces it knows when it knows this many: bounded memory.
-    most_pieces = 1_000_000
+    most_pieces = 500_000
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -193,6 +193,7 @@ class Known:
             self._learn(new.to_pylist())
             self.pieces = pa.concat_arrays([self.pieces, new])
         found = self._lists().take(pa.array(place[coded.indices.to_numpy()]))
+        pa.default_memory_pool().release_unused()  # workers of other operators share the executor's memory
         return found.values.to_numpy(), found.offsets.to_numpy()[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
 
     def _lists(self) -> pa.ListArray:
@@ -234,13 +235,13 @@ def known_of(path: str, opener=opened) -> Known:
     return _known[key]
 
 
-def batches_of(texts: pa.Array) -> Iterator[range]:
-    """Ranges of texts of about BATCH_BYTES bytes."""
+def batches_of(texts: pa.Array, size: int = BATCH_BYTES) -> Iterator[range]:
+    """Ranges of texts of about so many bytes."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < len(ends):
         before = ends[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, before + BATCH_BYTES)) + 1)
+        last = max(first + 1, int(np.searchsorted(ends, before + size)) + 1)
         yield range(first, min(last, len(ends)))
         first = last
 

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from .bpe import batches_of
 from .common import more_fields
 
-#: What stands before each word, and a worker's bound on the words it remembers.
-MARK, MOST_WORDS = "▁", 400_000
+#: What stands before each word, a worker's bound on the words it remembers, and the bytes of texts taken together.
+MARK, MOST_WORDS, BATCH_BYTES = "▁", 400_000, 4_000_000
 
 
 class Unigram:
@@ -64,7 +64,12 @@ class Unigram:
 
 @lru_cache(maxsize=4)
 def opened(path: str) -> Unigram:
-    """The pieces of a sentencepiece file in the order of their ids, with costs by Zipf's law: micro-nats of the rank."""
+    """The pieces of a sentencepiece file in the order of their ids, with costs by Zipf's law: micro-nats of the rank.
+
+    The file is a BPE model, which holds ranks and no probabilities; so the scores are these, not those of a tokenizer
+    in use, and words are cut at white space without the file's normalisation. A file of a unigram model would bring
+    its own scores: Unigram(costs) takes any.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -89,7 +94,7 @@ def counted(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             words_n, tokens_n = [], []
-            for part in batches_of(texts):
+            for part in batches_of(texts, BATCH_BYTES):
                 if len(known) > MOST_WORDS:
                     known.clear()
                 words = [(t or "").split() for t in texts.slice(part.start, len(part)).to_pylist()]
