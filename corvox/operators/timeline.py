@@ -237,10 +237,46 @@ def pieces(turns: DataFrame, max_dur: float, at_pauses: bool = False) -> DataFra
     return turns.mapInPandas(run, f"recording {kind['recording']}, seg_id {kind['seg_id']}, piece long, start double, end double")
 
 
-def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop: Column) -> DataFrame:
+def split_turns(turns: DataFrame, max_dur: float) -> DataFrame:
+    """(recording, seg_id, piece, speaker, start, end, text) of turns with start, end, text and words: none over max_dur.
+
+    A turn that isn't too long stays as it is; a longer one is cut before the words that end too late (split_long_turns),
+    and one without timed words by time, with its text in the first piece.
+    """
+
+    def cut(start: float, end: float, text: str, words: list) -> list[tuple[float, float, str]]:
+        if end - start <= max_dur:
+            return [(start, end, text)]
+        timed = [(w["start"], w["end"], w["text"]) for w in words if w["start"] is not None and w["end"] is not None and w["text"]]
+        if timed:
+            return split_long_turns(timed, max_dur)
+        starts = [start]
+        while starts[-1] + max_dur < end:
+            starts.append(starts[-1] + max_dur)
+        return [(s, min(s + max_dur, end), "" if k else text) for k, s in enumerate(starts)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for rec, seg, who, start, end, text, words in zip(*(pdf[c] for c in ("recording", "seg_id", "speaker", "start", "end", "text", "words"))):
+                own = cut(float(start), float(end), text or "", [] if words is None else list(words))
+                out += [(rec, seg, k, who, float(s), float(e), t) for k, (s, e, t) in enumerate(own)]
+            yield pd.DataFrame(out, columns=["recording", "seg_id", "piece", "speaker", "start", "end", "text"])
+
+    kind = {f.name: f.dataType.simpleString() for f in turns.schema.fields}
+    return turns.mapInPandas(run, f"recording {kind['recording']}, seg_id {kind['seg_id']}, piece long, speaker {kind['speaker']}, start double, end double, text string")
+
+
+def turn_windows(turns: DataFrame, max_dur: float, max_turns: int) -> DataFrame:
+    """The pieces of turns (see split_turns) with `window` (see greedy_windows)."""
+    return greedy_windows(split_turns(turns, max_dur), max_dur, max_turns)
+
+
+def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop: Column, stop_single: Column | None = None) -> DataFrame:
     """Chains of neighbouring segments while the pause is at most gap and the speech at most `longest`.
 
-    Once a chain has `enough` speech it ends where the row's `stop`, a reproducible draw, is true. Chains with speech
+    Once a chain has `enough` speech it ends where the row's `stop`, a reproducible draw, is true; while it is a single
+    segment, `stop_single` decides, a rarer draw, if it is given. Chains with speech
     in [enough, longest] stay, as (recording, chain, start, end, duration, ids). A fold over each run of a recording: a
     segment that starts more than gap after all before it begins a chain whatever went before.
     """
@@ -248,7 +284,7 @@ def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop:
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ORDER, kind="stable")
         out, open_ = [], None
-        for rec, i, s, e, halt in zip(pdf["recording"], pdf["seg_id"], pdf["start"], pdf["end"], pdf["__stop"]):
+        for rec, i, s, e, halt, alone in zip(*(pdf[c] for c in ("recording", "seg_id", "start", "end", "__stop", "__alone"))):
             if open_ and (s - open_[2] > gap or open_[3] + e - s > longest):
                 out.append(open_)
                 open_ = None
@@ -257,7 +293,7 @@ def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop:
             open_[2] = max(open_[2], e)
             open_[3] += e - s
             open_[4].append(i)
-            if open_[3] >= enough and halt:
+            if open_[3] >= enough and (halt if len(open_[4]) > 1 else alone):
                 out.append(open_)
                 open_ = None
         if open_:
@@ -267,7 +303,7 @@ def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop:
 
     kind = {f.name: f.dataType.simpleString() for f in segments.schema.fields}
     ddl = f"recording {kind['recording']}, start double, end double, duration double, ids array<{kind['seg_id']}>, run long, place long"
-    cut = stretches(segments.withColumn("__stop", stop), "end", gap)
+    cut = stretches(segments.withColumn("__stop", stop).withColumn("__alone", stop if stop_single is None else stop_single), "end", gap)
     found = cut.groupBy("recording", "__run").applyInPandas(fold, ddl)
     out = running_total(found, ["recording"], F.floor(F.col("start") / BIN), ["run", "place"], None, "chain")
     return out.select("recording", F.col("chain").cast("long").alias("chain"), "start", "end", "duration", "ids")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, text
 from ..operators import cleaning as C
+from ..sources.scratch import scratch
 from .tables import query, table
 from .turn_queries import u_sql
 
@@ -179,8 +180,13 @@ PIPELINE = [
 
 @query()
 def cleaning_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """All outputs; the steps that they share are done once and written."""
     steps = C.resolved(PIPELINE, BLOCKS)
-    parts = [C.cleaned(_docs(spark, d), C.for_output(steps, o)).select("doc_id", F.lit(o).alias("output"), "text", "dropped_by", F.array_join("changed", ",").alias("changed")) for o in C.OUTPUTS]
+    k, path = C.shared_steps(steps), scratch(spark, "cleaned")
+    first = C.cleaned(_docs(spark, d), steps[:k])
+    first.write.parquet(path)
+    shared = spark.read.schema(first.schema).parquet(path)
+    parts = [C.cleaned(shared, C.for_output(steps, o)[k:], traced=True).select("doc_id", F.lit(o).alias("output"), "text", "dropped_by", F.array_join("changed", ",").alias("changed")) for o in C.OUTPUTS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -107,7 +107,14 @@ def greedy_windowing(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def chain_planner(spark: SparkSession, d: str) -> DataFrame:
-    return L.chains(segments(spark, d), DAY, 5 * HOUR, HOUR, hash_u("stop", "recording", "seg_id") < 0.1)
+    u = hash_u("stop", "recording", "seg_id")
+    return L.chains(segments(spark, d), DAY, 5 * HOUR, HOUR, u < 0.1, u < 0.05)
+
+
+@query()
+def turn_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Turns of up to ten days, cut at their words, in windows of two days and 20 pieces."""
+    return L.turn_windows(_turns(spark, d).withColumn("speaker", F.lit("s")).withColumn("text", F.lit("t")).withColumn("start", F.get("words", F.lit(0))["start"]).withColumn("end", F.element_at("words", -1)["end"]), 2 * DAY, 20)
 
 
 def _turns(spark: SparkSession, d: str) -> DataFrame:

@@ -87,3 +87,16 @@ def test_numbers_of_a_hot_group(spark):
     for lang in (None, "a"):
         own = sorted((r for r in out if r["lang"] == lang), key=lambda r: (r["u"], r["id"]))
         assert [r["n"] for r in own] == [*range(len(own))]
+
+
+def test_turns_are_split_before_they_are_windowed(spark):
+    words = [{"start": float(k), "end": k + 0.5, "text": f"w{k}"} for k in range(10)]
+    rows = [("r", 1, "a", 0.0, 9.5, "all", words), ("r", 2, "b", 20.0, 27.0, "untimed", None), ("r", 3, "c", 30.0, 32.0, "short", [])]
+    turns = spark.createDataFrame(rows, "recording string, seg_id long, speaker string, start double, end double, text string, words array<struct<start:double,end:double,text:string>>")
+    out = [tuple(r) for r in timeline.split_turns(turns, 3.0).orderBy("seg_id", "piece").collect()]
+    assert [(r[1], r[2], r[4], r[5], r[6]) for r in out] == [
+        (1, 0, 0.0, 2.5, "w0 w1 w2"), (1, 1, 3.0, 5.5, "w3 w4 w5"), (1, 2, 6.0, 8.5, "w6 w7 w8"), (1, 3, 9.0, 9.5, "w9"),
+        (2, 0, 20.0, 23.0, "untimed"), (2, 1, 23.0, 26.0, ""), (2, 2, 26.0, 27.0, ""), (3, 0, 30.0, 32.0, "short"),
+    ]
+    windows = {(r["seg_id"], r["piece"]): r["window"] for r in timeline.turn_windows(turns, 3.0, 5).collect()}
+    assert windows == {(1, 0): 1, (1, 1): 2, (1, 2): 3, (1, 3): 4, (2, 0): 5, (2, 1): 6, (2, 2): 7, (3, 0): 8}
