@@ -16,25 +16,23 @@ ERRORS = ("wer", "cer", "der")
 
 
 def word_errors(reference: list[str], hypothesis: list[str]) -> tuple[int, int, int]:
-    """(insertions, deletions, substitutions) of a least-cost alignment; of equal costs substitutions come first, then deletions.
+    """(insertions, deletions, substitutions) of a least-cost alignment; of equal costs the one with the fewest insertions.
 
-    One row of the table at a time, so that memory grows with the texts' lengths alone.
+    A row of the table at a time, as one array: a cell holds the cost and, below it, the insertions, so the least cell is
+    the one that is looked for. Insertions run along the row and are a running minimum.
     """
-    row = [(j, j, 0, 0) for j in range(len(hypothesis) + 1)]
-    for i, r in enumerate(reference, 1):
-        new = [(i, 0, i, 0)]
-        for j, h in enumerate(hypothesis, 1):
-            c, a, d, s = row[j - 1]
-            best = (c, a, d, s) if r == h else (c + 1, a, d, s + 1)
-            c, a, d, s = row[j]
-            if c + 1 < best[0]:
-                best = (c + 1, a, d + 1, s)
-            c, a, d, s = new[j - 1]
-            if c + 1 < best[0]:
-                best = (c + 1, a + 1, d, s)
-            new.append(best)
-        row = new
-    return row[-1][1:]
+    one = 1 << 32  # a cost of 1; insertions count in the lower bits
+    numbers: dict[str, int] = {}
+    r, h = (np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64) for words in (reference, hypothesis))
+    along = np.arange(len(h) + 1, dtype=np.int64) * (one + 1)
+    row = along.copy()
+    for w in r:
+        new = row + one
+        np.minimum(new[1:], row[:-1] + np.where(h == w, 0, one), out=new[1:])
+        row = np.minimum.accumulate(new - along) + along
+    cost, inserted = divmod(int(row[-1]), one)
+    deleted = inserted + len(r) - len(h)
+    return inserted, deleted, cost - inserted - deleted
 
 
 def with_word_errors(rows: DataFrame, reference: str, hypothesis: str) -> DataFrame:

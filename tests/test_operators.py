@@ -283,3 +283,20 @@ def test_synthesis(spark):
     assert export.resolved_env("${oc.env:A,b}/${oc.env:C}", {"C": "d"}) == "b/d"
     assert one(spark, "x/data/My Set/fr/manifest.json.gz", export.config_name) == "fr_manifest"
     assert one(spark, "Woman", export.normalised_gender) == "female" and one(spark, None, export.normalised_gender) is None
+
+
+def test_word_errors_against_a_table():
+    import random
+
+    draw = random.Random(1)
+    for _ in range(200):
+        r, h = ([draw.choice("abc") for _ in range(draw.randint(0, 8))] for _ in range(2))
+        row = [(j, j) for j in range(len(h) + 1)]
+        for x in r:
+            new = [(row[0][0] + 1, 0)]
+            for j, y in enumerate(h):
+                new.append(min((row[j][0] + (x != y), row[j][1]), (row[j + 1][0] + 1, row[j + 1][1]), (new[j][0] + 1, new[j][1] + 1)))
+            row = new
+        cost, ins = row[-1]
+        gone = ins + len(r) - len(h)
+        assert E.word_errors(r, h) == (ins, gone, cost - ins - gone)
