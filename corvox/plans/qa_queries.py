@@ -126,3 +126,30 @@ def redistribution(spark: SparkSession, d: str) -> DataFrame:
 select plain, w as accented from (select a.plain, a.w, row_number() over (partition by a.plain order by a.n desc, a.w) as rn from p a left join p b on b.w = a.plain where a.w <> a.plain and a.n > 5 * coalesce(b.n, 0) and a.n >= 5) where rn = 1""")
 def accent_restoration(spark: SparkSession, d: str) -> DataFrame:
     return R.accent_table(table(spark, d, "documents").select("text"))
+
+
+def _rebuild_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Held-out texts as segments of one second, some windows twice, and their damaged raw texts, of which some are missing."""
+    t = _damaged(spark, d).withColumn("recording", F.col("item_id") % 5).withColumn("start", F.col("item_id").cast("double"))
+    own = t.select("recording", F.concat(F.lit("s"), "item_id").alias("seg_id"), "start", (F.col("start") + 1).alias("end"), "text")
+    twice = own.where(F.col("start") % 4 == 0).select("recording", F.concat("seg_id", F.lit("b")).alias("seg_id"), "start", "end", "text")
+    reason = F.when(F.col("item_id") % 9 == 0, "censored")
+    raws = t.where("item_id % 7 <> 0").select("recording", "start", (F.col("start") + 1).alias("end"), F.when(reason.isNull(), F.col("raw")).alias("raw"), reason.alias("reason"))
+    return own.unionByName(twice), raws
+
+
+@query()
+def windowed_rebuild(spark: SparkSession, d: str) -> DataFrame:
+    return R.rebuilt_windows(*_rebuild_inputs(spark, d))
+
+
+@query()
+def cut_aware_rebuild(spark: SparkSession, d: str) -> DataFrame:
+    """Each segment in two pieces of half a second, rebuilt from the raw text of the whole."""
+    own, raws = _rebuild_inputs(spark, d)
+    words = F.split("text", r"\s+")
+    half = F.ceil(F.size(words) / 2).cast("int")
+    pieces = F.array(F.struct(F.lit(0).alias("k"), F.array_join(F.slice(words, F.lit(1), half), " ").alias("t")), F.struct(F.lit(1).alias("k"), F.array_join(F.slice(words, half + 1, F.size(words)), " ").alias("t")))
+    cut = own.where(~F.col("seg_id").endswith("b")).withColumn("p", F.explode(pieces))
+    cut = cut.select("recording", F.concat("seg_id", F.lit("_cut"), F.col("p.k")).alias("seg_id"), (F.col("start") + F.col("p.k") * 0.5).alias("start"), (F.col("start") + 0.5 + F.col("p.k") * 0.5).alias("end"), F.col("p.t").alias("text"))
+    return R.rebuilt_cuts(cut, raws)
