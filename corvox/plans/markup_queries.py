@@ -32,51 +32,56 @@ def _user(c: str = "file") -> Column:
     return F.regexp_extract(c, r"user_id=(\d+)", 1).cast("long").alias("user_id")
 
 
-I, SEC = F.col("event_id"), F.format_string("%d.5", F.col("event_id") % 1000)  # noqa: E741
+def _id() -> Column:
+    return F.col("event_id")
+
+
+def _sec() -> Column:
+    return F.format_string("%d.5", _id() % 1000)
 
 
 @query("""select user_id, 'w' || event_id as id, row_number() over (partition by user_id order by event_id) - 1 as pos, case when event_id % 5 = 0 then '.' when event_id % 7 = 0 then event_type || '-' when event_id % 11 = 0 then '[laugh]' else event_type end as text,
  case when event_id % 13 = 0 then null else event_id % 1000 + 0.5::double end as "start", case when event_id % 5 = 0 then 'left' end as "join", not (event_id % 5 = 0 or (event_id % 11 = 0 and event_id % 7 <> 0)) as lex from events""")
 def word_annotations(spark: SparkSession, d: str) -> DataFrame:
-    start = F.when(I % 13 == 0, "").otherwise(F.concat(F.lit(' starttime="'), SEC, F.lit('"')))
-    tag = lambda more, text: F.concat(F.lit('<w nite:id="w'), I, F.lit('"'), start, F.lit(more), text, F.lit("</w>"))
-    sound = F.concat(F.lit('<vocalsound nite:id="w'), I, F.lit('" type="laugh"'), start, F.lit("/>"))
-    line = F.when(I % 5 == 0, tag(' punc="true">', F.lit("."))).when(I % 7 == 0, tag(' trunc="true">', F.col("event_type"))).when(I % 11 == 0, sound).otherwise(tag(">", F.col("event_type")))
+    start = F.when(_id() % 13 == 0, "").otherwise(F.concat(F.lit(' starttime="'), _sec(), F.lit('"')))
+    tag = lambda more, text: F.concat(F.lit('<w nite:id="w'), _id(), F.lit('"'), start, F.lit(more), text, F.lit("</w>"))
+    sound = F.concat(F.lit('<vocalsound nite:id="w'), _id(), F.lit('" type="laugh"'), start, F.lit("/>"))
+    line = F.when(_id() % 5 == 0, tag(' punc="true">', F.lit("."))).when(_id() % 7 == 0, tag(' trunc="true">', F.col("event_type"))).when(_id() % 11 == 0, sound).otherwise(tag(">", F.col("event_type")))
     out = M.parsed(spark, _files(spark, d, "words", ROOT, line, "</nite:root>"), M.nxt_words, M.WORDS)
     return out.select(_user(), "id", "pos", "text", "start", "join", "lex")
 
 
 @query("""select user_id, 's' || event_id as id, event_id % 1000 + 0.5::double as "start", 'w' || event_id as first_word, 'w' || (event_id + 3) as last_word from events""")
 def segment_annotations(spark: SparkSession, d: str) -> DataFrame:
-    line = F.concat(F.lit('<segment nite:id="s'), I, F.lit('" transcriber_start="'), SEC, F.lit('"><nite:child href="a.words.xml#id(w'), I, F.lit(")..id(w"), I + 3, F.lit(')"/></segment>'))
+    line = F.concat(F.lit('<segment nite:id="s'), _id(), F.lit('" transcriber_start="'), _sec(), F.lit('"><nite:child href="a.words.xml#id(w'), _id(), F.lit(")..id(w"), _id() + 3, F.lit(')"/></segment>'))
     out = M.parsed(spark, _files(spark, d, "segments", ROOT, line, "</nite:root>"), M.nxt_segments, M.SEGMENTS)
     return out.select(_user(), "id", "start", "first_word", "last_word")
 
 
 @query("""select user_id, 't' || event_id as id, null::varchar as parent, event_type as label, 'w' || event_id as first_word from events union all select user_id, 'u' || event_id, 't' || event_id, 'inner', null from events where event_id % 3 = 0""")
 def topic_annotations(spark: SparkSession, d: str) -> DataFrame:
-    inner = F.when(I % 3 == 0, F.concat(F.lit('<topic nite:id="u'), I, F.lit('" description="inner"/>'))).otherwise("")
-    line = F.concat(F.lit('<topic nite:id="t'), I, F.lit('" description="'), F.col("event_type"), F.lit('"><nite:child href="a#id(w'), I, F.lit(')"/>'), inner, F.lit("</topic>"))
+    inner = F.when(_id() % 3 == 0, F.concat(F.lit('<topic nite:id="u'), _id(), F.lit('" description="inner"/>'))).otherwise("")
+    line = F.concat(F.lit('<topic nite:id="t'), _id(), F.lit('" description="'), F.col("event_type"), F.lit('"><nite:child href="a#id(w'), _id(), F.lit(')"/>'), inner, F.lit("</topic>"))
     out = M.parsed(spark, _files(spark, d, "topics", ROOT, line, "</nite:root>"), M.nxt_topics, M.TOPICS)
     return out.select(_user(), "id", "parent", "label", "first_word")
 
 
 @query("""select user_id, 'a' || event_id as id, event_type as type, 'w' || event_id as first_word from events""")
 def act_annotations(spark: SparkSession, d: str) -> DataFrame:
-    line = F.concat(F.lit('<dact nite:id="a'), I, F.lit('"><nite:pointer role="da-aspect" href="t.xml#id('), F.col("event_type"), F.lit(')"/><nite:child href="a#id(w'), I, F.lit(')"/></dact>'))
+    line = F.concat(F.lit('<dact nite:id="a'), _id(), F.lit('"><nite:pointer role="da-aspect" href="t.xml#id('), F.col("event_type"), F.lit(')"/><nite:child href="a#id(w'), _id(), F.lit(')"/></dact>'))
     out = M.parsed(spark, _files(spark, d, "acts", ROOT, line, "</nite:root>"), M.nxt_acts, M.ACTS)
     return out.select(_user(), "id", "type", "first_word")
 
 
 @query("""select user_id, 'x' || event_id as sentence, 'a' || event_id as act from events""")
 def summary_links(spark: SparkSession, d: str) -> DataFrame:
-    line = F.concat(F.lit('<summlink><nite:pointer role="extractive" href="d#id(a'), I, F.lit(')"/><nite:pointer role="abstractive" href="s#id(x'), I, F.lit(')"/></summlink>'))
+    line = F.concat(F.lit('<summlink><nite:pointer role="extractive" href="d#id(a'), _id(), F.lit(')"/><nite:pointer role="abstractive" href="s#id(x'), _id(), F.lit(')"/></summlink>'))
     return M.parsed(spark, _files(spark, d, "links", ROOT, line, "</nite:root>"), M.nxt_links, M.LINKS).select(_user(), "sentence", "act")
 
 
 @query("""select user_id, 'abstract' as section, row_number() over (partition by user_id order by event_id) - 1 as pos, 'x' || event_id as id, event_type || ' ' || event_id as text from events""")
 def summary_sentences(spark: SparkSession, d: str) -> DataFrame:
-    line = F.concat(F.lit('<sentence nite:id="x'), I, F.lit('">'), F.concat_ws(" ", "event_type", I), F.lit("</sentence>"))
+    line = F.concat(F.lit('<sentence nite:id="x'), _id(), F.lit('">'), F.concat_ws(" ", "event_type", _id()), F.lit("</sentence>"))
     out = M.parsed(spark, _files(spark, d, "abstracts", ROOT + "<abstract>", line, "</abstract></nite:root>"), M.nxt_abstracts, M.ABSTRACTS)
     return out.select(_user(), "section", "pos", "id", "text")
 
@@ -85,8 +90,8 @@ def summary_sentences(spark: SparkSession, d: str) -> DataFrame:
 select user_id, turn, 'Ann' as speaker, (event_id % 1000)::double as "start", event_id % 1000 + 1::double as "end", event_type || case when event_id % 4 = 0 then ' [rire]' else '' end as text, (event_id % 4 = 0)::bigint as events from t
 union all select user_id, turn, 'Bob', (event_id % 1000)::double, event_id % 1000 + 1::double, 'oh', 0 from t union all select user_id, turn, 'Ann', event_id % 1000 + 1::double, event_id % 1000 + 2::double, 'next', 0 from t""")
 def transcriber_turns(spark: SparkSession, d: str) -> DataFrame:
-    at = lambda k: (I % 1000 + k).cast("string")
-    event = F.when(I % 4 == 0, F.lit('<Event desc="rire"/>')).otherwise("")
+    at = lambda k: (_id() % 1000 + k).cast("string")
+    event = F.when(_id() % 4 == 0, F.lit('<Event desc="rire"/>')).otherwise("")
     line = F.concat(F.lit('<Turn speaker="s1 s2" startTime="'), at(0), F.lit('" endTime="'), at(2), F.lit('"><Sync time="'), at(0), F.lit('"/><Who nb="1"/>'), F.col("event_type"), F.lit(" "), event, F.lit('<Who nb="2"/>oh<Sync time="'), at(1), F.lit('"/>next</Turn>'))
     head = '<Trans><Speakers><Speaker id="s1" name="Ann"/><Speaker id="s2" name="Bob"/></Speakers><Episode><Section>'
     return M.parsed(spark, _files(spark, d, "trs", head, line, "</Section></Episode></Trans>"), M.transcriber, M.TRANSCRIBER).select(_user(), "turn", "speaker", "start", "end", "text", "events")
@@ -95,8 +100,8 @@ def transcriber_turns(spark: SparkSession, d: str) -> DataFrame:
 @query("""select user_id, 'tier' as tier, event_id % 1000 + 0.5::double as "start", event_id % 1000 + 1.5::double as "end", event_type || ' "' || event_id || '"' as text from events""")
 def textgrid_intervals(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "textgrid")
-    end = F.format_string("%d.5", I % 1000 + 1)
-    line = F.concat_ws("\n", SEC, end, F.concat(F.lit('"'), "event_type", F.lit(' ""'), I, F.lit('"""')))
+    end = F.format_string("%d.5", _id() % 1000 + 1)
+    line = F.concat_ws("\n", _sec(), end, F.concat(F.lit('"'), "event_type", F.lit(' ""'), _id(), F.lit('"""')))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("event_id", line.alias("line")))), lambda s: s["line"])
     head = 'File type = "ooTextFile"\nObject class = "TextGrid"\n\n0\n2000\n<exists>\n1\n"IntervalTier"\n"tier"\n0\n2000\n'
     whole = table(spark, d, "events").groupBy("user_id").agg(F.concat(F.lit(head), F.count(F.lit(1)), F.lit("\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("value"))
@@ -106,7 +111,7 @@ def textgrid_intervals(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""select user_id, (event_id % 3)::double as "start", 10 + (event_id % 3)::double as "end", event_type as speaker, 'one' as text from events union all select user_id, 10 + (event_id % 3)::double, 20.0::double, event_type, 'two' from events""")
 def tei_utterances(spark: SparkSession, d: str) -> DataFrame:
-    k = (I % 3).cast("string")
+    k = (_id() % 3).cast("string")
     line = F.concat(F.lit('<u who="#'), "event_type", F.lit('" start="#A'), k, F.lit('" end="#T2">one<anchor synch="#B'), k, F.lit('"/>two</u>'))
     whens = '<when xml:id="T0"/>' + "".join(f'<when xml:id="A{i}" interval="{i}" since="#T0"/><when xml:id="B{i}" interval="10" since="#A{i}"/>' for i in range(3)) + '<when xml:id="T2" interval="20" since="#T0"/>'
     head = f'<TEI xmlns="http://www.tei-c.org/ns/1.0"><timeline>{whens}</timeline>'
@@ -116,7 +121,7 @@ def tei_utterances(spark: SparkSession, d: str) -> DataFrame:
 @query("""select user_id, row_number() over (partition by user_id order by event_id) - 1 as pos, event_type as word, event_id % 1000 + 0.5::double as "start" from events""")
 def word_json(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "whisper")
-    word = F.struct(F.col("event_type").alias("word"), (I % 1000 + 0.5).alias("start"), (I % 1000 + 0.7).alias("end"))
+    word = F.struct(F.col("event_type").alias("word"), (_id() % 1000 + 0.5).alias("start"), (_id() % 1000 + 0.7).alias("end"))
     words = F.transform(F.array_sort(F.collect_list(F.struct("event_id", word.alias("w")))), lambda s: s["w"])
     rows = table(spark, d, "events").groupBy("user_id").agg(words.alias("words"))
     cut = F.floor(F.size("words") / 2).cast("int")
@@ -230,6 +235,6 @@ def cased_answers(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""select user_id, regexp_replace(regexp_replace(string_agg(case when event_id % 5 = 0 then chr(1) || '.' when event_id % 7 = 0 then event_type || chr(2) else event_type end, ' ' order by event_id), ' ' || chr(1), '', 'g'), chr(2) || ' ?|^' || chr(1), '', 'g') as text from events group by user_id""")
 def detokenised_words(spark: SparkSession, d: str) -> DataFrame:
-    join = F.when(I % 5 == 0, "left").when(I % 7 == 0, "right")
-    word = F.struct("event_id", F.when(I % 5 == 0, ".").otherwise(F.col("event_type")).alias("text"), join.alias("join"))
+    join = F.when(_id() % 5 == 0, "left").when(_id() % 7 == 0, "right")
+    word = F.struct("event_id", F.when(_id() % 5 == 0, ".").otherwise(F.col("event_type")).alias("text"), join.alias("join"))
     return table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(word)).alias("w")).select("user_id", T.detokenised(F.col("w")).alias("text"))

@@ -39,3 +39,13 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_needs_no_session():
+    """The driver reads the names of the queries before there is a session."""
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=entry.ROOT, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
