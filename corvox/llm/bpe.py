@@ -16,9 +16,6 @@ from pyspark.sql import DataFrame
 
 from .common import more_fields
 
-#: Texts are taken together until they have this many bytes.
-BATCH_BYTES = 2_000_000
-
 _open: dict[str, "WordBpe"] = {}
 _known: dict[tuple, "Known"] = {}
 
@@ -32,8 +29,9 @@ class WordBpe:
     leave the array, so a round costs what is still unfinished.
     """
 
-    #: A worker forgets the text pieces it knows when it knows this many: bounded memory.
-    most_pieces = 500_000
+    #: A worker forgets the text pieces it knows when it knows this many, and takes texts of so many bytes together:
+    #: bounded memory.
+    most_pieces, batch_bytes = 500_000, 2_000_000
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -235,7 +233,7 @@ def known_of(path: str, opener=opened) -> Known:
     return _known[key]
 
 
-def batches_of(texts: pa.Array, size: int = BATCH_BYTES) -> Iterator[range]:
+def batches_of(texts: pa.Array, size: int) -> Iterator[range]:
     """Ranges of texts of about so many bytes."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
@@ -262,7 +260,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             n, ids, decoded = [], [], []
-            for part in batches_of(texts):
+            for part in batches_of(texts, known.bpe.batch_bytes):
                 flat, offsets = known.ids(texts.slice(part.start, len(part)))
                 n += np.diff(offsets).tolist()
                 for strings, out in ((known.digits, ids), (known.shown, decoded)):
@@ -287,7 +285,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", out: str = "ids", en
         known = known_of(path, opener)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
-            for part in batches_of(texts):
+            for part in batches_of(texts, known.bpe.batch_bytes):
                 flat, offsets = known.ids(texts.slice(part.start, len(part)))
                 if end is not None:
                     flat = np.insert(flat, offsets[1:], end)

@@ -23,6 +23,8 @@ ROW_GROUP, PAGE, PAGE_ROWS = 8 << 20, 256 << 10, 500
 class LibraryBpe(WordBpe):
     """The same pre-tokens, each encoded by the tokenizers library, many at a time."""
 
+    most_pieces, batch_bytes = 1_000_000, 8_000_000
+
     def __init__(self, path: str) -> None:
         super().__init__(path)
         self.letters = {b: c for b, c in enumerate(_byte_letters())}
