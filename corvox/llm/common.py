@@ -102,6 +102,24 @@ def running_total(df: DataFrame, keys: list[str], buckets: tuple[Column, Column]
     )
 
 
+def placed(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """df with `out`, the place of each row, from 0, in the given order of all rows; written to the shared folder.
+
+    A range sort: rows are dealt by sampled bounds of the order and sorted in their ranges, so no task holds a group;
+    the ranges' sizes, one row for each, are added up. Rows that are equal in the order stand in any order. df should
+    be read from files, as it is read twice; it has no columns with the names of the working ones.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
+    at = written(ranged.sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "ranges")
+    at = at.withColumn("__range", F.shiftrightunsigned("__at", 33))
+    sizes = at.groupBy("__range").agg(F.count("*").alias("__rows"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return at.join(F.broadcast(starts), "__range").withColumn(out, F.col("__start") + inside).drop("__at", "__range", "__start")
+
+
 def bits_for(rows: int, per_bucket: int = 64, least: int = 8, most: int = 40) -> int:
     """How many leading bits of a hash cut `rows` rows into buckets of about `per_bucket`."""
     return max(least, min(most, max(1, rows // per_bucket).bit_length()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, embed_dedup, mixing, permutation_index, rendezvous, simhash, token_counts, token_store, toxicity
+from . import bpe, chat_format, embed_dedup, mixing, permutation_index, personal_data, prefix_trie, rendezvous, resampling, simhash, token_counts, token_store, toxicity
 from .common import new_folder, written
 
 
@@ -95,7 +95,31 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.orderBy("first_position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_bpe, op3_embed_dedup, op4_token_store, op5_sharding, op6_toxicity, op7_permutation_index, op8_token_counts, op9_simhash, op10_mixing)}
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and disguised identifiers of all documents; counts are of all spans, n_added of those behind disguises."""
+    out = personal_data.identifiers(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    told = lambda name: F.array_join(F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end_"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(k) for k in personal_data.KINDS]
+    added = (F.size("spans") - F.size("base_spans")).cast("long").alias("n_added")
+    return out.select("doc_id", *counts, F.sha2(told("base_spans"), 256).alias("base_sha256"), told("spans").alias("spans"), added)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations."""
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark's texts, and the twentieth of them that is drawn."""
+    return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OPERATORS = (
+    op1_chat_format, op2_bpe, op3_embed_dedup, op4_token_store, op5_sharding, op6_toxicity, op7_permutation_index, op8_token_counts, op9_simhash, op10_mixing,
+    op11_personal_data, op12_prefix_trie, op13_resampling,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 ORACLES: dict[str, str] = {
     "op1_chat_format": r"""
 with t as (select conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns from conversations group by conv_id),
