@@ -99,6 +99,55 @@ def sentences(words: Column) -> Column:
     return F.aggregate(attached(words), start, add, lambda acc: acc["done"])
 
 
+def built_sentences(words: Column, pause: float = 1.0, least: int = 5, most: int = 35, longest: float = 18.0) -> Column:
+    """Sentences (text, start, end, n) of transcripts that may lack marks: n words each, from start to end in seconds.
+
+    A sentence ends behind a word or a lone mark that ends in . ? or !. Where none comes, it ends before a word that
+    begins `pause` seconds or more after the last one, if it has `least` words by then, and behind the word with which
+    it has `most` words or lasts `longest` seconds. Lone marks join the word before them, and belong to no sentence
+    between two; a word without a time (null or below 0) and an empty one aren't read. An unfinished last sentence is
+    one. Null or empty words give none.
+
+    The fold holds where the present sentence began and the bounds of those that are done, no text; texts are put
+    together from the bounds afterwards.
+    """
+    bound = "array<struct<first:int,last:int,start:double,end:double,n:int>>"
+    token = lambda w: F.trim(F.coalesce(w["word"], F.lit("")))
+    letters = lambda w: token(w).rlike(LETTERS)
+    read = F.filter(words, lambda w: (token(w) != "") & (~letters(w) | F.coalesce(w["start"] >= 0, F.lit(False))))
+    tokens = F.transform(
+        read, lambda w, i: F.struct(i.alias("i"), token(w).alias("word"), letters(w).alias("letters"), token(w).rlike("[.?!]$").alias("stop"), w["start"].cast("double").alias("start"), w["end"].cast("double").alias("end"))
+    )
+    begin = F.struct(F.lit(False).alias("open"), F.lit(0).alias("first"), F.lit(0.0).alias("start"), F.lit(0.0).alias("end"), F.lit(0).alias("n"), F.array().cast(bound).alias("done"))
+
+    def told(first: Column, last: Column, start: Column, end: Column, n: Column) -> Column:
+        return F.struct(first.alias("first"), last.alias("last"), start.alias("start"), end.alias("end"), n.alias("n"))
+
+    def add(acc: Column, w: Column) -> Column:
+        silent = acc["open"] & w["letters"] & (w["start"] - acc["end"] >= pause) & (acc["n"] >= least)
+        new = w["letters"] & (~acc["open"] | silent)
+        first, start = F.when(new, w["i"]).otherwise(acc["first"]), F.when(new, w["start"]).otherwise(acc["start"])
+        end = F.when(w["letters"], w["end"]).otherwise(acc["end"])
+        n = F.when(new, 0).otherwise(acc["n"]) + w["letters"].cast("int")
+        is_open = acc["open"] | w["letters"]
+        full = is_open & (w["stop"] | w["letters"] & ((n >= most) | (end - start >= longest)))
+        before = F.when(silent, F.array(told(acc["first"], w["i"] - 1, acc["start"], acc["end"], acc["n"]))).otherwise(F.array().cast(bound))
+        now = F.when(full, F.array(told(first, w["i"], start, end, n))).otherwise(F.array().cast(bound))
+        done = F.when(silent | full, F.concat(acc["done"], before, now)).otherwise(acc["done"])
+        return F.struct((is_open & ~full).alias("open"), first.alias("first"), start.alias("start"), end.alias("end"), n.alias("n"), done.cast(bound).alias("done"))
+
+    def close(acc: Column) -> Column:
+        rest = F.array(told(acc["first"], F.lit(2**31 - 2), acc["start"], acc["end"], acc["n"]))
+        return F.when(acc["open"], F.concat(acc["done"], rest)).otherwise(acc["done"]).cast(bound)
+
+    def of(own: Column) -> Column:
+        spelled = lambda w, k: F.when(w["letters"] & (k > 0), F.concat(F.lit(" "), w["word"])).otherwise(w["word"])
+        text = lambda b: F.array_join(F.transform(F.slice(own, b["first"] + 1, b["last"] - b["first"] + 1), spelled), "")
+        return F.transform(F.aggregate(own, begin, add, close), lambda b: F.struct(text(b).alias("text"), b["start"].alias("start"), b["end"].alias("end"), b["n"].alias("n")))
+
+    return F.flatten(F.transform(F.array(tokens), of))
+
+
 def sentence_at(found: Column, t: Column) -> Column:
     """The sentence that holds t, else the one whose middle is nearest."""
     inside = F.get(F.filter(found, lambda s: (s["start"] <= t) & (s["end"] >= t)), F.lit(0))

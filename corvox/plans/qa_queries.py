@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing
@@ -34,6 +34,42 @@ def sentence_spans(spark: SparkSession, d: str) -> DataFrame:
     return s.select("item_id", "sentence", "s.text", F.round("s.start", 4).alias("start"), F.round("s.end", 4).alias("end"), "s.n")
 
 
+#: Turns as timed tokens: marks are tokens of their own without a time, two thirds of the turns have lost theirs; in half
+#: of the conversations a silence stands before every ninth token, in all a long one before every fiftieth, and each
+#: eleventh token has lost its time.
+SPOKEN = r"""raw as (select conv_id, turn, regexp_extract_all(case when (conv_id + turn) % 3 = 0 then text else regexp_replace(text, '[.?!]', '', 'g') end, '[\p{L}\p{N}''-]+|[^\s\p{L}\p{N}''-]+') as r from conversations),
+tok as (select conv_id, turn, unnest(range(1, len(r) + 1)) as i, unnest(r) as word from raw),
+spoken as (select conv_id, turn, i, word, regexp_matches(word, '[\p{L}\p{N}]') as letters, regexp_matches(word, '[.?!]$') as stop, case when not regexp_matches(word, '[\p{L}\p{N}]') or i % 11 = 0 then -1.0 else i * 0.5 + case when conv_id % 2 = 0 then i // 9 * 1.25 else 0 end + i // 50 * 20.0 end::double as "start",
+ case when not regexp_matches(word, '[\p{L}\p{N}]') or i % 11 = 0 then -1.0 else i * 0.5 + case when conv_id % 2 = 0 then i // 9 * 1.25 else 0 end + i // 50 * 20.0 + 0.25 end::double as "end" from tok)"""
+
+
+def _spoken(spark: SparkSession, d: str) -> DataFrame:
+    """(conv_id, turn, words): turns as timed tokens, as in SPOKEN."""
+    text = F.when((F.col("conv_id") + F.col("turn")) % 3 == 0, F.col("text")).otherwise(F.regexp_replace("text", "[.?!]", ""))
+    tokens = F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}'-]+|[^\s\p{L}\p{N}'-]+"), 0)
+
+    def timed_token(w: Column, i: Column) -> Column:
+        at = (i + 1) * 0.5 + F.when(F.col("conv_id") % 2 == 0, F.floor((i + 1) / 9) * 1.25).otherwise(0.0) + F.floor((i + 1) / 50) * 20.0
+        lost = ~w.rlike(Q.LETTERS) | ((i + 1) % 11 == 0)
+        return F.struct(w.alias("word"), F.when(lost, -1.0).otherwise(at).alias("start"), F.when(lost, -1.0).otherwise(at + 0.25).alias("end"))
+
+    return table(spark, d, "conversations").select("conv_id", "turn", F.transform(tokens, timed_token).cast(Q.WORDS).alias("words"))
+
+
+@query(rf"""with recursive {SPOKEN}, w as (select *, row_number() over (partition by conv_id, turn order by i) as k from spoken where not letters or "start" >= 0),
+f(conv_id, turn, k, is_open, a, b, n, sid, own) as (
+ select conv_id, turn, 0::bigint, false, 0.0::double, 0.0::double, 0::bigint, 0::bigint, -1::bigint from (select distinct conv_id, turn from w)
+ union all
+ select conv_id, turn, k, (is_open or letters) and not (stop or letters and (n >= 35 or b - a >= 18)), a, b, n, sid, case when is_open or letters then sid else -1 end from (
+  select conv_id, turn, k, is_open, letters, stop, case when fresh then s else a end as a, case when letters then e else b end as b, (case when fresh then 0 else n end + letters::int)::bigint as n, sid + fresh::int as sid from (
+   select f.conv_id, f.turn, w.k, f.is_open, f.a, f.b, f.n, f.sid, w.letters, w.stop, w."start" as s, w."end" as e, w.letters and (not f.is_open or w."start" - f.b >= 1 and f.n >= 5) as fresh from f join w on w.conv_id = f.conv_id and w.turn = f.turn and w.k = f.k + 1)))
+select conv_id, turn, (own - 1)::int as sentence, ltrim(string_agg(case when letters then ' ' || word else word end, '' order by k)) as text, round(min(case when letters then "start" end), 4) as "start", round(max(case when letters then "end" end), 4) as "end", count(*) filter (where letters)::int as n
+from f join w using (conv_id, turn, k) where own >= 0 group by conv_id, turn, own""")
+def built_sentences(spark: SparkSession, d: str) -> DataFrame:
+    s = _spoken(spark, d).select("conv_id", "turn", F.posexplode(Q.built_sentences(F.col("words"))).alias("sentence", "s"))
+    return s.select("conv_id", "turn", "sentence", "s.text", F.round("s.start", 4).alias("start"), F.round("s.end", 4).alias("end"), "s.n")
+
+
 @query(f"""with {ALIGNED}, t as (select item_id, words, lower(regexp_replace(words[3].word, '[^\\p{{L}}\\p{{N}}''-]', '', 'g')) as term from aligned)
 select item_id, term, array_to_string(list_transform(list_filter(words, lambda w: lower(regexp_replace(w.word, '[^\\p{{L}}\\p{{N}}''-]', '', 'g')) = term), lambda w: printf('%.2f', w."start")), ',') as times from t""")
 def word_occurrences(spark: SparkSession, d: str) -> DataFrame:
@@ -149,7 +185,7 @@ def cut_aware_rebuild(spark: SparkSession, d: str) -> DataFrame:
     own, raws = _rebuild_inputs(spark, d)
     words = F.split("text", r"\s+")
     half = F.ceil(F.size(words) / 2).cast("int")
-    pieces = F.array(F.struct(F.lit(0).alias("k"), F.array_join(F.slice(words, F.lit(1), half), " ").alias("t")), F.struct(F.lit(1).alias("k"), F.array_join(F.slice(words, half + 1, F.size(words)), " ").alias("t")))
+    pieces = F.array(F.struct(F.lit(1).alias("k"), F.array_join(F.slice(words, F.lit(1), half), " ").alias("t")), F.struct(F.lit(2).alias("k"), F.array_join(F.slice(words, half + 1, F.size(words)), " ").alias("t")))
     cut = own.where(~F.col("seg_id").endswith("b")).withColumn("p", F.explode(pieces))
-    cut = cut.select("recording", F.concat("seg_id", F.lit("_cut"), F.col("p.k")).alias("seg_id"), (F.col("start") + F.col("p.k") * 0.5).alias("start"), (F.col("start") + 0.5 + F.col("p.k") * 0.5).alias("end"), F.col("p.t").alias("text"))
+    cut = cut.select("recording", F.concat("seg_id", F.lit("_cut"), F.col("p.k")).alias("seg_id"), (F.col("start") - 0.5 + F.col("p.k") * 0.5).alias("start"), (F.col("start") + F.col("p.k") * 0.5).alias("end"), F.col("p.t").alias("text"))
     return R.rebuilt_cuts(cut, raws)

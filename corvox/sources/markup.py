@@ -51,6 +51,17 @@ def nxt_words(content: bytes) -> list[tuple]:
     return out
 
 
+def nxt_raw_words(content: bytes) -> list[tuple]:
+    """The same with raw markers for the cleaning filters: <vocalsound:laugh>, <gap>, <gap:foreign>; others without text."""
+
+    def marker(e: ET.Element) -> str | None:
+        kind = e.tag.rpartition("}")[2]
+        more = {"vocalsound": ":" + (e.get("type") or "other"), "gap": ":foreign" if e.get("pron") == "foreign" else ""}.get(kind)
+        return None if more is None else f"<{kind}{more}>"
+
+    return [row if e.tag.rpartition("}")[2] == "w" else (*row[:2], marker(e), *row[3:]) for row, e in zip(nxt_words(content), ET.fromstring(content))]
+
+
 WORDS = "id string, pos long, text string, start double, end double, join string, lex boolean"
 
 
@@ -104,6 +115,41 @@ def nxt_acts(content: bytes) -> list[tuple]:
 ACTS = "id string, type string, first_word string, last_word string"
 
 
+def nxt_ranges(content: bytes) -> list[tuple]:
+    """(owner, ordinal, label, start, end, child, words_file, first_word, last_word): a row for each reference to words.
+
+    Owners are the segments, topics or acts that stand at the top of a file, in document order; references of parts of
+    an owner count as its own. One without a reference to a words file has a row with nulls.
+    """
+    out = []
+    for ordinal, e in enumerate(ET.fromstring(content)):
+        start, end = (_time(e, f"transcriber_{x}") if _time(e, f"transcriber_{x}") is not None else _time(e, f"{x}time") for x in ("start", "end"))
+        own = (e.get(f"{NITE}id") or e.get("id"), ordinal, e.get("other_description") or e.get("description"), start, end)
+        hrefs = [c.get("href") or "" for c in e.iter(f"{NITE}child")]
+        refs = [(h.partition("#")[0], *_range(h)) for h in hrefs if h.partition("#")[0].endswith(".words.xml") and "id(" in h]
+        out += [(*own, k, *r) for k, r in enumerate(refs or [(None, None, None)])]
+    return out
+
+
+RANGES = "owner string, ordinal long, label string, start double, end double, child long, words_file string, first_word string, last_word string"
+
+
+def nxt_channels(content: bytes) -> list[tuple]:
+    """(meeting, agent, channel) of a meetings file: the headset channel of each speaker; those without one aren't told."""
+    out = []
+    for m in ET.fromstring(content).iter():
+        name = m.get("observation") or m.get("id") or m.get(f"{NITE}id")
+        if m.tag.rpartition("}")[2].lower() == "meeting" and name:
+            for s in m.iter():
+                agent, channel = s.get("nxt_agent") or s.get("agent"), s.get("channel")
+                if s.tag.rpartition("}")[2].lower() == "speaker" and agent and (channel or "").strip().isdigit():
+                    out.append((name, agent, int(channel)))
+    return out
+
+
+CHANNELS = "meeting string, agent string, channel int"
+
+
 def nxt_links(content: bytes) -> list[tuple]:
     """(sentence, act) of a summary-link file."""
     out = []
@@ -118,13 +164,47 @@ LINKS = "sentence string, act string"
 
 
 def nxt_abstracts(content: bytes) -> list[tuple]:
-    """(section, pos, id, text) of an abstractive summary file."""
-    return [(s.tag.rpartition("}")[2], k, x.get(f"{NITE}id"), (x.text or "").strip()) for s in ET.fromstring(content) for k, x in enumerate(s.iter("sentence"))]
+    """(section, pos, id, text) of an abstractive summary file; pos numbers the sentences of the whole file."""
+    every = [(s.tag.rpartition("}")[2], x) for s in ET.fromstring(content) for x in s.iter("sentence")]
+    return [(section, k, x.get(f"{NITE}id"), (x.text or "").strip()) for k, (section, x) in enumerate(every)]
 
 
 ABSTRACTS = "section string, pos long, id string, text string"
 
 
+def transcriber_items(content: bytes) -> list[tuple]:
+    """(chunk, start, end, pos, kind, text, type, extent) of a .trs file: what it holds, in document order.
+
+    A chunk reaches from a time mark to the next one of its turn, or to the turn's end; what stands before a turn's
+    first mark belongs to none. Kinds: text, speaker (the name of who goes on), event (described by text) and comment.
+    """
+    root, out, chunk = ET.fromstring(content), [], -1
+    names = {s.get("id"): s.get("name") for s in root.iter("Speaker")}
+    for turn in root.iter("Turn"):
+        marks = [float(e.get("time")) for e in turn.iter("Sync")] + [float(turn.get("endTime"))]
+        ids, at, pos = (turn.get("speaker") or "").split(), -1, 0
+        for e in turn.iter():
+            told = []
+            if e.tag == "Sync":
+                at, chunk, pos = at + 1, chunk + 1, 0
+            elif e.tag == "Who":
+                k = int(e.get("nb") or 1) - 1
+                told.append(("speaker", names.get(ids[k], ids[k]) if k < len(ids) else None, None, None))
+            elif e.tag == "Event":
+                told.append(("event", e.get("desc") or "", e.get("type") or "noise", e.get("extent") or "instantaneous"))
+            elif e.tag == "Comment":
+                told.append(("comment", e.get("desc") or "", None, None))
+            after = "" if e is turn else (e.tail or "").strip()
+            told += [("text", after, None, None)] * bool(after)
+            if at >= 0:
+                out += [(chunk, marks[at], marks[at + 1], pos + k, *t) for k, t in enumerate(told)]
+                pos += len(told)
+    return out
+
+
+ITEMS = "chunk long, start double, end double, pos long, kind string, text string, type string, extent string"
+
+
 def transcriber(content: bytes) -> list[tuple]:
     """(turn, speaker, start, end, text, events) of a .trs file: an utterance for each Sync, and each Who behind it.
 
