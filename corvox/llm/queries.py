@@ -146,4 +146,29 @@ t as (select source, source_size, tilt, coalesce(case when is_full then 2.0::dou
 o as (select *, coalesce(sum(size) over (partition by source order by h, doc_id nulls first, size rows between unbounded preceding and 1 preceding), 0) + size / 2.0::double as middle from s),
 j as (select o.*, source_size, target, tilt, (middle < target)::bigint + (middle + source_size < target)::bigint as copies from o join t on o.source is not distinct from t.source)
 select doc_id, size, source_size, target, copies * size as taken, copies, round(case when copies = 0 then -1.0::double else least(1.0::double, 2.0 * (middle / target) / (1 + tilt + sqrt(greatest((1 + tilt) * (1 + tilt) - 4.0 * tilt * (middle / target), 0)))) end, 8) as first_position from j""",
+    "op12_prefix_trie": r"""
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos from conversations where conv_id is not null),
+c as (select conv_id, count(*) as n, xor(4294967295, list_reduce(list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint), lambda a, b: list_reduce(range(8), lambda y, i: case when y & 1 = 1 then xor(y >> 1, 3988292384) else y >> 1 end, xor(a, b)), 4294967295::bigint)) % 6 as h, conv_id - conv_id % 100 as family from t group by conv_id),
+k as (select c.*, least(c.h, coalesce(b.n, 0)) as taken, least(c.h, coalesce(b.n, 0)) + greatest(c.n - c.h, 0) as len from c left join c b on b.conv_id = c.family),
+r as (select conv_id, len, taken + pos - h as depth, role, text from t join k using (conv_id) where pos > h union all select k.conv_id, len, pos, role, text from k join t on t.conv_id = k.family where pos <= taken union all select conv_id, len, 0, '', '' from k),
+p as (select conv_id, len, depth, length(text) as chars, md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') over (partition by conv_id order by depth)) as node from r),
+q as (select *, lag(node) over (partition by conv_id order by depth) as parent from p),
+nodes as (select node, parent, depth, chars, min(conv_id) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(case when depth = len then conv_id::varchar end, ',' order by conv_id), '')) as ends_sha256 from q group by all),
+n as (select a.*, b.conv_id as parent_conv_id, coalesce(m, 0) as n_children from nodes a left join nodes b on b.node = a.parent left join (select parent as node, count(*) as m from nodes where parent is not null group by parent) z on z.node = a.node),
+sums as (select q.node, count(*) filter (where u.n_children = 0) as n_leaves, sum((u.n_convs - 1) * u.chars)::bigint as saved_tokens from n u join q on q.conv_id = u.conv_id and q.depth <= u.depth group by q.node)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 from n join sums using (node)""",
+    "op13_resampling": r"""
+with crc_table as (select list(list_reduce(range(8), lambda y, i: case when y & 1 = 1 then xor(y >> 1, 3988292384) else y >> 1 end, b) order by b) as c from (select unnest(range(256)) as b)),
+words as (select doc_id as id, false as target, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+ union all select item_id, true, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark),
+grams as (select id, target, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as g from words),
+counted as (select id, target, g, count(*) as n from grams group by all),
+hashed as (select g, xor(4294967295, list_reduce(list_transform(range(octet_length(encode(g))), lambda i: ('0x' || substr(hex(encode(g)), 2 * i + 1, 2))::bigint), lambda a, b: xor(a >> 8, c[(xor(a, b) & 255) + 1]), 4294967295::bigint)) % 10000 as bucket from (select distinct g from counted), crc_table),
+f as (select id, target, bucket, sum(n) as n from counted join hashed using (g) group by all),
+totals as (select coalesce(sum(n) filter (where not target), 0)::double as s, coalesce(sum(n) filter (where target), 0)::double as t from f),
+gains as (select bucket, floor(1000 * ln((coalesce(sum(n) filter (where target), 0)::double + 1) * (any_value(totals.s) + 10000) / ((coalesce(sum(n) filter (where not target), 0)::double + 1) * (any_value(totals.t) + 10000))))::bigint as gain from f, totals group by bucket),
+d as (select id as doc_id, sum(n)::bigint as n_features, sum(n * gain)::bigint as weight from f join gains using (bucket) where not target group by id),
+e as (select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296.0::double)))::bigint as score from (select id as doc_id, w from words where not target) left join d using (doc_id)),
+o as (select doc_id, row_number() over (order by score desc, doc_id) as rank from e where n_words >= 20)
+select doc_id, n_features, weight, score, case when rank <= 5 * (select count(*) from o) // 100 then rank end as rank from e left join o using (doc_id)""",
 }
