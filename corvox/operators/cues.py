@@ -38,7 +38,7 @@ def joined(texts: Column) -> Column:
 
 
 def cue_runs(segments: DataFrame, cues: DataFrame, eps: float = 0.002, pause: float = 1.0, longest: float = 30.0) -> DataFrame:
-    """segments(recording, seg_id, start, end) with n_cues and cues, the run of cues that each was joined from, or null.
+    """segments(recording, seg_id, start, end) with n_cues and cues, the run of cues that each was joined from: 0 and null if there is none.
 
     cues(recording, cue_id, start, end, text). The run begins with the cue of the segment's id, if it starts within eps
     of the segment; further cues in the order of (start, end, id) join it until its end is within eps of the segment's.
@@ -69,7 +69,7 @@ def cue_runs(segments: DataFrame, cues: DataFrame, eps: float = 0.002, pause: fl
     told = own.withColumn("run", F.aggregate(near_, begin, walk))
     whole = (F.size("run.run") > 0) & (F.abs(F.col("run.at") - F.col("seg_end")) <= eps)
     runs = told.where(whole).select("recording", "seg_id", F.col("run.run").alias("cues"), F.size("run.run").alias("n_cues"))
-    return segments.join(runs, ["recording", "seg_id"], "left")
+    return segments.join(runs, ["recording", "seg_id"], "left").withColumn("n_cues", F.coalesce("n_cues", F.lit(0)))
 
 
 def rebuilt_from_cues(segments: DataFrame, cues: DataFrame, **limits: float) -> DataFrame:

@@ -68,7 +68,7 @@ texts as (select w.recording, w.seg_id, w.k, trim(regexp_replace(regexp_replace(
 parts as (select *, lag(t) over (partition by recording, seg_id order by k) as before from texts where t <> ''),
 told as (select recording, seg_id, trim(regexp_replace(string_agg(case when before is null then '' when regexp_matches(t, '^\p{{Lu}}') and not regexp_matches(before, '[\p{{P}}\p{{S}}]$') then '. ' else ' ' end || t, '' order by k), '\s+', ' ', 'g')) as new from parts group by all),
 some_ as (select recording, seg_id, count(*)::int as n_cues, bool_or(raw <> '') as any_text from texts group by all)
-select recording, seg_id, n_cues, case when any_text is null then 'unmatched' when regexp_matches(coalesce(new, ''), '\w[%*#@]+\w') then 'censored' when coalesce(new, '') <> '' then 'rebuilt' when any_text then 'sound_note_only' else 'empty' end as outcome,
+select recording, seg_id, coalesce(n_cues, 0)::int as n_cues, case when any_text is null then 'unmatched' when regexp_matches(coalesce(new, ''), '\w[%*#@]+\w') then 'censored' when coalesce(new, '') <> '' then 'rebuilt' when any_text then 'sound_note_only' else 'empty' end as outcome,
  case when any_text is null or coalesce(new, '') = '' and not any_text then now when regexp_matches(coalesce(new, ''), '\w[%*#@]+\w') then null when new <> '' then new end as text
 from seg left join some_ using (recording, seg_id) left join told using (recording, seg_id)""")
 def cue_run_texts(spark: SparkSession, d: str) -> DataFrame:
