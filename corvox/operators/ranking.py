@@ -35,3 +35,44 @@ def numbered(rows: DataFrame, keys: list[str], draw: Column, tie: list[str], out
     n = buckets_for(rows.count() if count is None else count)
     drawn = rows.withColumn("__u", draw)
     return running_total(drawn, keys, F.floor(F.col("__u") * n), ["__u", *tie], None, out).drop("__u")
+
+
+def _same(keys: list[str], names: list[str]) -> Column:
+    """The condition that keys equal their renamed copies, nulls included."""
+    out = F.lit(True)
+    for k, n in zip(keys, names):
+        out &= F.col(k).eqNullSafe(F.col(n))
+    return out
+
+
+def handed_on(rows: DataFrame, keys: list[str], order: list[str], bucket: Column, **wanted: tuple[str, Column]) -> DataFrame:
+    """rows with running values over the rows of their group before them, or from the row behind them, in an order.
+
+    wanted: name=(kind, value), kind "max" or "sum" of the values before, "last" for the value of the row before, "next"
+    for that of the row behind; null where there is none (sum: 0). `bucket` must not fall along the order. Rows are
+    ordered inside their bucket; what a bucket hands on is found on a table of a row for each bucket, so no task orders
+    a whole group.
+    """
+    place = F.struct(*order)
+    summaries = {"max": F.max, "sum": F.sum, "last": lambda v: F.max_by(F.struct(v), place), "next": lambda v: F.min_by(F.struct(v), place)}
+    cut = rows.withColumn("__bucket", bucket)
+    along = Window.partitionBy(*keys).orderBy("__bucket")
+    above = along.rowsBetween(Window.unboundedPreceding, -1)
+    given = {"max": lambda c: F.max(c).over(above), "sum": lambda c: F.sum(c).over(above), "last": lambda c: F.lag(c).over(along), "next": lambda c: F.lead(c).over(along)}
+    totals = cut.groupBy(*keys, "__bucket").agg(*(summaries[kind](v.alias("v")).alias(f"__{n}") for n, (kind, v) in wanted.items()))
+    names = [f"__key{k}" for k in range(len(keys))]
+    starts = totals.select(*(F.col(k).alias(n) for k, n in zip(keys, names)), F.col("__bucket").alias("__from"), *(given[kind](f"__{n}").alias(f"__{n}") for n, (kind, _) in wanted.items()))
+    inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+
+    def told(name: str, kind: str, v: Column) -> Column:
+        handed = F.col(f"__{name}")
+        if kind == "max":
+            return F.greatest(F.max(v).over(before), handed)
+        if kind == "sum":
+            return F.coalesce(F.sum(v).over(before), F.lit(0)) + F.coalesce(handed, F.lit(0))
+        near = F.lag if kind == "last" else F.lead
+        return F.coalesce(near(F.struct(v.alias("v"))).over(inside), handed)["v"]
+
+    out = cut.join(starts, _same([*keys, "__bucket"], [*names, "__from"]))
+    return out.select(*(F.col(c) for c in rows.columns), *(told(n, kind, v).alias(n) for n, (kind, v) in wanted.items()))

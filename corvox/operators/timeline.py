@@ -8,7 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import running_total
+from ..functions.text import TAG, spoken_word_count
+from . import french
+from .ranking import handed_on, running_total
 
 ORDER = ["start", "end", "seg_id"]
 
@@ -309,13 +311,30 @@ def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop:
     return out.select("recording", F.col("chain").cast("long").alias("chain"), "start", "end", "duration", "ids")
 
 
-def sentence_follows(cues: DataFrame, common: list[str]) -> DataFrame:
-    """cues with a period behind where the next cue of the recording starts a sentence with a capitalised common word."""
-    after = F.lead("text").over(_in_order())
-    word = F.regexp_extract(after, r"^\s*(\p{L}+)", 1)
-    starts = word.rlike(r"^\p{Lu}\p{Ll}*$") & F.lower(word).isin(common)
-    open_ = F.col("text").rlike(r"\p{Lu}") & ~F.col("text").rlike(r"[.,;:!?…)\]\"»-]\s*$")
-    return cues.withColumn("text", F.when(F.coalesce(starts & open_, F.lit(False)), F.concat(F.rtrim("text"), F.lit("."))).otherwise(F.col("text")))
+def sentence_follows(cues: DataFrame, common: list[str], nocasepunc: int | None = None) -> DataFrame:
+    """cues(recording, seg_id, start, end, text) with a period where the next cue of the recording starts a sentence.
+
+    The next cue starts one if its first word is a common one, or one that can't end a sentence, with a capital and not
+    in capitals throughout. The period goes before tags at the end. A cue stays if it ends in a mark, holds no capital,
+    ends in a word that can't end a sentence, or has no mark at all in `nocasepunc` words or more.
+    """
+    known = F.lit("|" + "|".join(sorted({w.lower() for w in common} | french.NO_END)) + "|")
+    listed = lambda w: F.contains(known, F.concat(F.lit("|"), w, F.lit("|"))) & (w != "")
+    verbs = F.lit("|" + "|".join(sorted({w.lower() for w in common})) + "|")
+    after = F.regexp_extract(F.col("next_text"), r"^\s*(\S+)", 1)
+    said = french.plain_column(after)
+    verb = F.regexp_replace(said, "(-t)?-(" + "|".join(sorted(french.INVERTED)) + ")$", "")
+    starts = after.rlike(r"^\p{Lu}") & (after != F.upper(after)) & (listed(said) | (F.contains(verbs, F.concat(F.lit("|"), verb, F.lit("|"))) & (verb != "")))
+    body = F.rtrim(F.regexp_replace("text", rf"((?:\s*{TAG})*)\s*$", ""))
+    tail = F.regexp_extract("text", rf"((?:\s*{TAG})*)\s*$", 1)
+    untagged = F.regexp_replace("text", TAG, " ")
+    last = french.plain_column(F.regexp_extract(body, r"(\S+)$", 1))
+    ends = F.concat(F.lit("|"), F.lit("|".join(sorted(french.NO_END))), F.lit("|"))
+    open_ = (body != "") & ~body.rlike(r"""[.?!…,;:"»”)'-]$""") & untagged.rlike(r"\p{Lu}") & ~F.contains(ends, F.concat(F.lit("|"), last, F.lit("|")))
+    if nocasepunc:
+        open_ &= untagged.rlike("[.,;:!?…]") | (spoken_word_count(F.col("text")) < nocasepunc)
+    followed = handed_on(cues, ["recording"], ORDER, F.floor(F.col("start") / BIN), next_text=("next", F.col("text")))
+    return followed.withColumn("text", F.when(F.coalesce(starts & open_, F.lit(False)), F.concat(body, F.lit("."), tail)).otherwise(F.col("text"))).drop("next_text")
 
 
 def silence_lines(found: DataFrame, most: float, seed: str) -> DataFrame:

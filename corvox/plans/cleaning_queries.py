@@ -56,8 +56,8 @@ def drop_unknown_brackets(spark: SparkSession, d: str) -> DataFrame:
     return _one(spark, d, "drop_unknown_brackets")
 
 
-@query(rf"""with s as (select doc_id, regexp_replace(text, '((?:\s*{TAGS})*)\s*$', '') as body, regexp_extract(text, '((?:\s*{TAGS})*)\s*$', 1) as tail from documents)
-select doc_id, case when regexp_matches(body, '[.?!…]["»)\]]*\s*$') or not regexp_matches(body, '[\p{{L}}\p{{N}}]') then body else regexp_replace(body, '[\s,;:]+$', '') || '.' end || tail as text, false as dropped from s""")
+@query(rf"""with s as (select doc_id, text, regexp_replace(text, '((?:\s*{TAGS})*)\s*$', '') as body, regexp_extract(text, '((?:\s*{TAGS})*)\s*$', 1) as tail from documents)
+select doc_id, case when regexp_matches(body, '[.?!…]["»”)'']*$') or body = '' then text else regexp_replace(body, '\s*[,;:]$', '') || '.' || tail end as text, false as dropped from s""")
 def add_final_period(spark: SparkSession, d: str) -> DataFrame:
     return _one(spark, d, "add_final_period")
 
@@ -120,14 +120,10 @@ c as (select doc_id, count(*) as n, count(*) filter (where w not in (select w fr
  from w where regexp_matches(w, '\p{{L}}') group by doc_id)
 select doc_id, text, coalesce(regexp_matches(text, '(?i)(?:^|[^\p{{L}}\p{{N}}_])[a-zàâäéèêëîïôöùûüç][''’][bcdfgjklmnpqrstvwxzç]') and missing > 0.9::double * n, false) as dropped from d left join c using (doc_id)""")
 def drop_ocr(spark: SparkSession, d: str) -> DataFrame:
-    """Texts whose commas were read as an elided l; known words are those of the benchmark, a small table of a bounded size."""
-    words = table(spark, d, "benchmark").select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w")).where("w <> ''").distinct()
-    known = [r["w"] for r in words.limit(200_001).collect()]
-    if len(known) > 200_000:
-        raise ValueError("the vocabulary is too large to send to every worker")
+    """Texts whose commas were read as an elided l; known words are those of the benchmark."""
+    words = table(spark, d, "benchmark").select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w")).where("w <> ''")
     docs = _docs(spark, d).withColumn("text", F.replace("text", F.lit(", "), F.lit(" l'")))
-    out = C.cleaned(docs, [C.Step("drop_ocr", {"vocabulary": known, "most": 0.9}, "drop_ocr")])
-    return out.select("doc_id", "text", F.col("dropped_by").isNotNull().alias("dropped"))
+    return C.badly_read(docs, "doc_id", "text", words, 0.9).select("doc_id", "text", "dropped")
 
 
 ANY = r"\[[^\[\]]+\]"
