@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import events as E
 from ..operators import rebuild as R
+from ..operators import similarity as S
 from ..sources import markup as M
 from ..sources.scratch import scratch
 from .tables import query, table
@@ -85,3 +86,29 @@ def character_repair(spark: SparkSession, d: str) -> DataFrame:
     words = F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_'-]+"), 0)).alias("w")
     vocabulary = docs.where("doc_id % 3 = 0").select(words).groupBy("w").agg(F.count("*").alias("n"))
     return R.repaired_texts(hurt, "doc_id", "text", vocabulary).select("doc_id", F.md5("text").alias("text_md5"), "damaged")
+
+
+#: The third word of each held-out text, with its middle letter struck, and all words of these texts.
+SPELLINGS = r"""said as (select item_id, list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda w: w <> '') as w from benchmark),
+asked as (select distinct w[3][1:len(w[3]) // 2] || 'x' || w[3][len(w[3]) // 2 + 2:] as a from said where len(w) > 2), known as (select distinct unnest(w) as b from said)"""
+
+
+@query(rf"""with recursive {SPELLINGS}, pairs as (select row_number() over () as id, a, b, length(a) as la, length(b) as lb from asked, known where least(length(a), length(b)) * 2 >= 0.75 * (length(a) + length(b))),
+cell as (select id, i, j, i - j as diagonal from pairs, unnest(range(la)) x(i), unnest(range(lb)) y(j) where a[i + 1] = b[j + 1]),
+block as (select id, i, j, count(*) over (partition by id, diagonal, i - n order by i desc) as k from (select *, row_number() over (partition by id, diagonal order by i) as n from cell)),
+walk(id, alo, ahi, blo, bhi, size) as (
+ select id, 0::bigint, la, 0::bigint, lb, 0::bigint from pairs
+ union all
+ select id, unnest([alo, m.i + m.k]), unnest([m.i, ahi]), unnest([blo, m.j + m.k]), unnest([m.j, bhi]), unnest([m.k, 0]) from (
+  select w.id, w.alo, w.ahi, w.blo, w.bhi, arg_max(struct_pack(i := c.i, j := c.j, k := least(c.k, w.ahi - c.i, w.bhi - c.j)), (least(c.k, w.ahi - c.i, w.bhi - c.j), -c.i, -c.j)) as m
+  from walk w join block c on c.id = w.id and c.i >= w.alo and c.i < w.ahi and c.j >= w.blo and c.j < w.bhi group by all)),
+ratios as (select a, b, 2.0::double * coalesce(sum(size), 0) / (la + lb) as ratio from pairs join walk using (id) group by id, a, b, la, lb),
+best as (select a, b, ratio, row_number() over (partition by a order by a <> b, -ratio, b) as n from ratios where ratio >= 0.75)
+select a as w, b as spelling, round(ratio, 6) as ratio from best where n = 1""")
+def closest_spellings(spark: SparkSession, d: str) -> DataFrame:
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
+    said = table(spark, d, "benchmark").select(words.alias("w"))
+    third = F.get("w", F.lit(2))
+    half = F.floor(F.length(third) / 2).cast("int")
+    asked = said.where(F.size("w") > 2).select(F.concat(F.substring(third, 1, half), F.lit("x"), F.substring(third, half + 2, F.length(third))).alias("w"))
+    return S.closest(asked, said.select(F.explode("w").alias("w"))).select("w", "spelling", F.round("ratio", 6).alias("ratio"))
