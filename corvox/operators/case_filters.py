@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 from . import french
 from .filters import text_filter
@@ -123,6 +124,8 @@ def fix_punctuation(common: Iterable[str] = (), insert_periods: bool = True, noc
         if stays_unmarked(t, nocasepunc):
             return t
         for i in range(1, len(words)):
+            if words[i][0].islower() and words[i - 1][-1].isalpha():
+                continue  # most words: nothing stands between them and nothing is raised
             if not is_tag(words[i]):
                 following = words[i + 1] if i + 1 < len(words) else ""
                 words[i - 1], words[i] = rules.joint(words[i - 1], words[i], following)
@@ -190,6 +193,8 @@ def speaker_labels(common: Iterable[str] = (), label_words: Iterable[str] | None
         return 1 <= len(names) <= 3 and all(map(is_name, names))
 
     def run(t: str) -> str:
+        if ":" not in t:
+            return t.strip()
         words, out, i = t.strip().split(" "), [], 0
         while i < len(words):
             before = out[-1] if out else ""
@@ -262,8 +267,8 @@ def normalize_interjections(spellings: dict[str, str | list[str]] | None = None)
     forms = french.INTERJECTION_FORMS if spellings is None else spellings
     compiled = [(form, re.compile(p if isinstance(p, str) else "|".join(p), re.I)) for form, p in forms.items()]
 
-    def spelled(m: re.Match) -> str:
-        said = m[0]
+    @lru_cache(maxsize=100_000)
+    def spelled(said: str) -> str:
         form = next((f for f, p in compiled if p.fullmatch(said)), None)
         if form is None:
             return said
@@ -271,7 +276,7 @@ def normalize_interjections(spellings: dict[str, str | list[str]] | None = None)
             return form.upper()
         return form.capitalize() if said[0].isupper() else form
 
-    return lambda t: RUN.sub(spelled, t)
+    return lambda t: RUN.sub(lambda m: spelled(m[0]), t)
 
 
 @text_filter("fix_spurious_caps")
@@ -328,6 +333,8 @@ def all_caps(least: int = 3, action: str = "lowercase") -> Callable:
     if action not in ("lowercase", "drop"):
         raise ValueError(f"all_caps: {action} is neither lowercase nor drop")
 
+    some = re.compile("[A-ZÀ-Þ]['’-]?[A-ZÀ-Þ]")
+
     def in_capitals(word: str) -> bool:
         return len(word) > 1 and word[0].isalpha() and word[-1].isalpha() and all("A" <= c <= "Z" or "À" <= c <= "Þ" and c != "×" or c in "'’-" for c in word)
 
@@ -344,7 +351,7 @@ def all_caps(least: int = 3, action: str = "lowercase") -> Callable:
         return [(a, b) for a, b, n in found if n >= least]
 
     def run(t: str) -> str | None:
-        spans = runs(t)
+        spans = runs(t) if some.search(t) else []
         if action == "drop":
             return None if spans else t
         for a, b in spans:  # lowering changes no length
@@ -369,7 +376,8 @@ def fix_mixed_case(exceptions: Iterable[str] = ()) -> Callable:
         w = m[0]
         return w[0] + w[1:].lower() if is_mixed(w) and w not in keep else w
 
-    return lambda t: re.sub(r"\w+", fixed, t) if not t.islower() else t
+    word, late = re.compile(r"\w+"), re.compile(r"(?<=\w)[^\W\d_a-z]")
+    return lambda t: word.sub(fixed, t) if late.search(t) else t
 
 
 @text_filter("restore_elisions")
@@ -393,6 +401,8 @@ def restore_elisions(elided: Iterable[str] = (), not_after: Iterable[str] | None
 
     def run(t: str) -> str:
         words = t.split()
+        if own.isdisjoint(t.lower().split()):
+            return " ".join(words)
         out: list[str] = []
         glued = ""  # elided words before the present one
         for i, word in enumerate(words):

@@ -45,14 +45,19 @@ def _same(keys: list[str], names: list[str]) -> Column:
     return out
 
 
-def handed_on(rows: DataFrame, keys: list[str], order: list[str], bucket: Column, **wanted: tuple[str, Column]) -> DataFrame:
+def handed_on(rows: DataFrame, keys: list[str], order: list[str], bucket: Column | None, **wanted: tuple[str, Column]) -> DataFrame:
     """rows with running values over the rows of their group before them, or from the row behind them, in an order.
 
     wanted: name=(kind, value), kind "max" or "sum" of the values before, "last" for the value of the row before, "next"
     for that of the row behind; null where there is none (sum: 0). `bucket` must not fall along the order. Rows are
     ordered inside their bucket; what a bucket hands on is found on a table of a row for each bucket, so no task orders
-    a whole group.
+    a whole group. Without a bucket, for groups that are known to be small, they are ordered whole.
     """
+    if bucket is None:
+        whole = Window.partitionBy(*keys).orderBy(*order)
+        before = whole.rowsBetween(Window.unboundedPreceding, -1)
+        plain = {"max": lambda v: F.max(v).over(before), "sum": lambda v: F.coalesce(F.sum(v).over(before), F.lit(0)), "last": lambda v: F.lag(v).over(whole), "next": lambda v: F.lead(v).over(whole)}
+        return rows.select(*(F.col(c) for c in rows.columns), *(plain[kind](v).alias(n) for n, (kind, v) in wanted.items()))
     place = F.struct(*order)
     summaries = {"max": F.max, "sum": F.sum, "last": lambda v: F.max_by(F.struct(v), place), "next": lambda v: F.min_by(F.struct(v), place)}
     cut = rows.withColumn("__bucket", bucket)

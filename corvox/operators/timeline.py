@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +16,23 @@ from .ranking import handed_on, running_total
 ORDER = ["start", "end", "seg_id"]
 
 
-def _in_order(*more: str) -> Window:
-    return Window.partitionBy("recording", *more).orderBy(*ORDER)
+#: Seconds of a time bin in which a recording's rows are ordered together.
+BIN = 3600.0
+
+
+#: Rows of a recording that are ordered together; where all rows are fewer, recordings aren't cut at all.
+TOGETHER = 1_000_000
+
+
+def cut_width(segments: DataFrame) -> float | None:
+    """Seconds in which one recording would have TOGETHER rows, if it had all; None if there are no more rows than that."""
+    n, low, high = segments.agg(F.count("*"), F.min("start"), F.max("start")).first()
+    return None if n <= TOGETHER else max((high - low) * TOGETHER / n, 1e-6)
+
+
+def _before(segments: DataFrame, width: float | None, **wanted: tuple[str, Column]) -> DataFrame:
+    """segments with running values over those before them in their recording, in time bins of a width (see handed_on)."""
+    return handed_on(segments, ["recording"], ORDER, None if width is None else F.floor(F.col("start") / width), **wanted)
 
 
 def gaps(segments: DataFrame, least: float, most: float) -> DataFrame:
@@ -24,9 +40,7 @@ def gaps(segments: DataFrame, least: float, most: float) -> DataFrame:
 
     The segment before is the latest row that reaches the running end; the size is in [least, most].
     """
-    before = _in_order().rowsBetween(Window.unboundedPreceding, -1)
-    last = F.max(F.struct("end", "start", "seg_id")).over(before)
-    out = segments.withColumn("__last", last).where(F.col("__last").isNotNull())
+    out = _before(segments, cut_width(segments), __last=("max", F.struct("end", "start", "seg_id"))).where(F.col("__last").isNotNull())
     gap = F.col("start") - F.col("__last.end")
     return out.where((gap >= least) & (gap <= most)).select(
         "recording", F.col("__last.end").alias("gap_start"), F.col("start").alias("gap_end"), gap.alias("gap"), F.col("__last.seg_id").alias("previous_id"), F.col("seg_id").alias("next_id")
@@ -35,14 +49,18 @@ def gaps(segments: DataFrame, least: float, most: float) -> DataFrame:
 
 def runs(segments: DataFrame, gap: float | None, same_speaker: bool = True) -> DataFrame:
     """segments with `island`: it rises where the speaker changes or the pause since all before in the run is above gap."""
-    order = _in_order()
-    change = F.lag("speaker").over(order).isNull() | (F.lag("speaker").over(order) != F.col("speaker")) if same_speaker else F.lag("start").over(order).isNull()
-    run = segments.withColumn("__run", F.sum(change.cast("int")).over(order))
-    inside = Window.partitionBy("recording", "__run").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    pause = F.col("start") - F.max("end").over(inside)
-    far = F.lit(False) if gap is None else F.coalesce(pause > gap, F.lit(False))
-    marked = run.withColumn("__new", (F.max("end").over(inside).isNull() | far).cast("int"))
-    return marked.withColumn("island", F.sum("__new").over(order)).drop("__run", "__new")
+    names, width = segments.columns, cut_width(segments)
+    before = _before(segments, width, __start=("last", F.col("start")), __speaker=("last", F.col("speaker")))
+    first = F.col("__start").isNull()
+    change = first | F.coalesce(F.col("__speaker") != F.col("speaker"), F.lit(True)) if same_speaker else first
+    run = _before(before.withColumn("__change", change.cast("int")), width, __run=("sum", F.col("__change"))).withColumn("__run", F.col("__run") + F.col("__change"))
+    if gap is None:
+        return run.select(*names, F.col("__run").alias("island"))
+    last = _before(run, width, __last=("max", F.struct(F.col("__run").alias("run"), F.col("end").alias("end"))))
+    inside = F.col("__last.run") == F.col("__run")
+    new = F.when(F.coalesce(inside, F.lit(False)), (F.col("start") - F.col("__last.end") > gap).cast("int")).otherwise(1)
+    out = _before(last.withColumn("__new", new), width, __island=("sum", F.col("__new")))
+    return out.select(*names, (F.col("__island") + F.col("__new")).alias("island"))
 
 
 def merge_same_speaker(segments: DataFrame, gap: float | None) -> DataFrame:
@@ -61,9 +79,10 @@ def merge_same_speaker(segments: DataFrame, gap: float | None) -> DataFrame:
 
 def neighbour_runs(segments: DataFrame, gap: float, least: int = 2) -> DataFrame:
     """Islands of segments with pauses under gap, of at least `least` segments."""
-    order = _in_order()
-    new = F.coalesce(F.col("start") - F.lag("end").over(order) >= gap, F.lit(True)).cast("int")
-    out = segments.withColumn("__new", new).withColumn("run", F.sum("__new").over(order))
+    width = cut_width(segments)
+    before = _before(segments, width, __end=("last", F.col("end")))
+    new = F.coalesce(F.col("start") - F.col("__end") >= gap, F.lit(True)).cast("int")
+    out = _before(before.withColumn("__new", new), width, run=("sum", F.col("__new"))).withColumn("run", F.col("run") + F.col("__new"))
     return out.groupBy("recording", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_segments")).where(F.col("n_segments") >= least)
 
 
@@ -139,10 +158,6 @@ def deduplicated_windows(windows: DataFrame) -> DataFrame:
     return windows.withColumn("__rn", F.row_number().over(rank)).where("__rn = 1").drop("__rn")
 
 
-#: Seconds of a time bin in which a recording's rows are ordered together.
-BIN = 3600.0
-
-
 def stretches(rows: DataFrame, breaks: str, gap: float) -> DataFrame:
     """rows with `__bin` and `__run`: numbers of stretches of a recording that no window or chain can reach across.
 
@@ -166,26 +181,34 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
+def _by_run(rows: DataFrame) -> DataFrame:
+    """The rows of each run of a recording one after the other, in order, in one partition: for folds of constant memory."""
+    return rows.repartition("recording", "__run").sortWithinPartitions("recording", "__run", *ORDER)
+
+
 def greedy_windows(units: DataFrame, max_dur: float, max_turns: int) -> DataFrame:
     """units with `window`: a unit joins the open window if it ends within max_dur of its start and there is room.
 
-    A fold over each run of a recording (see stretches): a unit that ends more than max_dur after the start of the one before
-    it begins a window whatever went before. Windows are then numbered along the recording.
+    A fold over the rows of each run of a recording (see stretches), which holds one window's beginning and size: a unit
+    that ends more than max_dur after the start of the one before it begins a window whatever went before. Windows are
+    then numbered along the recording.
     """
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ORDER, kind="stable")
-        begin, n, first = None, 0, []
-        for s, e in zip(pdf["start"], pdf["end"]):
-            opens = begin is None or e - begin > max_dur or n >= max_turns
-            if opens:
-                begin, n = s, 0
-            n += 1
-            first.append(int(opens))
-        return pdf.assign(__first=first)
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, begin, n = None, 0.0, 0
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("recording", "__run", "start", "end")]
+            first = []
+            for rec, run, s, e in zip(*columns):
+                opens = (rec, run) != key or e - begin > max_dur or n >= max_turns
+                if opens:
+                    key, begin, n = (rec, run), s, 0
+                n += 1
+                first.append(opens)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first, pa.bool_()).cast(pa.int32())], [*batch.schema.names, "__first"])
 
     cut = stretches(units, "start", max_dur)
-    folded = cut.groupBy("recording", "__run").applyInPandas(fold, _ddl(cut) + ", __first int")
+    folded = _by_run(cut).mapInArrow(fold, _ddl(cut) + ", __first int")
     out = running_total(folded, ["recording"], F.col("__bin"), ORDER, F.col("__first"), "window")
     return out.withColumn("window", (F.col("window") + F.col("__first")).cast("long")).select(*units.columns, "window")
 
@@ -283,30 +306,45 @@ def chains(segments: DataFrame, gap: float, longest: float, enough: float, stop:
     segment that starts more than gap after all before it begins a chain whatever went before.
     """
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ORDER, kind="stable")
-        out, open_ = [], None
-        for rec, i, s, e, halt, alone in zip(*(pdf[c] for c in ("recording", "seg_id", "start", "end", "__stop", "__alone"))):
-            if open_ and (s - open_[2] > gap or open_[3] + e - s > longest):
-                out.append(open_)
-                open_ = None
-            if open_ is None:
-                open_ = [rec, s, e, 0.0, []]
-            open_[2] = max(open_[2], e)
-            open_[3] += e - s
-            open_[4].append(i)
-            if open_[3] >= enough and (halt if len(open_[4]) > 1 else alone):
-                out.append(open_)
-                open_ = None
-        if open_:
-            out.append(open_)
-        kept = [[*c, pdf["__run"].iloc[0], k] for k, c in enumerate(out) if enough <= c[3] <= longest]
-        return pd.DataFrame(kept, columns=["recording", "start", "end", "duration", "ids", "run", "place"])
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["recording", "start", "end", "duration", "ids", "run", "place"]
+        key, place, open_ = None, 0, None
+        done: list[tuple] = []
+
+        def close() -> None:
+            nonlocal open_, place
+            if open_ and enough <= open_[2] <= longest:
+                done.append((key[0], open_[0], open_[1], open_[2], open_[3], key[1], place))
+            place += open_ is not None
+            open_ = None
+
+        types = None
+        for batch in batches:
+            at = {c: batch.schema.get_field_index(c) for c in ("recording", "__run", "seg_id", "start", "end", "__stop", "__alone")}
+            types = [batch.schema.field(at["recording"]).type, *[pa.float64()] * 3, pa.list_(batch.schema.field(at["seg_id"]).type), pa.int64(), pa.int64()]
+            for rec, run, i, s, e, halt, alone in zip(*(batch.column(k).to_pylist() for k in at.values())):
+                if (rec, run) != key:
+                    close()
+                    key, place = (rec, run), 0
+                if open_ and (s - open_[1] > gap or open_[2] + e - s > longest):
+                    close()
+                if open_ is None:
+                    open_ = [s, e, 0.0, []]
+                open_[1] = max(open_[1], e)
+                open_[2] += e - s
+                open_[3].append(i)
+                if open_[2] >= enough and (halt if len(open_[3]) > 1 else alone):
+                    close()
+            yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate(types)], names)
+            done.clear()
+        close()
+        if types:
+            yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate(types)], names)
 
     kind = {f.name: f.dataType.simpleString() for f in segments.schema.fields}
     ddl = f"recording {kind['recording']}, start double, end double, duration double, ids array<{kind['seg_id']}>, run long, place long"
     cut = stretches(segments.withColumn("__stop", stop).withColumn("__alone", stop if stop_single is None else stop_single), "end", gap)
-    found = cut.groupBy("recording", "__run").applyInPandas(fold, ddl)
+    found = _by_run(cut.withColumns({c: F.col(c).cast("double") for c in ("start", "end")})).mapInArrow(fold, ddl)
     out = running_total(found, ["recording"], F.floor(F.col("start") / BIN), ["run", "place"], None, "chain")
     return out.select("recording", F.col("chain").cast("long").alias("chain"), "start", "end", "duration", "ids")
 
@@ -333,7 +371,7 @@ def sentence_follows(cues: DataFrame, common: list[str], nocasepunc: int | None
     open_ = (body != "") & ~body.rlike(r"""[.?!…,;:"»”)'-]$""") & untagged.rlike(r"\p{Lu}") & ~F.contains(ends, F.concat(F.lit("|"), last, F.lit("|")))
     if nocasepunc:
         open_ &= untagged.rlike("[.,;:!?…]") | (spoken_word_count(F.col("text")) < nocasepunc)
-    followed = handed_on(cues, ["recording"], ORDER, F.floor(F.col("start") / BIN), next_text=("next", F.col("text")))
+    followed = _before(cues, cut_width(cues), next_text=("next", F.col("text")))
     return followed.withColumn("text", F.when(F.coalesce(starts & open_, F.lit(False)), F.concat(body, F.lit("."), tail)).otherwise(F.col("text"))).drop("next_text")
 
 

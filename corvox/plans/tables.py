@@ -24,8 +24,15 @@ def query(sql: str | None = None) -> Callable:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the driver."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the driver; one of long texts in as many partitions as there are cores, if its files have fewer."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in ("documents", "pages") else rows
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan in at least as many partitions as the session has cores: few small files are dealt anew, many aren't."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,3 +100,31 @@ def test_turns_are_split_before_they_are_windowed(spark):
     ]
     windows = {(r["seg_id"], r["piece"]): r["window"] for r in timeline.turn_windows(turns, 3.0, 5).collect()}
     assert windows == {(1, 0): 1, (1, 1): 2, (1, 2): 3, (1, 3): 4, (2, 0): 5, (2, 1): 6, (2, 2): 7, (3, 0): 8}
+
+
+@pytest.mark.parametrize("together", [3, 1_000_000])
+def test_recordings_are_cut_or_not_alike(spark, monkeypatch, together):
+    """Gaps, runs and islands of a recording with nearly all rows, cut into bins or ordered whole."""
+    monkeypatch.setattr(timeline, "TOGETHER", together)
+    draw = random.Random(8)
+    rows, t = [], 0.0
+    for k in range(400):
+        t += draw.choice([0.0, 0.2, 0.9, 1.5, 4.0])
+        rows.append(("hot" if k % 20 else f"r{k}", k, draw.choice(["a", "b", None]), t, t + draw.choice([0.1, 1.0, 6.0]), f"w{k}"))
+    s = spark.createDataFrame(rows, "recording string, seg_id long, speaker string, start double, end double, text string")
+    got = {r["seg_id"]: (r["recording"], r["island"]) for r in timeline.runs(s, 1.0).collect()}
+    want, number, last, speaker, began = {}, {}, {}, {}, {}
+    for rec, i, who, a, b, _ in sorted(rows, key=lambda r: (r[0], r[3], r[4], r[1])):
+        change = rec not in number or speaker[rec] is None or who is None or who != speaker[rec]
+        if change or a - last[rec] > 1.0:
+            number[rec] = number.get(rec, 0) + 1
+            began[rec] = change or began[rec]
+        last[rec] = b if change else max(last[rec], b)
+        speaker[rec], want[i] = who, (rec, number[rec])
+    assert got == want
+    ends, gaps = {}, []
+    for rec, i, _, a, b, _ in sorted(rows, key=lambda r: (r[0], r[3], r[4], r[1])):
+        if rec in ends and 1 <= a - ends[rec][0] <= 10:
+            gaps.append((rec, round(a - ends[rec][0], 6), ends[rec][2], i))
+        ends[rec] = max(ends.get(rec, (-1.0, -1.0, -1)), (b, a, i))
+    assert sorted((r["recording"], round(r["gap"], 6), r["previous_id"], r["next_id"]) for r in timeline.gaps(s, 1, 10).collect()) == sorted(gaps)

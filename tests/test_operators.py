@@ -21,7 +21,7 @@ def one(spark, value, f, kind="string"):
     [
         ("add_final_period", {}, "hello there,", "hello there."),
         ("add_final_period", {}, "hello there [noise]", "hello there. [noise]"),
-        ("add_final_period", {}, "really? ", "really?"),
+        ("add_final_period", {}, "really? ", "really? "),
         ("normalize_punctuation", {}, "wait....what !!!", "wait...what !"),
         ("normalize_spacing", {}, "  a  ( b )  c .", "a ( b ) c."),
         ("uncased_no_punctuation", {}, "no, capitals.", "no capitals"),
@@ -37,7 +37,7 @@ def one(spark, value, f, kind="string"):
         ("numbers_to_words", {"language": "en"}, "342 and 7.25", "three hundred and forty-two and seven point twenty-five"),
         ("disfluencies", {}, "Euh, il il va à la gar- gare euh.", "  Il va à la gare. "),
         ("disfluencies", {"mode": "keep"}, "euh well", "euh well"),
-        ("fix_punctuation", {"common": ["the"]}, "he left. the dog. barked", "he left. The dog, barked"),
+        ("fix_punctuation", {"common": ["the"]}, "he left. the dog. barked", "he left. The dog. Barked"),
         ("speaker_labels", {}, "Jean Paul : bonjour. AB : oui", "bonjour. oui"),
         ("restore_elisions", {}, "l eau et d or", "l'eau et d'or"),
         ("join_split_compounds", {"vocabulary": ["peut-être"]}, "peut- être mais- non", "peut-être mais- non"),
