@@ -119,13 +119,32 @@ def subtitle_formats(spark: SparkSession, d: str) -> DataFrame:
     return _units(spark, d).select("user_id", *(Q.rendered_speakers(u, f).alias(f) for f in ("srt", "vtt", "json", "brackets", "times", "tsv", "angle")))
 
 
-@query()
+KEY = "lower(regexp_replace({0}, '[^\\p{{L}}\\p{{N}}''-]', '', 'g'))"
+
+
+@query(rf"""with {ALIGNED}, e as (select item_id, unnest(words) as w, unnest(range(1, len(words) + 1)) as pos from aligned),
+s as (select item_id, pos, w, coalesce(sum(regexp_matches(w.word, '[.?!]$')::int) over (partition by item_id order by pos rows between unbounded preceding and 1 preceding), 0) as s from e),
+sentences as (select item_id, s, string_agg(w.word, ' ' order by pos) as text, min(w."start") as a, max(w."end") as b from s group by item_id, s),
+t as (select item_id, words, words[3].word as term, 3.1::double as moment, list_transform(list_filter(words, lambda w: {KEY.format('w.word')} = lower(words[3].word)), lambda w: w."start") as starts from aligned),
+said as (select *, list_transform(starts, lambda x: printf('%.2f s', x)) as l from t),
+near as (select item_id, arg_min(s.text, (not (s.a <= moment and s.b >= moment), case when s.a <= moment and s.b >= moment then s.s else abs((s.a + s.b) / 2 - moment) end, s.s)) as text from t join sentences s using (item_id) group by item_id),
+holds as (select item_id, arg_min(s.text, s.s) as text from t join sentences s using (item_id) where contains(lower(s.text), lower(term)) group by item_id),
+every as (
+ select item_id, 'word2time' as task, 'When is ' || term || ' said?' as question, case when len(l) = 0 then 'It is not said.' when len(l) = 1 then l[1] when len(l) = 2 then l[1] || ' and ' || l[2] else array_to_string(l[1:len(l) - 1], ', ') || ', and ' || l[-1] end as answer from said
+ union all select item_id, 'time2word', 'Which word is said at 3.10 s?', list_filter(words, lambda w: w."start" <= moment and w."end" >= moment)[1].word from t
+ union all select item_id, 'time2sentence', 'Which sentence is said at 3.10 s?', text from near
+ union all select t.item_id, 'word2sentence', 'In which sentence is ' || term || ' said?', text from t left join holds using (item_id)
+ union all select item_id, 'answer_with_json', 'Give the times of ' || term || ' as JSON.', '{{"word":"' || term || '","starts":[' || array_to_string(list_transform(starts, lambda x: x::varchar), ',') || ']}}' from t)
+select * from every where answer is not null""")
 def time_tasks(spark: SparkSession, d: str) -> DataFrame:
     w = _aligned(spark, d).withColumn("term", F.get("words", F.lit(2))["word"]).withColumn("at", F.lit(3.1))
     return Q.tasks(w)
 
 
-@query()
+@query(rf"""with {ALIGNED}, k as (select *, list_filter(list_transform(words, lambda w: lower(regexp_replace(w.word, '[^\p{{L}}]', '', 'g'))), lambda x: length(x) >= 5) as keys,
+ list_sort(list_filter(['the', 'moon', 'river'], lambda c: len(list_filter(words, lambda w: lower(w.word) = c)) = 0)) as free, ('0x' || substr(md5('oov:' || item_id), 1, 8))::bigint / 4294967296.0::double as u from aligned)
+select item_id, len(list_filter(range(1, len(words) + 1), lambda i: (i = 1 or abs(words[i]."start" - words[i - 1]."start") >= 0.15) and (i = len(words) or abs(words[i]."start" - words[i + 1]."start") >= 0.15)))::int as n_clear,
+ array_to_string(list_filter(keys, lambda x: len(list_filter(keys, lambda o: o = x)) = 1), ' ') as content, free[floor(u * len(free))::int + 1] as unheard, list_filter(words, lambda w: w."start" >= 1)[3]."end" as phrase_end from k""")
 def word_choices(spark: SparkSession, d: str) -> DataFrame:
     w = F.col("words")
     oov = Q.out_of_vocabulary(F.array(*map(F.lit, ("the", "moon", "river"))), w, hashing.hash_u("oov", "item_id"))

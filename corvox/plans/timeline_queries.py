@@ -105,16 +105,26 @@ def greedy_windowing(spark: SparkSession, d: str) -> DataFrame:
     return L.greedy_windows(segments(spark, d), 10 * DAY, 10).select("recording", "seg_id", "window")
 
 
-@query()
+@query(f"""with recursive {segments_sql()}, o as (select recording, seg_id, "start" as s, "end" as e, row_number() over (partition by recording order by "start", "end", seg_id) as k, ('0x' || substr(md5('stop:' || recording || ':' || seg_id), 1, 8))::bigint / 4294967296.0::double as u from segments),
+f(recording, k, seg_id, cid, s, till, dur, n, closed) as (
+ select recording, k, seg_id, 1::bigint, s, e, e - s, 1::bigint, e - s >= 3600 and u < 0.05 from o where k = 1
+ union all
+ select recording, k, seg_id, cid + fresh::int, case when fresh then s else began end, case when fresh then e else greatest(till, e) end, case when fresh then e - s else dur + e - s end, case when fresh then 1 else n + 1 end,
+  case when fresh then e - s else dur + e - s end >= 3600 and u < case when fresh then 0.05 else 0.1 end from (
+  select o.recording, o.k, o.seg_id, o.s, o.e, o.u, f.cid, f.s as began, f.till, f.dur, f.n, f.closed or o.s - f.till > 86400 or f.dur + o.e - o.s > 18000 as fresh from f join o on o.recording = f.recording and o.k = f.k + 1)),
+c as (select recording, cid, min(s) as s, arg_max(till, k) as e, arg_max(dur, k) as d, string_agg(seg_id, ',' order by k) as ids from f group by all having arg_max(dur, k) between 3600 and 18000)
+select recording, row_number() over (partition by recording order by cid) - 1 as chain, round(s, 3) as "start", round(e, 3) as "end", round(d, 3) as duration, ids from c""")
 def chain_planner(spark: SparkSession, d: str) -> DataFrame:
     u = hash_u("stop", "recording", "seg_id")
-    return L.chains(segments(spark, d), DAY, 5 * HOUR, HOUR, u < 0.1, u < 0.05)
+    out = L.chains(segments(spark, d), DAY, 5 * HOUR, HOUR, u < 0.1, u < 0.05)
+    rounded = (F.round(c, 3).alias(c) for c in ("start", "end", "duration"))
+    return out.select("recording", "chain", *rounded, F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
 
 
-@query()
-def turn_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Turns of up to ten days, cut at their words, in windows of two days and 20 pieces."""
-    return L.turn_windows(_turns(spark, d).withColumn("speaker", F.lit("s")).withColumn("text", F.lit("t")).withColumn("start", F.get("words", F.lit(0))["start"]).withColumn("end", F.element_at("words", -1)["end"]), 2 * DAY, 20)
+#: Turns of ten days: their words are the events in them, and pieces of them.
+TURNS = f"""{segments_sql(1.0)}, w as (select recording, floor("start" / 864000)::bigint as seg_id, "start" as s, "end" as e, speaker as t, row_number() over (partition by recording, floor("start" / 864000) order by "start", "end", speaker) as k, count(*) over (partition by recording, floor("start" / 864000)) as n from segments)"""
+GREEDY = """g(recording, seg_id, k, piece, b) as (select recording, seg_id, k, 0::bigint, s from w where k = 1
+ union all select w.recording, w.seg_id, w.k, case when w.e - g.b > {0} then g.piece + 1 else g.piece end, case when w.e - g.b > {0} then w.s else g.b end from g join w on w.recording = g.recording and w.seg_id = g.seg_id and w.k = g.k + 1)"""
 
 
 def _turns(spark: SparkSession, d: str) -> DataFrame:
@@ -123,14 +133,42 @@ def _turns(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("recording", F.floor(F.col("start") / (10 * DAY)).alias("seg_id")).agg(F.array_sort(F.collect_list(word)).alias("words"))
 
 
-@query()
-def long_turn_split(spark: SparkSession, d: str) -> DataFrame:
-    return L.pieces(_turns(spark, d), DAY)
+@query(f"""with recursive {TURNS}, {GREEDY.format(172800)}, whole as (select recording, seg_id, min(s) as s, arg_max(e, k) as e, string_agg(t, ' ' order by k) as text from w group by all),
+p as (select recording, seg_id, 0::bigint as piece, s, e, text from whole where e - s <= 172800
+ union all select recording, seg_id, piece, min(s), max(e), string_agg(t, ' ' order by k) from g join w using (recording, seg_id, k) join (select recording, seg_id from whole where e - s > 172800) using (recording, seg_id) group by all),
+o as (select *, row_number() over (partition by recording order by s, e, seg_id, piece) as j from p),
+v(recording, j, win, b, n) as (select recording, j, 1::bigint, s, 1::bigint from o where j = 1
+ union all select o.recording, o.j, case when fresh then v.win + 1 else v.win end, case when fresh then o.s else v.b end, case when fresh then 1 else v.n + 1 end
+ from v join o on o.recording = v.recording and o.j = v.j + 1, lateral (select o.e - v.b > 172800 or v.n >= 20 as fresh))
+select o.recording, o.seg_id, o.piece, 'sp' || o.seg_id % 3 as speaker, round(o.s, 3) as "start", round(o.e, 3) as "end", o.text, v.win as "window" from o join v using (recording, j)""")
+def turn_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Turns of up to ten days, cut at their words where they last over two days, in windows of two days and 20 pieces."""
+    words = F.col("words")
+    turns = _turns(spark, d).select(
+        "recording", "seg_id", F.concat(F.lit("sp"), F.col("seg_id") % 3).alias("speaker"), F.get(words, F.lit(0))["start"].alias("start"), F.element_at(words, -1)["end"].alias("end"),
+        F.array_join(F.transform(words, lambda w: w["text"]), " ").alias("text"), "words",
+    )
+    out = L.turn_windows(turns, 2 * DAY, 20)
+    return out.select("recording", "seg_id", "piece", "speaker", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), "text", "window")
 
 
-@query()
+@query(f"""with recursive {TURNS}, {GREEDY.format(86400)} select recording, seg_id, piece, round(min(s), 3) as "start", round(max(e), 3) as "end" from g join w using (recording, seg_id, k) group by recording, seg_id, piece""")
+def long_turn_split(spark: SparkSession, d: str) -> DataFrame:
+    return L.pieces(_turns(spark, d), DAY).select("recording", "seg_id", "piece", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"))
+
+
+@query(f"""with recursive {TURNS}, pauses as (select a.recording, a.seg_id, a.k, b.s - a.e as gap, (a.e + b.s) / 2 as mid from w a join w b on b.recording = a.recording and b.seg_id = a.seg_id and b.k = a.k + 1),
+p(recording, seg_id, path, s, e, lo, hi, done) as (
+ select recording, seg_id, '', min(s), arg_max(e, k), 1::bigint, max(n), false from w group by recording, seg_id
+ union all
+ select recording, seg_id, u.path, u.s, u.e, u.lo, u.hi, u.done from (
+  select p.recording, p.seg_id, unnest(case when any_value(x.k) is null then [struct_pack(path := p.path, s := p.s, e := p.e, lo := p.lo, hi := p.hi, done := true)]
+   else [struct_pack(path := p.path || '0', s := p.s, e := arg_max(x.mid, (x.gap, -x.k)), lo := p.lo, hi := arg_max(x.k, (x.gap, -x.k)), done := false), struct_pack(path := p.path || '1', s := arg_max(x.mid, (x.gap, -x.k)), e := p.e, lo := arg_max(x.k, (x.gap, -x.k)) + 1, hi := p.hi, done := false)] end) as u
+  from p left join pauses x on x.recording = p.recording and x.seg_id = p.seg_id and p.e - p.s > 172800 and x.k >= p.lo and x.k < p.hi and x.mid - p.s >= 1 and p.e - x.mid >= 1
+  where not p.done group by p.recording, p.seg_id, p.path, p.s, p.e, p.lo, p.hi))
+select recording, seg_id, row_number() over (partition by recording, seg_id order by lo) - 1 as piece, round(s, 3) as "start", round(e, 3) as "end" from p where done""")
 def longest_pause_split(spark: SparkSession, d: str) -> DataFrame:
-    return L.pieces(_turns(spark, d), 2 * DAY, at_pauses=True)
+    return L.pieces(_turns(spark, d), 2 * DAY, at_pauses=True).select("recording", "seg_id", "piece", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"))
 
 
 @query(f"""with {segments_sql()} select recording, count(*) as n, round(max("start" - lag_end), 3) as longest_pause, round(count(*) / (max("end") - min("start")), 9) as rate from (select *, lag("end") over (partition by recording order by "start", "end", seg_id) as lag_end from segments) group by recording""")
