@@ -66,6 +66,19 @@ def append_row(row: DataFrame, path: str) -> None:
     row.coalesce(1).write.mode("append").option("header", True).csv(path)
 
 
+def split_index(rows: DataFrame, path: str, split: str, duration: str) -> None:
+    """The index of an export: path/index, a JSON record (split, path) for each split, and path/statistics, a CSV table
+    (split, n, hours)."""
+    figures = rows.groupBy(F.col(split).alias("split")).agg(F.count("*").alias("n"), (F.sum(duration) / 3600).alias("hours"))
+    jsonl(figures.select("split", F.concat(F.lit("data/"), "split", F.lit(".jsonl")).alias("path")), f"{path}/index")
+    statistics_csv(figures, f"{path}/statistics", ["split"])
+
+
+def append_metrics(metrics: DataFrame, path: str, column: str = "metrics") -> None:
+    """Further records of nested metrics, each a JSON line of a struct column."""
+    metrics.select(f"{column}.*").write.mode("append").json(path)
+
+
 def srt_text(cues: Column) -> Column:
     """Cues (start, end, text) as SRT, numbered from 1."""
     from ..functions.text import clock
@@ -99,6 +112,9 @@ def weighted_yaml(nodes: list[dict], shares: dict[int, float]) -> str:
 
 
 def markdown_table(rows: DataFrame) -> str:
-    """A small grouped table as markdown."""
-    cells = [[str(v) if v is not None else "?" for v in r] for r in rows.collect()]
+    """A grouped table of up to 10,000 rows as markdown; a larger one is an error, as it would be no card."""
+    found = rows.limit(10_001).collect()
+    if len(found) > 10_000:
+        raise ValueError("the table is too large for a card")
+    cells = [[str(v) if v is not None else "?" for v in r] for r in found]
     return "\n".join("| " + " | ".join(r) + " |" for r in [rows.columns, ["---"] * len(rows.columns), *cells]) + "\n"
