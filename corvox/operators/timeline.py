@@ -152,6 +152,12 @@ def relabelled(pieces: DataFrame, window: str) -> DataFrame:
     return out.withColumn("speaker_no", F.dense_rank().over(inside.orderBy("__first"))).drop("__first")
 
 
+def parent_windows(segments: DataFrame) -> DataFrame:
+    """(recording, parent, start, end, pieces) of the segments that were cut, from their pieces, whose ids end in _cutNN."""
+    parent = F.regexp_extract("seg_id", r"^(.*)_cut\d+$", 1)
+    return segments.withColumn("parent", parent).where("parent <> ''").groupBy("recording", "parent").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("pieces"))
+
+
 def deduplicated_windows(windows: DataFrame) -> DataFrame:
     """One row for each (recording, start, end) at three decimals: the one with the lowest id."""
     rank = Window.partitionBy("recording", F.bround("start", 3), F.bround("end", 3)).orderBy("seg_id")

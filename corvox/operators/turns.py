@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import numbered, running_total
+
 TURN = "struct<from:string,type:string,value:string,duration:double,offset:double>"
 
 
@@ -194,3 +196,31 @@ def best_suffix(rows: DataFrame, path: str, candidates: DataFrame, candidate: st
     differ = F.filter(F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda t, i: F.when(~t["a"].eqNullSafe(t["b"]), i)), lambda i: i.isNotNull())
     score = F.coalesce(F.get(differ, F.lit(0)), F.least(F.size(a), F.size(b)))
     return pairs.withColumn("__score", score).groupBy(path).agg(F.min(F.struct(-F.col("__score"), F.col(candidate).alias("c")))["c"].alias(candidate))
+
+
+def drawn_pairs(rows: DataFrame, group: str, item: str, draw: Column) -> DataFrame:
+    """(group, first_id, second_id): the items of each group paired off in the order of a uniform draw; an odd one is left.
+
+    Places are counted in buckets of the draw, and the two of a pair meet by equality, so no task holds a group.
+    """
+    placed = numbered(rows.select(group, item), [group], draw, [item], "__r")
+    pair = placed.withColumn("__pair", F.floor(F.col("__r") / 2))
+    first = pair.where("__r % 2 = 0").select(group, "__pair", F.col(item).alias("first_id"))
+    return first.join(pair.where("__r % 2 = 1").select(group, "__pair", F.col(item).alias("second_id")), [group, "__pair"]).drop("__pair")
+
+
+def best_of(rows: DataFrame, keys: list[str], order: list[Column], k: int, item: Column, parts: int = 64) -> DataFrame:
+    """The first k rows of each group in an order: first of each part of a group, by a hash of the item, then of those."""
+    rank = lambda *own: F.row_number().over(Window.partitionBy(*own).orderBy(*order))
+    some = rows.withColumn("__part", F.pmod(F.xxhash64(item), F.lit(parts))).withColumn("__r", rank(*keys, "__part")).where(F.col("__r") <= k)
+    return some.withColumn("__r", rank(*keys)).where(F.col("__r") <= k).drop("__r", "__part")
+
+
+def spread_chunks(rows: DataFrame, group: str, answer: str, order: list[str], bucket: Column, size: int) -> DataFrame:
+    """rows with `chunk`: those of a group in chunks of `size`, the first of each answer before the second of any.
+
+    Places among equal answers and in the group are counted in buckets (`bucket` must not fall along the order).
+    """
+    nth = running_total(rows, [group, answer], bucket, order, None, "__k")
+    placed = running_total(nth, [group], F.floor(F.col("__k") / 1000), ["__k", answer, *order[-1:]], None, "__place")
+    return placed.withColumn("chunk", F.floor(F.col("__place") / size)).drop("__k", "__place")

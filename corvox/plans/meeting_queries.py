@@ -184,3 +184,16 @@ def meeting_topic_sections(spark: SparkSession, d: str) -> DataFrame:
 
 def _topic_rows(spark: SparkSession, d: str, per_section: bool) -> DataFrame:
     return G.topic_rows(*(_read(spark, d, n) for n in ("topics", "sentences", "links", "acts", "words")), _mixes(spark, d), 5.0, 300.0, per_section, 10.0)
+
+
+@query(f"""with {WORDS}, {ACTS} select a.meeting, a.owner, w.text, w.pos from acts a join words w on w.meeting = a.meeting and w.agent = a.agent and w.pos between a.lo and a.hi""")
+def reference_range_join(spark: SparkSession, d: str) -> DataFrame:
+    """The words that each dialogue act refers to, by the first and the last one's id."""
+    return G.range_words(_read(spark, d, "acts"), _read(spark, d, "words")).select("meeting", "owner", "text", "pos")
+
+
+@query(f"""with {WORDS}, {ACTS} select meeting, sentence, round(s, 2) as span_start, round(e, 2) as span_end from linked""")
+def link_table_span(spark: SparkSession, d: str) -> DataFrame:
+    """The time of each summary sentence, over the acts that links give it."""
+    out = G.linked_spans(_read(spark, d, "links"), _read(spark, d, "acts"), _read(spark, d, "words"))
+    return out.select("meeting", "sentence", F.round("start", 2).alias("span_start"), F.round("end", 2).alias("span_end"))

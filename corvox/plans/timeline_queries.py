@@ -189,9 +189,14 @@ def median_rate_bounds(spark: SparkSession, d: str) -> DataFrame:
     return e.join(med, "event_type").where((F.col("value") >= F.col("med") / 4) & (F.col("value") <= F.col("med") * 4)).select("event_id")
 
 
-@query(f"""with {segments_sql()} select recording, (seg_id // 10)::bigint as parent, round(min("start"), 3) as "start", round(max("end"), 3) as "end" from segments group by all""")
+@query(f"""with {segments_sql()}, named as (select recording, 's' || seg_id // 10 || case when seg_id % 10 = 0 then '' else '_cut' || lpad((seg_id % 10)::varchar, 2, '0') end as id, "start", "end" from segments)
+select recording, regexp_extract(id, '^(.*)_cut[0-9]+$', 1) as parent, round(min("start"), 3) as "start", round(max("end"), 3) as "end", count(*) as pieces from named where regexp_matches(id, '_cut[0-9]+$') group by recording, parent""")
 def parent_windows(spark: SparkSession, d: str) -> DataFrame:
-    return segments(spark, d).groupBy("recording", F.floor(F.col("seg_id") / 10).alias("parent")).agg(F.round(F.min("start"), 3).alias("start"), F.round(F.max("end"), 3).alias("end"))
+    """The windows of the segments that pieces were cut from, by the pieces' ids; what wasn't cut has none."""
+    number = F.col("seg_id") % 10
+    name = F.concat(F.lit("s"), F.floor(F.col("seg_id") / 10), F.when(number == 0, "").otherwise(F.concat(F.lit("_cut"), F.lpad(number.cast("string"), 2, "0"))))
+    out = L.parent_windows(segments(spark, d).withColumn("seg_id", name))
+    return out.select("recording", "parent", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), "pieces")
 
 
 @query(f"""with {segments_sql()} select recording, seg_id, round(coalesce(lead("start") over (partition by recording order by "start", "end", seg_id), "end"), 3) as until from segments""")
@@ -202,18 +207,6 @@ def utterance_end_inference(spark: SparkSession, d: str) -> DataFrame:
     return segments(spark, d).select("recording", "seg_id", F.round(F.coalesce(nxt, F.col("end")), 3).alias("until"))
 
 
-@query("""select o_orderkey, count(*) as n_words, round(min(l_extendedprice), 2) as span_start, round(max(l_extendedprice), 2) as span_end from orders join lineitem on l_orderkey = o_orderkey group by o_orderkey""")
-def link_table_span(spark: SparkSession, d: str) -> DataFrame:
-    o, l = table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").select("l_orderkey", "l_extendedprice")  # noqa: E741
-    return o.join(l, o["o_orderkey"] == l["l_orderkey"]).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_words"), F.round(F.min("l_extendedprice"), 2).alias("span_start"), F.round(F.max("l_extendedprice"), 2).alias("span_end"))
-
-
-@query("""select o.o_orderkey, l.l_linenumber from orders o join lineitem l on l.l_orderkey = o.o_orderkey and l.l_linenumber between 2 and 4""")
-def reference_range_join(spark: SparkSession, d: str) -> DataFrame:
-    o, l = table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")  # noqa: E741
-    return o.join(l, (o["o_orderkey"] == l["l_orderkey"]) & l["l_linenumber"].between(2, 4)).select("o_orderkey", "l_linenumber")
-
-
 @query("""select page_id, policy from (select page_id, policy, row_number() over (partition by page_id order by length(m) desc, m) as rn from pages join (values ('http', 'web'), ('/a', 'a'), ('e', 'e'), ('.com', 'com'), ('https://', 'secure')) v(m, policy) on contains(url, m)) where rn = 1""")
 def longest_substring_policy(spark: SparkSession, d: str) -> DataFrame:
     """The longest policy text that a path holds; the registry is a short configured list, so it is compiled, longest first."""

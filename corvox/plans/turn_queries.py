@@ -251,9 +251,8 @@ def reshuffle_shards(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""with p as (select user_id, event_id, row_number() over (partition by user_id order by {u_sql("pair", "event_id")}, event_id) as r from events)
 select a.user_id, a.event_id as first_id, b.event_id as second_id from p a join p b on a.user_id = b.user_id and b.r = a.r + 1 where a.r % 2 = 1""")
 def positive_pairs(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy(hashing.hash_u("pair", "event_id"), "event_id")
-    e = table(spark, d, "events").select("user_id", "event_id").withColumn("r", F.row_number().over(w)).withColumn("second_id", F.lead("event_id").over(w))
-    return e.where("r % 2 = 1 and second_id is not null").select("user_id", F.col("event_id").alias("first_id"), "second_id")
+    e = table(spark, d, "events").select("user_id", "event_id")
+    return T.drawn_pairs(e, "user_id", "event_id", hashing.hash_u("pair", "event_id"))
 
 
 @query(f"""select c_custkey, case when c_nationkey < 5 then 'q' else 'r' end as kind, case when {u_sql("task", "c_custkey")} < 0.5 then 'asr' when {u_sql("task", "c_custkey")} < 0.8 then 'ast' else 'qa' end as task,
@@ -266,18 +265,15 @@ def weighted_draws(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""select user_id, event_id from (select user_id, event_id, row_number() over (partition by user_id order by pow({u_sql("aes", "event_id")}, 1.0 / (value + 1)) desc, event_id) as r from events) where r <= 3""")
 def weighted_sampling(spark: SparkSession, d: str) -> DataFrame:
     key = F.pow(hashing.hash_u("aes", "event_id"), 1.0 / (F.col("value") + 1))
-    w = Window.partitionBy("user_id").orderBy(F.desc("key"), "event_id")
     e = table(spark, d, "events").select("user_id", "event_id", key.alias("key"))
-    return e.withColumn("r", F.row_number().over(w)).where("r <= 3").select("user_id", "event_id")
+    return T.best_of(e, ["user_id"], [F.desc("key"), F.col("event_id")], 3, F.col("event_id")).select("user_id", "event_id")
 
 
 @query("""with s as (select user_id, event_type, event_id, ts, row_number() over (partition by user_id, event_type order by ts, event_id) as k from events)
 select user_id, ((row_number() over (partition by user_id order by k, event_type, event_id) - 1) // 5)::bigint as chunk, event_id from s""")
 def answer_spread_chunks(spark: SparkSession, d: str) -> DataFrame:
-    k = F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id"))
-    e = table(spark, d, "events").select("user_id", "event_type", "event_id", "ts").withColumn("k", k)
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy("k", "event_type", "event_id")) - 1
-    return e.withColumn("chunk", F.floor(place / 5)).select("user_id", "chunk", "event_id")
+    e = table(spark, d, "events").select("user_id", "event_type", "event_id", "ts")
+    return T.spread_chunks(e, "user_id", "event_type", ["ts", "event_id"], F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 86_400_000_000), 5).select("user_id", "chunk", "event_id")
 
 
 @query(f"""select conv_id, turn, role, not (role = lag(role, 2) over (partition by conv_id order by turn) and {u_sql("dup", "conv_id", "turn")} < 0.5) is true as keep from conversations""")
@@ -306,8 +302,10 @@ def weighted_coverage(spark: SparkSession, d: str) -> DataFrame:
 select event_id, again and sum(again::int) over (order by o) > 0.3 * o as refused from x""")
 def reuse_budget(spark: SparkSession, d: str) -> DataFrame:
     """Repeats up to a share of the draws so far; the running count is summed by ranges of the draw order."""
-    again = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) > 1
-    e = table(spark, d, "events").select("event_id", "user_id", "ts").withColumn("again", again.cast("int")).withColumn("u", hashing.hash_u("draw", "event_id"))
+    e = table(spark, d, "events").select("event_id", "user_id", "ts")
+    first = e.groupBy("user_id").agg(F.min(F.struct("ts", "event_id"))["event_id"].alias("first_id"))
+    again = (F.col("event_id") != F.col("first_id")).cast("int")
+    e = e.join(first, "user_id").select("event_id", "user_id", "ts", again.alias("again"), hashing.hash_u("draw", "event_id").alias("u"))
     e = e.withColumn("bin", F.floor(F.col("u") * 1024))
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = e.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("again").alias("a"))
