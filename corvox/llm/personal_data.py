@@ -43,8 +43,8 @@ _WORD = "|".join(sorted(DIGIT, key=len, reverse=True))
 SPELLED_DIGIT = re.compile(rf"(?<![^\W_])(?:{_WORD})(?![^\W_])", re.I)
 GLUE = re.compile(r"[ \t]*[-,]?[ \t]*")
 PLUS = re.compile(rf"(?<![^\W_])(?:plus|más)[ \t]+(?=[0-9(]|(?:{_WORD})(?![^\W_]))", re.I)
-#: O and l between digits.
-LETTER_DIGIT = re.compile(r"(?<![A-Za-z])(?:(?<=[0-9])|(?<=[0-9][ .-]))[OolI|]+(?=[0-9])|(?<=[0-9])[OolI|]+(?=[ .-]?[0-9])(?![A-Za-z])")
+#: O and l beside a digit, or between digits that stand apart from it, and no letter beside them.
+LETTER_DIGIT = re.compile(r"(?<![A-Za-z])[OolI|]+(?=[0-9])|(?<=[0-9])[OolI|]+(?![A-Za-z])|(?<=[0-9][ .-])[OolI|]+(?=[ .-][0-9])")
 #: At and dot, in brackets or as words.
 OPEN, SHUT = r"[\[({<]", r"[\])}>]"
 AT_WORD, DOT_WORD = r"(?:at|arobase|arroba|ät)", r"(?:dot|punto|punkt|point)"
@@ -52,6 +52,8 @@ BRACKET_AT = re.compile(rf"[ \t]*{OPEN}[ \t]*(?:@|{AT_WORD})[ \t]*{SHUT}[ \t]*",
 BRACKET_DOT = re.compile(rf"[ \t]*{OPEN}[ \t]*(?:\.|{DOT_WORD})[ \t]*{SHUT}[ \t]*", re.I)
 PLAIN_DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:[ \t]+|[_-]){DOT_WORD}(?:[ \t]+|[_-])(?=[A-Za-z0-9])", re.I)
 PLAIN_AT = re.compile(rf"(?<=[A-Za-z0-9])(?:[ \t]+|[_-]){AT_WORD}(?:[ \t]+|[_-])(?=[A-Za-z0-9])", re.I)
+TIGHT_AT = re.compile(r"(?<=[A-Za-z0-9])[\[({]a[\])}](?=[A-Za-z0-9])", re.I)
+ENTITY_AT, ENTITY_DOT = re.compile(r"&#(?:64|x40);|&commat;|%40", re.I), re.compile(r"&#(?:46|x2e);|&period;", re.I)
 SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+@[ \t]*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])[ \t]*@[ \t]+(?=[A-Za-z0-9])")
 #: Cheap signs, in lower case, that a text may hold a disguise at all: each pattern begins with few characters.
 HINTS = (
@@ -59,6 +61,10 @@ HINTS = (
     re.compile(rf"[ \t_-](?:{DOT_WORD}|arobase|arroba)[ \t_-]"),
     re.compile(r"[ \t_-]at[ \t_-]+[a-z0-9-]+\.[a-z]"),
     re.compile(r"[0-9][ .-]?[oli|]+[ .-]?[0-9]"),
+    re.compile(r"[\s:(,][oli|]+[0-9]"),
+    re.compile(r"[0-9][oli|]+(?![a-z])"),
+    re.compile(r"[a-z0-9][\[({]a[\])}][a-z0-9]"),
+    re.compile(r"&(?:#64;|#x40;|commat;|#46;|#x2e;|period;)|%40"),
 )
 #: Two neighbours of which one is a word for a digit.
 _TWO = re.compile(rf"(?:{_WORD})[ \t]*[-,]?[ \t]*(?:[0-9]|{_WORD})|[0-9+][ \t]*[-,]?[ \t]*(?:{_WORD})")
@@ -228,10 +234,8 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
 
 
 def dots(text: str) -> list[tuple[int, int, str]]:
-    """Points for dots in brackets and for the word."""
-    spans = [m.span() for m in BRACKET_DOT.finditer(text)]
-    spans += [m.span() for m in PLAIN_DOT.finditer(text)]
-    return apart(spans, ".")
+    """Points for dots in brackets, for the word and for entities."""
+    return apart([m.span() for p in (BRACKET_DOT, PLAIN_DOT, ENTITY_DOT) for m in p.finditer(text)], ".")
 
 
 def apart(spans: list[Span], new: str) -> list[tuple[int, int, str]]:
@@ -244,12 +248,12 @@ def apart(spans: list[Span], new: str) -> list[tuple[int, int, str]]:
 
 
 def ats(text: str, disguised: Aligned) -> list[tuple[int, int, str]]:
-    """An @ for each at in brackets, and for the word where what follows is a domain.
+    """An @ for each at in brackets and each entity, and for the word where what follows is a domain.
 
     The word alone is common, so it counts only where the domain's point was disguised too, or where the name before it
     holds a point, a digit or another sign of addresses. An @ with spaces around it counts alike.
     """
-    spans = [m.span() for m in BRACKET_AT.finditer(text)]
+    spans = [m.span() for p in (BRACKET_AT, TIGHT_AT, ENTITY_AT) for m in p.finditer(text)]
     for m in (*PLAIN_AT.finditer(text), *SPACED_AT.finditer(text)):
         domain = DOMAIN.match(text, m.end())
         if not domain:
@@ -270,7 +274,8 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
     """Further identifiers, which only show once disguises are undone, as spans of the text itself.
 
     The transducers, in this order: lookalikes become ASCII (one character for one), unseen characters go, words
-    become digits, dots and ats become signs. A span that is plain already isn't told again. One that reaches into a
+    become digits, dots and ats become signs; the domain of an address found so must end in letters. A span that is plain
+    already isn't told again. One that reaches into a
     plain one counts only if it holds it whole and adds characters without a space, as a lookalike at its edge does.
     """
     odd = not text.isascii() and not odd_characters().isdisjoint(text)
@@ -298,6 +303,9 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
             if kind not in kinds:
                 continue
             for a, b in found(reading.text)[kind]:
+                top = reading.text[a:b].rpartition(".")[2]
+                if kind == "email" and not (top.isalpha() and len(top) > 1):
+                    continue
                 a, b = reading.start(a), reading.end(b)
                 over = [s for s in own if s[0] < b and a < s[1]]
                 inside = all(a <= s[0] and s[1] <= b for s in over) and (a, b) not in over

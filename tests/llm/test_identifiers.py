@@ -59,6 +59,12 @@ def test_plain_identifiers_are_those_of_the_patterns():
         ("at 192[.]168[.]0[.]1", "ip", "192[.]168[.]0[.]1"),
         ("one nine two dot one six eight dot zero dot one", "ip", "one nine two dot one six eight dot zero dot one"),
         ("192.168.0.1２", "ip", "192.168.0.1２"),
+        ("from l92.168.O.1 on", "ip", "l92.168.O.1"),
+        ("41l1-1111-1111-111I", "card", "41l1-1111-1111-111I"),
+        ("ask john(a)example.com", "email", "john(a)example.com"),
+        ("ask john&#64;example&#46;com", "email", "john&#64;example&#46;com"),
+        ("mail john dot doe at example dot com", "email", "john dot doe at example dot com"),
+        ("host 10 point 0 point 0 point 7", "ip", "10 point 0 point 0 point 7"),
     ],
 )
 def test_disguises(text, kind, found):
@@ -70,7 +76,7 @@ def test_disguises(text, kind, found):
 
 @pytest.mark.parametrize(
     "text",
-    ["look at example.com", "arrived at the dot com era", "12 @ 3.50 each", "I have one, two, three", "+44 20 7946 0958 one day", "4111 1111 1111 1111 one", "x@y.co dot uk", "Ünïcödé ΟΔΟΣ почта сообщение", "on the dot of nine", "версия 1.2.3", "", "one two " * 50],
+    ["look at example.com", "arrived at the dot com era", "12 @ 3.50 each", "I have one, two, three", "+44 20 7946 0958 one day", "4111 1111 1111 1111 one", "x@y.co dot uk", "Ünïcödé ΟΔΟΣ почта сообщение", "on the dot of nine", "you (at) 10.30", "see (a) example.com", "100% of 10l", "l1 and O2", "версия 1.2.3", "", "one two " * 50],
 )
 def test_clean_texts_stay(text):
     plain, every = P.spans_of(text)
