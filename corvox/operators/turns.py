@@ -203,7 +203,7 @@ def drawn_pairs(rows: DataFrame, group: str, item: str, draw: Column) -> DataFra
 
     Places are counted in buckets of the draw, and the two of a pair meet by equality, so no task holds a group.
     """
-    placed = numbered(rows.select(group, item), [group], draw, [item], "__r")
+    placed = numbered(rows.select(group, item, draw.alias("__draw")), [group], F.col("__draw"), [item], "__r")
     pair = placed.withColumn("__pair", F.floor(F.col("__r") / 2))
     first = pair.where("__r % 2 = 0").select(group, "__pair", F.col(item).alias("first_id"))
     return first.join(pair.where("__r % 2 = 1").select(group, "__pair", F.col(item).alias("second_id")), [group, "__pair"]).drop("__pair")
