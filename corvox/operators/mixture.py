@@ -71,55 +71,42 @@ def passes(weights: DataFrame, size: str, p: str = "p") -> DataFrame:
     return weights.withColumn("passes", seen).withColumn("flag", flag)
 
 
-def capped_flat(weights: list[dict], cap: float, total: float, rounds: int = 50) -> list[dict]:
-    """dataset_w inside each (task, lang) so that no dataset is passed more than cap times; the rest shares what is left.
+def level_filled(rows: DataFrame, keys: list[str], share: str, size: str, limit: Column, out: str) -> DataFrame:
+    """rows with `out`: shares of a group such that none is above limit times its size, the others keeping their ratios.
 
-    weights: rows (task, lang, dataset, size, dataset_w, lang_w, task_w), some hundreds. Where all are over, all get the same.
+    The shares of a group sum to 1, and so do the new ones. In the order of share by size, a first part of the rows is
+    held at the limit; what they leave is dealt to the others by their shares. Whether a row is held follows from the
+    sums before it, so nothing is iterated. Where all rows would be held, `out` is null.
     """
-    out = [dict(r) for r in weights]
-    groups: dict[tuple, list[dict]] = {}
-    for r in out:
-        groups.setdefault((r["task"], r["lang"]), []).append(r)
-    for own in groups.values():
-        above = own[0]["task_w"] * own[0]["lang_w"]
-        fixed: set[int] = set()
-        for _ in range(rounds):
-            over = [k for k, r in enumerate(own) if k not in fixed and above and r["dataset_w"] * above * total / r["size"] > cap * (1 + 1e-12)]
-            if not over:
-                break
-            fixed |= set(over)
-            if len(fixed) == len(own):
-                for r in own:
-                    r["dataset_w"] = 1.0 / len(own)
-                break
-            for k in fixed:
-                own[k]["dataset_w"] = cap * own[k]["size"] / total / above
-            left = 1.0 - sum(own[k]["dataset_w"] for k in fixed)
-            rest = sum(r["dataset_w"] for k, r in enumerate(own) if k not in fixed)
-            for k, r in enumerate(own):
-                if k not in fixed:
-                    r["dataset_w"] *= left / rest
-    for r in out:
-        r["p"] = r["dataset_w"] * r["lang_w"] * r["task_w"]
-    return out
-
-
-def capped_tree(leaves: list[dict], cap: float, total: float, rounds: int = 50) -> list[dict]:
-    """Leaf probabilities p so that none is passed more than cap times; the excess goes to the others by their p."""
-    out = [dict(r) for r in leaves]
-    for _ in range(rounds):
-        over = [r for r in out if r["p"] * total / r["size"] > cap * (1 + 1e-12)]
-        free = [r for r in out if r["p"] * total / r["size"] < cap * (1 - 1e-12)]
-        if not over or not free:
-            break
-        excess = 0.0
-        for r in over:
-            excess += r["p"] - cap * r["size"] / total
-            r["p"] = cap * r["size"] / total
-        base = sum(r["p"] for r in free)
-        for r in free:
-            r["p"] += excess * r["p"] / base if base else excess / len(free)
-    return out
+    own = Window.partitionBy(*keys)
+    order = own.orderBy(F.desc("__ratio"), size, share)
+    before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    cut = rows.withColumn("__limit", limit).withColumn("__ratio", F.col(share) / F.col(size))
+    level = (1 - F.col("__limit") * F.coalesce(F.sum(size).over(before), F.lit(0))) / (1 - F.coalesce(F.sum(share).over(before), F.lit(0.0)))
+    cut = cut.withColumn("__over", (level * F.col("__ratio") > F.col("__limit") * (1 + 1e-12)).cast("int"))
+    cut = cut.withColumn("__held", F.min("__over").over(upto))
+    held = lambda c: F.sum(F.when(F.col("__held") == 1, F.col(c)).otherwise(0)).over(own)
+    left = (1 - F.col("__limit") * held(size)) / (1 - held(share))
+    new = F.when(F.min("__held").over(own) == 1, F.lit(None)).when(F.col("__held") == 1, F.col("__limit") * F.col(size)).otherwise(left * F.col(share))
+    return cut.withColumn(out, new).drop("__limit", "__ratio", "__over", "__held")
+
+
+def flat_capped(weights: DataFrame, cap: float) -> DataFrame:
+    """weights(task, lang, dataset, size, dataset_w, lang_w, task_w) with dataset_w and p so that no dataset is passed more
+    than cap times while all are passed once on average; the rest of its (task, lang) shares what is left. Where all are
+    over, all get the same."""
+    total = F.sum("size").over(Window.partitionBy())
+    limit = F.lit(cap) / (total * F.col("task_w") * F.col("lang_w"))
+    filled = level_filled(weights.withColumn("__cap", limit), ["task", "lang"], "dataset_w", "size", F.col("__cap"), "__w").drop("__cap")
+    equal = 1 / F.count("*").over(Window.partitionBy("task", "lang"))
+    return filled.withColumn("dataset_w", F.coalesce("__w", equal)).drop("__w").withColumn("p", F.col("dataset_w") * F.col("lang_w") * F.col("task_w"))
+
+
+def leaves_capped(leaves: DataFrame, cap: float) -> DataFrame:
+    """leaves(size, p) with p so that none is passed more than cap times, cap 1 at least; the excess goes to the others by p."""
+    total = F.sum("size").over(Window.partitionBy())
+    filled = level_filled(leaves.withColumn("__cap", F.lit(cap) / total), [], "p", "size", F.col("__cap"), "__p").drop("__cap")
+    return filled.withColumn("p", F.coalesce("__p", "p")).drop("__p")
 
 
 def flattened_tree(tree: Iterable[dict], inherited: dict | None = None, parent: int = -1, depth: int = 0, out: list[dict] | None = None) -> list[dict]:

@@ -166,8 +166,8 @@ select doc_id, lang from (select doc_id, s.lang, row_number() over (partition by
 def bayesian_language_choice(spark: SparkSession, d: str) -> DataFrame:
     """Scores for every text and language are given; here they are drawn, for the languages that there are."""
     docs = table(spark, d, "documents")
-    langs = sorted(r[0] for r in docs.select("lang").distinct().collect())
-    scores = docs.select("doc_id", F.explode(F.array(*map(F.lit, langs))).alias("lang")).withColumn("p", hashing.hash_u("p", "doc_id", "lang"))
+    langs = docs.groupBy().agg(F.array_sort(F.collect_set("lang")).alias("langs"))  # one row of the languages' codes
+    scores = docs.select("doc_id").join(F.broadcast(langs)).select("doc_id", F.explode("langs").alias("lang")).withColumn("p", hashing.hash_u("p", "doc_id", "lang"))
     return X.best_language(scores, "doc_id", X.language_prior(docs, "lang", 1.0, 10), 0.5)
 
 

@@ -84,24 +84,29 @@ def expected_passes(spark: SparkSession, d: str) -> DataFrame:
     return M.passes(M.three_levels(_groups(spark, d), "size"), "size").select("task", "lang", "dataset", "passes", "flag")
 
 
-def _by_lang(spark: SparkSession, d: str) -> list[dict]:
-    """One row for each pair of task and dataset language: at most tasks times languages rows."""
+def _by_lang(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each pair of task and dataset language, with its weights."""
     g = corpus(spark, d).groupBy("task", F.lit("all").alias("lang"), F.col("lang").alias("dataset")).agg(F.count(F.lit(1)).alias("size"))
-    return [r.asDict() for r in M.three_levels(g, "size").orderBy("task", "dataset").collect()]
+    return M.three_levels(g, "size")
 
 
-@query()
+#: The same in SQL, and rows held at a limit: {0} the keys, {1} the share, {2} the limit of a unit of size.
+BY_LANG = f"""{CORPUS}, groups as (select task, lang as dataset, count(*) as size from corpus group by all), scored as (select *, pow(size, 0.5) as s from groups),
+w as (select *, s / sum(s) over (partition by task) as dataset_w, sum(s) over (partition by task) / sum(s) over () as task_w, s / sum(s) over () as p, sum(size) over () as total from scored)"""
+HELD = """f as (select *, {1} as x, {2} as c, {1} / size as r from w),
+g as (select *, (1 - c * coalesce(sum(size) over (partition by {0} order by r desc, size, x rows between unbounded preceding and 1 preceding), 0)) / (1 - coalesce(sum(x) over (partition by {0} order by r desc, size, x rows between unbounded preceding and 1 preceding), 0)) as level from f),
+h as (select *, min((level * r > c * (1 + 1e-12))::int) over (partition by {0} order by r desc, size, x rows between unbounded preceding and current row) as held from g),
+v as (select *, case when min(held) over (partition by {0}) = 1 then null when held = 1 then c * size else x * (1 - c * sum(held * size) over (partition by {0})) / (1 - sum(held * x) over (partition by {0})) end as y, count(*) over (partition by {0}) as n from h)"""
+
+
+@query(f"""with {BY_LANG}, {HELD.format("task", "dataset_w", "1.05 / (total * task_w)")} select task, dataset, round(coalesce(y, 1.0 / n) * task_w, 8) as p from v""")
 def flat_cap(spark: SparkSession, d: str) -> DataFrame:
-    rows = _by_lang(spark, d)
-    out = M.capped_flat(rows, 1.05, float(sum(r["size"] for r in rows)))
-    return spark.createDataFrame([(r["task"], r["dataset"], round(r["p"], 8)) for r in out], "task string, dataset string, p double")
+    return _rounded(M.flat_capped(_by_lang(spark, d), 1.05).select("task", "dataset", "p"), 8, "p")
 
 
-@query()
+@query(f"""with {BY_LANG}, {HELD.format("1", "p", "1.05 / total")} select task, dataset, round(coalesce(y, p), 8) as p from v""")
 def tree_cap(spark: SparkSession, d: str) -> DataFrame:
-    rows = _by_lang(spark, d)
-    out = M.capped_tree(rows, 1.05, float(sum(r["size"] for r in rows)))
-    return spark.createDataFrame([(r["task"], r["dataset"], round(r["p"], 8)) for r in out], "task string, dataset string, p double")
+    return _rounded(M.leaves_capped(_by_lang(spark, d), 1.05).select("task", "dataset", "p"), 8, "p")
 
 
 def _nodes(spark: SparkSession, d: str) -> DataFrame:

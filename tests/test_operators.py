@@ -173,14 +173,39 @@ def test_word_errors():
         assert sum(E.word_errors(a, b)) == cost(a, b)
 
 
-def test_caps():
-    rows = [{"task": "t", "lang": "l", "dataset": str(k), "size": n, "dataset_w": 0.25, "lang_w": 1.0, "task_w": 1.0} for k, n in enumerate((10, 100, 200, 690))]
-    out = mixture.capped_flat(rows, 2.0, 1000.0)
-    assert sum(r["p"] for r in out) == pytest.approx(1) and all(r["p"] * 1000 / r["size"] <= 2 + 1e-9 for r in out)
-    leaves = mixture.capped_tree([r | {"p": 0.25} for r in rows], 2.0, 1000.0)
-    assert sum(r["p"] for r in leaves) == pytest.approx(1) and all(r["p"] * 1000 / r["size"] <= 2 + 1e-9 for r in leaves)
-    every = mixture.capped_flat(rows, 0.1, 1000.0)
-    assert [r["dataset_w"] for r in every] == [0.25] * 4
+def filled_by_rounds(shares, sizes, limit):
+    """Shares held at limit times their size, the rest dealt to the others, round after round; None if all are held."""
+    held = set()
+    while True:
+        free = [k for k in range(len(shares)) if k not in held]
+        if not free:
+            return None
+        left = (1 - sum(limit * sizes[k] for k in held)) / sum(shares[k] for k in free)
+        over = [k for k in free if left * shares[k] > limit * sizes[k] * (1 + 1e-12)]
+        if not over:
+            return [limit * sizes[k] if k in held else left * shares[k] for k in range(len(shares))]
+        held |= set(over)
+
+
+def test_caps(spark):
+    draw = random.Random(11)
+    rows = []
+    for task in range(6):
+        sizes = [draw.choice([1, 5, 5, 40, 300, 2000]) for _ in range(draw.randrange(1, 9))]
+        raw = [draw.choice([1.0, 1.0, 3.0]) * n**0.5 for n in sizes]
+        rows += [(f"t{task}", "l", f"d{k}", n, w / sum(raw), 1.0, (task + 1) / 21) for k, (n, w) in enumerate(zip(sizes, raw))]
+    df = spark.createDataFrame(rows, "task string, lang string, dataset string, size long, dataset_w double, lang_w double, task_w double")
+    total = sum(r[3] for r in rows)
+    for cap in (0.4, 1.05, 3.0):
+        got = {(r["task"], r["dataset"]): r["dataset_w"] for r in mixture.flat_capped(df, cap).collect()}
+        for task in {r[0] for r in rows}:
+            own = [r for r in rows if r[0] == task]
+            want = filled_by_rounds([r[4] for r in own], [r[3] for r in own], cap / total / own[0][6]) or [1 / len(own)] * len(own)
+            assert [got[task, r[2]] for r in own] == pytest.approx(want)
+    leaves = mixture.leaves_capped(df.withColumn("p", F.col("dataset_w") * F.col("task_w")), 1.05)
+    got = {(r["task"], r["dataset"]): r["p"] for r in leaves.collect()}
+    want = filled_by_rounds([r[4] * r[6] for r in rows], [r[3] for r in rows], 1.05 / total)
+    assert [got[r[0], r[2]] for r in rows] == pytest.approx(want) and sum(want) == pytest.approx(1)
 
 
 TREE = [
