@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -57,6 +57,30 @@ def hybrid(qas: Column, together: int = 2) -> Column:
     return F.concat(compound(F.slice(qas, 1, together)), sequential(F.slice(qas, F.lit(together + 1), F.greatest(F.size(qas) - together, F.lit(0)))))
 
 
+#: How many questions are asked at once; the shares of hybrid conversations, and of compound ones among the others.
+BUNDLES, HYBRID_SHARE, COMPOUND_SHARE = (2, 3), 0.5, 0.5
+
+
+def bundled(qas: Column, at: Column, size: Column) -> Column:
+    """One question at a time, but for `size` at once behind the first `at`."""
+    behind = at + size
+    return F.concat(sequential(F.slice(qas, F.lit(1), at)), compound(F.slice(qas, at + 1, size)), sequential(F.slice(qas, behind + 1, F.greatest(F.size(qas) - behind, F.lit(0)))))
+
+
+def mixed(qas: Column, u: Callable[[str], Column]) -> Column:
+    """One of the shapes for each conversation, by draws u(name): hybrid, compound or sequential.
+
+    Hybrid ones, of three questions at least, ask some of BUNDLES at once at a drawn place among the turns; two if there
+    are fewer than four. Compound ones ask so many at once and drop the rest.
+    """
+    n = F.size(qas)
+    drawn = F.get(F.array(*map(F.lit, BUNDLES)), F.floor(u("size") * len(BUNDLES)).cast("int"))
+    size = F.when(n < 4, F.lit(2)).otherwise(drawn)
+    at = F.floor(u("place") * (n - size + 1)).cast("int")
+    hybrid_ = (n >= 3) & (u("shape") < HYBRID_SHARE)
+    return F.when(hybrid_, bundled(qas, at, size)).when(u("rest") < COMPOUND_SHARE, compound(F.slice(qas, F.lit(1), drawn))).otherwise(sequential(qas))
+
+
 def assembled(rows: DataFrame, qas: str, shape: Column) -> DataFrame:
     """rows with `conversations` in the shape that is named: sequential, compound or hybrid."""
     q = F.col(qas)

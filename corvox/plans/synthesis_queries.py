@@ -62,6 +62,20 @@ def hybrid_shape(spark: SparkSession, d: str) -> DataFrame:
     return _shaped(spark, d, "hybrid")
 
 
+@query(f"""with {QA}, k as (select *, row_number() over (partition by conv_id order by turn) as k, count(*) over (partition by conv_id) as n from qa),
+u as (select *, {u_sql("mix:shape", "conv_id")} as us, {u_sql("mix:rest", "conv_id")} as ur, ([2, 3])[floor({u_sql("mix:size", "conv_id")} * 2)::int + 1] as drawn, {u_sql("mix:place", "conv_id")} as up from k),
+b as (select *, n >= 3 and us < 0.5 as hybrid, case when n < 4 then 2 else drawn end as size from u),
+c as (select *, case when hybrid then floor(up * (n - size + 1))::int when ur < 0.5 then 0 else n end as spot, case when hybrid then size when ur < 0.5 then drawn else 0 end as width from b),
+g as (select *, k > spot and k <= spot + width as inside from c where hybrid or ur >= 0.5 or k <= drawn),
+t as (select conv_id, case when inside then 'b' else k::varchar end as part, min(k) as first, 'User: ' || string_agg(case when k = spot + 1 or not inside then question else lower(substr(question, 1, 1)) || substr(question, 2) end, ' And ' order by k) || chr(10)
+ || 'Assistant: ' || string_agg(case when inside then upper(substr(answer, 1, 1)) || substr(answer, 2) else answer end, ' ' order by k) as told from g group by conv_id, part)
+select conv_id, string_agg(told, chr(10) order by first) as turns from t group by conv_id""")
+def mixed_shape(spark: SparkSession, d: str) -> DataFrame:
+    g = _qa(spark, d).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "question", "answer"))).alias("qas"))
+    shaped = S.mixed(F.col("qas"), lambda name: hash_u(f"mix:{name}", "conv_id"))
+    return g.withColumn("conversations", shaped).select("conv_id", _lines("conversations").alias("turns"))
+
+
 @query(f"""with e as (select user_id, event_id, row_number() over (partition by user_id order by event_id) - 1 as spot, count(*) over (partition by user_id) as n from events),
 k as (select user_id, unnest(range(n)) as chunk from (select distinct user_id, n from e)), l as (select *, {picked(LENGTHS, u_sql("len", "user_id", "chunk"))} as len from k),
 c as (select *, sum(len) over (partition by user_id order by chunk) as stop from l)
