@@ -25,8 +25,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (5-word shingles, Jaccard 0.8): the one with the smallest doc_id.
 
-    Null and empty texts are copies of one another; of rows with one doc_id and text one stays; rows with a null doc_id
-    all stay. Other columns may have any names. An empty table gives no rows.
+    Candidates share a signature of their SimHash prints, a segment with a block left out; their whole sets decide. Null
+    and empty texts are copies of one another; of rows with one doc_id and text one stays; rows with a null doc_id all
+    stay. Other columns may have any names. An empty table gives no rows.
     """
     return simhash.deduplicated(docs)
 
