@@ -48,7 +48,11 @@ def bare(word: Column) -> Column:
 
 
 def _seconds(t: Column) -> Column:
-    return F.format_string("%.1f", t)
+    """A time with one decimal, the nearest one to its exact value, of two the even one: 14.25 is 14.2, 14.35 is 14.3.
+
+    format_string would round the digits that are printed for it, and up: 14.3, 14.4.
+    """
+    return F.call_function("format_number", t, F.lit("0.0"))
 
 
 def _item(task: str, question: Column, answer: Column, alone: Column | None = None) -> Column:
