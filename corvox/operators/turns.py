@@ -189,13 +189,19 @@ def rebased(path: Column, old: str, new: str) -> Column:
 
 
 def best_suffix(rows: DataFrame, path: str, candidates: DataFrame, candidate: str) -> DataFrame:
-    """(path, candidate): of the candidates with the same last part, the one that shares most last parts; then the smallest."""
-    base = lambda c: F.substring_index(F.col(c), "/", -1)
-    pairs = rows.select(path, base(path).alias("__base")).distinct().join(candidates.select(candidate, base(candidate).alias("__base")), "__base")
-    a, b = F.reverse(F.split(F.col(path), "/")), F.reverse(F.split(F.col(candidate), "/"))
-    differ = F.filter(F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda t, i: F.when(~t["a"].eqNullSafe(t["b"]), i)), lambda i: i.isNotNull())
-    score = F.coalesce(F.get(differ, F.lit(0)), F.least(F.size(a), F.size(b)))
-    return pairs.withColumn("__score", score).groupBy(path).agg(F.min(F.struct(-F.col("__score"), F.col(candidate).alias("c")))["c"].alias(candidate))
+    """(path, candidate): of the candidates with the same last part, the one that shares most last parts; then the smallest.
+
+    The smallest candidate is found for each ending of one part, two parts and so on; a path meets it by its own endings
+    and takes the longest. So rows grow with the parts of the paths, and no pairs of a common last part are tried.
+    """
+
+    def endings(c: str) -> Column:
+        parts = F.sequence(F.lit(1), F.size(F.split(F.col(c), "/")))
+        return F.inline(F.transform(parts, lambda k: F.struct(k.alias("__parts"), F.call_function("substring_index", F.col(c), F.lit("/"), -k).alias("__ending"))))
+
+    best = candidates.select(candidate, endings(candidate)).groupBy("__ending").agg(F.min(candidate).alias(candidate))
+    own = rows.select(path).distinct().select(path, endings(path))
+    return own.join(best, "__ending").groupBy(path).agg(F.max_by(candidate, "__parts").alias(candidate))
 
 
 def drawn_pairs(rows: DataFrame, group: str, item: str, draw: Column) -> DataFrame:
