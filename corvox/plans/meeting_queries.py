@@ -1,6 +1,6 @@
 """Queries of §2.1 and §2.3 on annotated meetings: users are meetings, event types their speakers, events their words.
 
-The annotation files are written from the events, a folder a meeting, and read back by the parsers.
+The annotation files are written from the events, a folder a meeting, in parts of bounded size, and read back by the parsers.
 """
 
 from __future__ import annotations
@@ -11,12 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import meetings as G
+from ..operators.ranking import running_total
 from ..sources import markup as M
 from ..sources.scratch import scratch
 from .tables import query, table
 
 ROOT = '<nite:root xmlns:nite="http://nite.sourceforge.net/">'
 
+#: Ids that are counted together, and rows of a speaker's file (8 at least, see _events) or ids of a meeting's file in one part.
+IDS, PART, SPAN = 100_000, 50_000, 1_000_000
+#: How far the ids of linked sentences and acts lie apart at most.
+REACH = 400
+
 #: The words in SQL: every ninth is a mark, every seventh a contraction, every thirteenth a sound; some have no time.
 WORDS = """evs as (select * replace (user_id % 25 as user_id) from events),
 ev as (select *, row_number() over (partition by user_id, event_type order by event_id) - 1 as pos, count(*) over (partition by user_id, event_type) as size from evs),
@@ -40,19 +46,52 @@ def _meetings(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").withColumn("user_id", F.col("user_id") % 25)
 
 
-def _events(spark: SparkSession, d: str) -> DataFrame:
-    """Events with their place in the file of their speaker, and how many it has."""
-    own = Window.partitionBy("user_id", "event_type")
-    return _meetings(spark, d).select("*", (F.row_number().over(own.orderBy("event_id")) - 1).alias("place"), F.count("*").over(own).alias("size"))
+@cache
+def _events(app: str, spark: SparkSession, d: str) -> DataFrame:
+    """Events with their place in the file of their speaker, its part, and the up to 8 ids behind; written once in a session.
+
+    Places are counted in buckets of ids. Parts know the first rows of the next one, so no task orders a whole file.
+    """
+    path, own = scratch(spark, "placed"), ["user_id", "event_type"]
+    rows = _meetings(spark, d).select(*own, "event_id", "value")
+    placed = running_total(rows, own, F.floor(F.col("event_id") / IDS), ["event_id"], None, "place")
+    part = F.floor(F.col("place") / PART)
+    shared = placed.withColumn("of", part).withColumn("part", F.explode(F.when(F.col("place") % PART < 8, F.array(part, part - 1)).otherwise(F.array(part))))
+    behind = Window.partitionBy(*own, "part").orderBy("place").rowsBetween(1, 8)
+    shared.withColumn("behind", F.collect_list("event_id").over(behind)).where("part = of").drop("of").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _files(rows: DataFrame, by: list[str], head: str, line: Column, tail: str, name: str, order: list[str]) -> str:
-    """A file for each group, with a line for each of its rows in order; the pattern of their paths."""
+    """A file for each group, with a line for each of its rows in order; the pattern of their paths.
+
+    The groups are parts of a meeting's or a speaker's file, so no file and no task grows with the meeting.
+    """
     path = scratch(rows.sparkSession, name)
     lines = F.transform(F.array_sort(F.collect_list(F.struct(*order, line.alias("__line")))), lambda s: s["__line"])
     whole = rows.groupBy(*by).agg(F.concat(F.lit(head), F.array_join(lines, ""), F.lit(tail)).alias("value"))
     whole.write.partitionBy(*by).text(path)
-    return path + "/user_id=*" + "/event_type=*" * (len(by) > 1)
+    return path + "".join(f"/{c}=*" for c in by)
+
+
+def _part(c: str = "file") -> Column:
+    return F.regexp_extract(c, r"/part=(\d+)/", 1).cast("long")
+
+
+def _along(place: str) -> Column:
+    """A number that rises along the parts of a file and inside them."""
+    return _part() * (1 << 32) + F.col(place)
+
+
+def links_of(said: DataFrame, events: DataFrame) -> DataFrame:
+    """(user_id, x, a): the events a that a sentence x links to, less than REACH ids away and with the same rest by 5.
+
+    Ids are dealt to bins of REACH; a sentence meets the bins in its reach, so no meeting has all its pairs tried.
+    """
+    bins = F.sequence(F.floor((F.col("x") - REACH) / REACH), F.floor((F.col("x") + REACH) / REACH))
+    left = said.withColumn("rest", F.col("x") % 5).withColumn("bin", F.explode(bins))
+    right = events.withColumn("rest", F.col("a") % 5).withColumn("bin", F.floor(F.col("a") / REACH))
+    return left.join(right, ["user_id", "rest", "bin"]).where(F.abs(F.col("a") - F.col("x")) < REACH).select("user_id", "x", "a")
 
 
 def _meeting(c: str = "file") -> Column:
@@ -68,57 +107,63 @@ def _href(agent: Column, first: Column, last: Column) -> Column:
 
 
 @cache
-def _written(app: str, spark: SparkSession, d: str) -> dict[str, str]:
-    """The paths of the annotation files of all meetings, written once in a session."""
-    e = _events(spark, d)
+def _written(app: str, spark: SparkSession, d: str, name: str) -> str:
+    """The paths of the annotation files of one kind, of all meetings, written once in a session."""
     number = lambda x: F.format_string("%.2f", x)
-    time = F.when(_id() % 10 == 3, "").otherwise(F.concat(F.lit(' starttime="'), number(F.round(_id() * 0.01, 2)), F.lit('" endtime="'), number(F.round(_id() * 0.01 + 0.3 + F.floor("value") * 0.02, 2)), F.lit('"')))
-    tag = lambda more, text: F.concat(F.lit('<w nite:id="w'), _id(), F.lit('"'), time, F.lit(more), text, F.lit("</w>"))
-    sound = F.concat(F.lit('<vocalsound nite:id="w'), _id(), F.lit('" type="laugh"'), time, F.lit("/>"))
-    word = F.when(_id() % 13 == 0, sound).when(_id() % 9 == 0, tag(' punc="true">', F.lit("."))).when(_id() % 7 == 0, tag(">", F.lit("'s"))).otherwise(tag(">", F.concat(F.lit("w"), _id())))
-    ahead = lambda n: F.lead("event_id", n).over(Window.partitionBy("user_id", "event_type").orderBy("event_id"))
-    last = lambda n: F.coalesce(*(ahead(k) for k in range(n, 0, -1)), _id())
-    seg_time = F.when(_id() % 5 == 0, "").otherwise(F.concat(F.lit(' transcriber_start="'), number(F.round(_id() * 0.01 - 0.2, 2)), F.lit('" transcriber_end="'), number(F.round(_id() * 0.01 + 8, 2)), F.lit('"')))
-    segs = e.withColumn("last", last(4)).withColumn("later", ahead(5)).where("place % 6 = 0")
-    second = F.when(F.col("later").isNull(), "").otherwise(_href(F.col("event_type"), F.col("later"), F.col("later")))
-    segment = F.concat(F.lit('<segment nite:id="s'), _id(), F.lit('"'), seg_time, F.lit(">"), _href(F.col("event_type"), _id(), F.col("last")), second, F.lit("</segment>"))
-    acts = e.withColumn("last", F.when(_id() % 3 == 0, _id()).when(_id() % 3 == 1, last(1)).otherwise(last(2))).where("event_id % 2 = 0")
-    act = F.concat(F.lit('<dact nite:id="a'), _id(), F.lit('">'), _href(F.col("event_type"), _id(), F.col("last")), F.lit("</dact>"))
-    tops = e.withColumn("last", last(8)).where("place % 9 = 0")
+    own, end = ["user_id", "event_type", "part"], "</nite:root>"
+    if name == "channels":
+        channels = scratch(spark, "channels")
+        meeting = F.concat(F.lit('<meeting observation="'), F.col("user_id"), F.lit('">'), F.array_join(F.transform(F.array_sort(F.collect_set("event_type")), lambda a, i: F.when(a != "view", F.concat(F.lit('<speaker nxt_agent="'), a, F.lit('" channel="'), (i + F.col("user_id") % 3).cast("string"), F.lit('"/>'))).otherwise("")), ""), F.lit("</meeting>"))
+        _meetings(spark, d).groupBy("user_id").agg(F.concat(F.lit("<root>"), meeting, F.lit("</root>")).alias("value")).write.partitionBy("user_id").text(channels)
+        return channels + "/user_id=*"
+    said = _meetings(spark, d).where("event_id % 6 < 2")
+    of_meeting = F.floor(_id() / SPAN).alias("part")
+    if name == "sentences":
+        section = F.when(_id() % 4 == 0, "decisions").otherwise("abstract")
+        sentence = F.concat(F.lit('<sentence nite:id="x'), _id(), F.lit('">About '), F.col("event_type"), F.lit(" "), _id(), F.lit(".</sentence>"))
+        later = F.when(section == "decisions", 1 << 30).otherwise(0)  # the parts of the second section follow all of the first
+        told = said.select("user_id", (of_meeting + later).alias("part"), section.alias("section"), "event_id", sentence.alias("line"))
+        turn = told.select("user_id", "part").distinct().select("*", F.lit("decisions").alias("section"), F.lit(-1).cast("long").alias("event_id"), F.lit("</abstract><decisions>").alias("line"))
+        return _files(told.unionByName(turn), ["user_id", "part"], ROOT + "<abstract>", F.col("line"), "</decisions>" + end, name, ["section", "event_id"])
+    if name == "links":
+        pairs = links_of(said.select("user_id", _id().alias("x")), _meetings(spark, d).select("user_id", _id().alias("a")))
+        link = F.concat(F.lit('<summlink><nite:pointer role="extractive" href="d#id(a'), F.col("a"), F.lit(')"/><nite:pointer role="abstractive" href="s#id(x'), F.col("x"), F.lit(')"/></summlink>'))
+        return _files(pairs.withColumn("part", F.floor(F.col("x") / SPAN)), ["user_id", "part"], ROOT, link, end, name, ["x", "a"])
+    e = _events(app, spark, d)
+    last = lambda n: F.coalesce(F.try_element_at(F.slice("behind", 1, n), F.lit(-1)), _id())
+    if name == "words":
+        time = F.when(_id() % 10 == 3, "").otherwise(F.concat(F.lit(' starttime="'), number(F.round(_id() * 0.01, 2)), F.lit('" endtime="'), number(F.round(_id() * 0.01 + 0.3 + F.floor("value") * 0.02, 2)), F.lit('"')))
+        tag = lambda more, text: F.concat(F.lit('<w nite:id="w'), _id(), F.lit('"'), time, F.lit(more), text, F.lit("</w>"))
+        sound = F.concat(F.lit('<vocalsound nite:id="w'), _id(), F.lit('" type="laugh"'), time, F.lit("/>"))
+        word = F.when(_id() % 13 == 0, sound).when(_id() % 9 == 0, tag(' punc="true">', F.lit("."))).when(_id() % 7 == 0, tag(">", F.lit("'s"))).otherwise(tag(">", F.concat(F.lit("w"), _id())))
+        return _files(e, own, ROOT, word, end, name, ["place"])
+    if name == "segments":
+        seg_time = F.when(_id() % 5 == 0, "").otherwise(F.concat(F.lit(' transcriber_start="'), number(F.round(_id() * 0.01 - 0.2, 2)), F.lit('" transcriber_end="'), number(F.round(_id() * 0.01 + 8, 2)), F.lit('"')))
+        segs = e.withColumn("last", last(4)).withColumn("later", F.get("behind", F.lit(4))).where("place % 6 = 0")
+        second = F.when(F.col("later").isNull(), "").otherwise(_href(F.col("event_type"), F.col("later"), F.col("later")))
+        segment = F.concat(F.lit('<segment nite:id="s'), _id(), F.lit('"'), seg_time, F.lit(">"), _href(F.col("event_type"), _id(), F.col("last")), second, F.lit("</segment>"))
+        return _files(segs, own, ROOT, segment, end, name, ["place"])
+    if name == "acts":
+        acts = e.withColumn("last", F.when(_id() % 3 == 0, _id()).when(_id() % 3 == 1, last(1)).otherwise(last(2))).where("event_id % 2 = 0")
+        act = F.concat(F.lit('<dact nite:id="a'), _id(), F.lit('">'), _href(F.col("event_type"), _id(), F.col("last")), F.lit("</dact>"))
+        return _files(acts, own, ROOT, act, end, name, ["place"])
+    tops = e.withColumn("last", last(8)).where("place % 9 = 0").withColumn("part", of_meeting)
     topic = F.concat(F.lit('<topic nite:id="t'), _id(), F.lit('" other_description="'), F.col("event_type"), F.lit('">'), _href(F.col("event_type"), _id(), F.col("last")), F.lit("</topic>"))
-    said = e.where("event_id % 6 < 2").withColumn("section", F.when(_id() % 4 == 0, "decisions").otherwise("abstract"))
-    sentence = F.concat(F.lit('<sentence nite:id="x'), _id(), F.lit('">About '), F.col("event_type"), F.lit(" "), _id(), F.lit(".</sentence>"))
-    turn = F.lit("</abstract><decisions>")
-    lines = said.select("user_id", "section", "event_id", sentence.alias("line")).unionByName(e.select("user_id").distinct().select("user_id", F.lit("decisions").alias("section"), F.lit(-1).cast("long").alias("event_id"), turn.alias("line")))
-    pairs = said.select("user_id", _id().alias("x")).join(e.select("user_id", _id().alias("a")), "user_id").where("a % 5 = x % 5 and abs(a - x) < 400")
-    link = F.concat(F.lit('<summlink><nite:pointer role="extractive" href="d#id(a'), F.col("a"), F.lit(')"/><nite:pointer role="abstractive" href="s#id(x'), F.col("x"), F.lit(')"/></summlink>'))
-    meeting = F.concat(F.lit('<meeting observation="'), F.col("user_id"), F.lit('">'), F.array_join(F.transform(F.array_sort(F.collect_set("event_type")), lambda a, i: F.when(a != "view", F.concat(F.lit('<speaker nxt_agent="'), a, F.lit('" channel="'), (i + F.col("user_id") % 3).cast("string"), F.lit('"/>'))).otherwise("")), ""), F.lit("</meeting>"))
-    channels = scratch(spark, "channels")
-    e.groupBy("user_id").agg(F.concat(F.lit("<root>"), meeting, F.lit("</root>")).alias("value")).write.partitionBy("user_id").text(channels)
-    own, end = ["user_id", "event_type"], "</nite:root>"
-    return {
-        "words": _files(e, own, ROOT, word, end, "words", ["event_id"]),
-        "segments": _files(segs, own, ROOT, segment, end, "segments", ["event_id"]),
-        "acts": _files(acts, own, ROOT, act, end, "acts", ["event_id"]),
-        "topics": _files(tops, ["user_id"], ROOT, topic, end, "topics", ["event_id"]),
-        "sentences": _files(lines, ["user_id"], ROOT + "<abstract>", F.col("line"), "</decisions>" + end, "sentences", ["section", "event_id"]),
-        "links": _files(pairs, ["user_id"], ROOT, link, end, "links", ["x", "a"]),
-        "channels": channels + "/user_id=*",
-    }
+    return _files(tops, ["user_id", "part"], ROOT, topic, end, name, ["event_id"])
 
 
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     parsers = {"words": (M.nxt_raw_words, M.WORDS), "sentences": (M.nxt_abstracts, M.ABSTRACTS), "links": (M.nxt_links, M.LINKS), "channels": (M.nxt_channels, M.CHANNELS)}
     parse, schema = parsers.get(name, (M.nxt_ranges, M.RANGES))
-    rows = M.parsed(spark, _written(spark.sparkContext.applicationId, spark, d)[name], parse, schema)
+    rows = M.parsed(spark, _written(spark.sparkContext.applicationId, spark, d, name), parse, schema)
     if name == "words":
-        return rows.select(_meeting(), F.concat(_agent(), F.lit(".words.xml")).alias("file"), "id", "pos", "text", "start", "end", "join", "lex")
+        return rows.select(_meeting(), F.concat(_agent(), F.lit(".words.xml")).alias("file"), "id", (_part() * PART + F.col("pos")).alias("pos"), "text", "start", "end", "join", "lex")
     if name == "segments":
         return rows.select(_meeting(), _agent().alias("agent"), "owner", "child", "start", "end", F.col("words_file").alias("file"), "first_word", "last_word")
     if name in ("acts", "topics"):
-        return rows.select(_meeting(), "owner", "ordinal", "label", F.col("words_file").alias("file"), "first_word", "last_word")
+        return rows.select(_meeting(), "owner", _along("ordinal").alias("ordinal"), "label", F.col("words_file").alias("file"), "first_word", "last_word")
     if name == "sentences":
-        return rows.select(_meeting(), F.col("id").alias("sentence"), "section", "pos", "text")
+        return rows.select(_meeting(), F.col("id").alias("sentence"), "section", _along("pos").alias("pos"), "text")
     if name == "links":
         return rows.select(_meeting(), "sentence", "act")
     return rows.select(F.col("meeting").cast("long").alias("meeting"), "agent", "channel")
